@@ -142,23 +142,22 @@ def parse_telemetry(records: DataFrame, as_of=None) -> DataFrame:
     text = F.try_validate_utf8(F.col("value").cast("string"))
     # In an array, text after the object is an error instead of being ignored.
     document = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    rows = records.withColumns(
-        {
-            "_r": F.from_json(text, _PARSED, _JSON_OPTIONS),
-            "_keys": F.json_object_keys(text),
-            "_doc": document,
-        }
-    ).withColumns(
-        {
-            "_time": _zoned_time(F.col("_r.timestamp")),
-            "_uuid": canonical_uuid(F.col("_r.event_id")),
-            "_object": F.col("_doc").isNotNull()
-            & F.col("_keys").isNotNull()
-            & F.expr("try_variant_get(_doc, '$[1]', 'variant')").isNull(),
-            "_oem_kind": F.schema_of_variant(
-                F.expr("try_variant_get(_doc, '$[0].source_oem', 'variant')")
-            ),
-        }
+    rows = _evaluated_once(
+        records,
+        _r=F.from_json(text, _PARSED, _JSON_OPTIONS),
+        _keys=F.json_object_keys(text),
+        _doc=document,
+    )
+    rows = _evaluated_once(
+        rows,
+        _time=_zoned_time(F.col("_r.timestamp")),
+        _uuid=canonical_uuid(F.col("_r.event_id")),
+        _object=F.col("_doc").isNotNull()
+        & F.col("_keys").isNotNull()
+        & F.expr("try_variant_get(_doc, '$[1]', 'variant')").isNull(),
+        _oem_kind=F.schema_of_variant(
+            F.expr("try_variant_get(_doc, '$[0].source_oem', 'variant')")
+        ),
     )
     rules = _rules()
     if as_of is not None:
@@ -171,24 +170,34 @@ def parse_telemetry(records: DataFrame, as_of=None) -> DataFrame:
     codes = F.when(F.col("_object"), F.array_sort(F.array_distinct(found))).otherwise(
         F.array(F.lit("json_invalid"))
     )
-    rows = rows.withColumn("_codes", codes).withColumn("valid", F.size("_codes") == 0)
+    rows = _evaluated_once(rows, _codes=codes)
+    valid = F.size("_codes") == 0
     special = {
         "event_id": F.col("_uuid"),
         "timestamp": F.col("_time"),
         "seq": F.expr("try_cast(_r.seq AS bigint)"),
     }
     fields = {
-        name: F.when(F.col("valid"), special.get(name, F.col(f"_r.{name}")))
-        for name in TELEMETRY_COLUMNS
+        name: F.when(valid, special.get(name, F.col(f"_r.{name}"))) for name in TELEMETRY_COLUMNS
     }
     return rows.select(
         *records.columns,
         *[column.alias(name) for name, column in fields.items()],
-        "valid",
-        F.when(~F.col("valid"), F.array_join("_codes", ",")).alias("validation_error"),
+        valid.alias("valid"),
+        F.when(~valid, F.array_join("_codes", ",")).alias("validation_error"),
     )
 
 
+def _evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns behind a one-row generator.
+
+    Filters on plain projections are pushed below them by repeating their expressions, which
+    would parse each payload once per use. Generated columns are computed once.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def validation_errors(records: DataFrame, as_of=None) -> DataFrame:
     """Arrival and error codes of invalid records."""
     return (
