@@ -36,5 +36,7 @@ def canonical_uuid(text: Column) -> Column:
     shaped = F.regexp_replace(
         digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
     )
-    accepted = F.lower(text).rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|^[0-9a-f]{32}$")
+    accepted = F.lower(text).rlike(
+        r"^([0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9a-f]{32})\z"
+    )
     return F.when(accepted, shaped)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspark.functions.ids import incident_id
@@ -13,12 +13,7 @@ from fleetspark.schema import ALERT, STATE, TELEMETRY_COLUMNS
 from fleetspark.settings import ONLINE_SECONDS, STATE_TTL_SECONDS, DetectorSettings
 
 _CARRIED = [name for name in STATE.fieldNames() if name not in TELEMETRY_COLUMNS]
-
-
-def _newest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    # Rank 1 only: Spark prunes to one row per key and task before the shuffle.
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+_MEASURED = ["idle_start", "idle_duration_seconds", "acceleration_mps2"]
 
 
 def as_carried(state: DataFrame, as_of=None) -> DataFrame:
@@ -40,28 +35,31 @@ def with_carried(readings: DataFrame, state: DataFrame, as_of=None) -> DataFrame
 
 
 def _active_alerts(settings: DetectorSettings, prior: Column | None) -> Column:
-    """The alerts of the current reading as an array of structs, in reporting order.
+    """The alerts of the newest reading as an array of structs, in reporting order.
 
     An active kind belongs to its newest opening; without one in these rows it continues an alert
     carried from earlier.
     """
-    alerts = []
-    for i, kind in enumerate(KINDS):
-        origin = F.col(f"_origin_{i}")
-        opened_at = origin["idle_start"] if kind == "IDLING_ALERT" else origin["timestamp"]
-        alert_id = incident_id(origin["event_id"], F.lit(kind))
-        if prior is not None:
-            old = F.try_element_at(
-                F.filter(prior, lambda alert, kind=kind: alert["type"] == kind), F.lit(1)
-            )
-            alert_id = F.when(origin.isNotNull(), alert_id).otherwise(old["alert_id"])
-            opened_at = F.when(origin.isNotNull(), opened_at).otherwise(old["start_timestamp"])
-        alert = F.struct(*refreshed_alert(settings, alert_id, opened_at, F.lit(kind)))
-        alerts.append(F.when(F.array_contains("detected_types", kind), alert))
-    return F.filter(F.array(*alerts), lambda alert: alert.isNotNull()).cast(
-        STATE["active_alerts"].dataType
+    openings = F.array(
+        *[
+            F.struct(F.lit(kind).alias("type"), F.col(f"_origin_{i}").alias("origin"))
+            for i, kind in enumerate(KINDS)
+        ]
     )
 
+    def alert(opening: Column) -> Column:
+        kind, origin = opening["type"], opening["origin"]
+        alert_id = incident_id(origin["event_id"], kind)
+        start = F.when(kind == "IDLING_ALERT", origin["idle_start"]).otherwise(origin["timestamp"])
+        if prior is not None:
+            old = F.try_element_at(F.filter(prior, lambda a: a["type"] == kind), F.lit(1))
+            alert_id = F.when(origin.isNull(), old["alert_id"]).otherwise(alert_id)
+            start = F.when(origin.isNull(), old["start_timestamp"]).otherwise(start)
+        return F.struct(*refreshed_alert(settings, alert_id, start, kind))
+
+    active = F.filter(openings, lambda o: F.array_contains("detected_types", o["type"]))
+    return F.transform(active, alert)
+
 
 def status_of(idle: Column, speed: Column, settings: DetectorSettings = DEFAULTS) -> Column:
     return (
@@ -74,37 +72,33 @@ def latest_state(
 ) -> DataFrame:
     """One row per vehicle: the newest accepted reading with its state.
 
-    Openings are reduced to one row per vehicle by a plain aggregate, so no vehicle's readings
-    are ever gathered.
+    One plain aggregate finds the newest reading and the newest opening of each kind, so no
+    vehicle's readings are ever gathered, and what `detect` partitioned is not shuffled again.
     """
-    accepted = detected.where(~F.col("late"))
     carried = "carried" in detected.columns
+    kept = [*TELEMETRY_COLUMNS, *_MEASURED, "idle", "detected_types"]
+    if carried:
+        kept.append("carried")
+    is_new = F.col("carried").isNull() if carried else F.lit(True)
     opening = F.struct("timestamp", "seq", "event_id", "idle_start")
-    origins = [
-        F.max(F.when(F.array_contains("opened_types", kind) & _is_new(detected), opening)).alias(
-            f"_origin_{i}"
-        )
-        for i, kind in enumerate(KINDS)
-    ]
+    found = [F.max(F.struct("timestamp", "seq", F.struct(*kept).alias("row"))).alias("_newest")]
+    for i, kind in enumerate(KINDS):
+        opens = is_new & F.array_contains("opened_types", kind)
+        found.append(F.max(F.when(opens, opening)).alias(f"_origin_{i}"))
     if carried:
-        origins.append(F.first("carried.active_alerts", ignorenulls=True).alias("_prior"))
-    newest = _newest(accepted, ["vehicle_id"], F.desc("timestamp"), F.desc("seq"))
-    rows = newest.join(accepted.groupBy("vehicle_id").agg(*origins), "vehicle_id")
-    fresh = {
+        found.append(F.max("carried.active_alerts").alias("_prior"))
+    groups = detected.where(~F.col("late")).groupBy("vehicle_id").agg(*found)
+    rows = groups.select("_newest.row.*", *[c for c in groups.columns if c[0] == "_" and c != "_newest"])
+    values = {
+        **{name: F.col(name) for name in _MEASURED},
         "active_alerts": _active_alerts(settings, F.col("_prior") if carried else None),
         "status": status_of(F.col("idle"), F.col("speed_kmh"), settings),
         "received_at": moment(received_at),
     }
-    for name in _CARRIED:
-        value = fresh.get(name, F.col(name) if name in rows.columns else None)
-        if carried:
-            value = F.when(F.col("carried").isNotNull(), F.col(f"carried.{name}")).otherwise(value)
-        fresh[name] = value
-    return rows.select(*TELEMETRY_COLUMNS, *[fresh[name].alias(name) for name in _CARRIED])
-
-
-def _is_new(detected: DataFrame) -> Column:
-    return F.col("carried").isNull() if "carried" in detected.columns else F.lit(True)
+    if carried:
+        old = F.col("carried").isNotNull()
+        values = {n: F.when(old, F.col(f"carried.{n}")).otherwise(v) for n, v in values.items()}
+    return rows.select(*TELEMETRY_COLUMNS, *[values[name].alias(name) for name in _CARRIED])
 
 
 def _since(as_of, seconds: int) -> Column:

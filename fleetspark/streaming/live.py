@@ -64,8 +64,8 @@ def write_state(state: DataFrame, root: str, batch_id: int) -> None:
 def live_readings(records: DataFrame, ttl: str = DEDUP_TTL) -> DataFrame:
     """Valid, first-seen readings of a record stream; intake is counted on the way.
 
-    `intake` in the query progress holds consumed and invalid; dropped duplicates are the
-    stateful operator's own `numDroppedDuplicateRows`.
+    `intake` in the query progress holds consumed and invalid. A source partition is read by one
+    task in offset order, so of two copies in one batch the first arrival stays.
     """
     parsed = parse_telemetry(records, F.current_timestamp()).observe(
         "intake", F.count(F.lit(1)).alias("consumed"), F.count_if(~F.col("valid")).alias("invalid")
@@ -89,15 +89,23 @@ def commit_batch(
     State older than an hour of processing time does not count.
     """
     spark = readings.sparkSession
-    rows = with_carried(readings, read_state(spark, root, before=batch_id), as_of).persist()
-    detected = detect(rows, settings, block_rows=block_rows).persist()
+    readings = readings.persist()
+    # A full pass, so that the dedup state of every partition is computed and committed.
+    arrived = readings.count()
+    if not arrived:
+        readings.unpersist()
+        return
+    if block_rows is not None and arrived <= block_rows:
+        block_rows = None
+    rows = with_carried(readings, read_state(spark, root, before=batch_id), as_of)
+    detected = detect(rows, settings, block_rows=block_rows, counted=readings).persist()
     try:
         write_history(enrich(detected), root, "telemetry", batch_id)
         write_history(open_incidents(detected, settings), root, "alerts", batch_id)
         write_state(latest_state(detected, as_of, settings), root, batch_id)
     finally:
         detected.unpersist()
-        rows.unpersist()
+        readings.unpersist()
 
 
 def start_live(
@@ -128,25 +136,32 @@ def start_live(
     return flush_rule(writer, options, drain=drain).start()
 
 
-def intake_of(query: StreamingQuery) -> dict:
-    """Consumed, invalid and duplicates over the recent progress of a live query."""
-    totals = {"consumed": 0, "invalid": 0, "duplicates": 0}
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get("intake")
-        if seen is not None:
-            totals["consumed"] += seen["consumed"]
-            totals["invalid"] += seen["invalid"]
-        for operator in progress.stateOperators:
-            totals["duplicates"] += operator.customMetrics.get("numDroppedDuplicateRows", 0)
-    return totals
-
-
 def stored_outcomes(spark: SparkSession, root: str) -> DataFrame:
     """Accepted, late and alerts per committed batch, from the tables themselves."""
-    readings = read_history(spark, root, "telemetry").groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("accepted"), F.count_if("late").alias("late")
+    readings = (
+        read_history(spark, root, "telemetry")
+        .groupBy("batch_id")
+        .agg(F.count(F.lit(1)).alias("accepted"), F.count_if("late").alias("late"))
     )
-    alerts = read_history(spark, root, "alerts").groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("alerts")
+    alerts = (
+        read_history(spark, root, "alerts")
+        .groupBy("batch_id")
+        .agg(F.count(F.lit(1)).alias("alerts"))
     )
     return readings.join(alerts, "batch_id", "left").fillna(0, ["alerts"])
+
+
+def live_outcomes(query: StreamingQuery, root: str) -> dict:
+    """What became of everything a finished query read.
+
+    Intake comes from the query's progress, the rest from what it committed; duplicates are what
+    is neither invalid nor accepted.
+    """
+    intake = [p.observedMetrics["intake"] for p in query.recentProgress if p.observedMetrics]
+    total = {name: sum(i[name] for i in intake) for name in ("consumed", "invalid")}
+    names = ["accepted", "late", "alerts"]
+    stored = stored_outcomes(SparkSession.active(), root)
+    sums = stored.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+    total.update(sums.asDict())
+    total["duplicates"] = total["consumed"] - total["invalid"] - total["accepted"]
+    return total

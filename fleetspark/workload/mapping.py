@@ -14,7 +14,7 @@ from fleetspark.schema import TELEMETRY_COLUMNS
 
 START_MICROS = 1_704_067_200_000_000
 TOPIC = "fleet.telemetry.v1"
-DAY_MS = 86_400_000
+PARTITIONS = 6
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +64,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type": scenario,
         "source_oem": F.concat(F.lit("OEM-"), (user % 6).cast("string")),
         "schema_version": F.lit(1),
-        "partition": (user % 6).cast("int"),
+        "partition": (user % PARTITIONS).cast("int"),
         # Every seventh reading arrives 400 places late; ties go to the lower event id.
         "offset": 4 * (event + F.when(delayed, 400).otherwise(0)) + F.when(delayed, 0).otherwise(1),
         "observed_at": F.col("ts").cast("timestamp"),
@@ -79,23 +79,12 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once.unionByName(again)
 
 
-# What is wrong with an injected payload, by seq % 97; every other payload is sound.
-FAULTS = {
-    1: "json_invalid",
-    2: "unknown_field",
-    3: "missing_field",
-    4: "out_of_range",
-    5: "bad_timestamp",
-    6: "bad_pattern",
-    7: "energy_choice",
-    8: "bad_dtc",
-    9: "seq_out_of_range",
-    10: "wrong_type",
-}
-
-
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-shaped records: arrivals as JSON bytes, some broken on purpose."""
+    """Kafka-shaped records: arrivals as JSON bytes, broken on purpose for some `seq % 97`.
+
+    1 no JSON, 2 extra key, 3 missing key, 4 latitude 91, 5 no zone, 6 malformed vehicle,
+    7 both energies, 8 unknown trouble code, 9 seq of 2^63, 10 a list for a boolean.
+    """
     rows = arrivals(spark, sf_dir)
     case = F.col("seq") % 97
     sent_at = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -116,13 +105,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.to_json(F.struct(*TELEMETRY_COLUMNS), {"ignoreNullFields": "false"})
     text = (
-        F.when(case == 1, F.lit("{invalid"))
+        F.when(F.col("_case") == 1, F.lit("{invalid"))
         .when(F.col("_case") == 2, F.regexp_replace(text, r"^\{", '{"extra":1,'))
         .when(F.col("_case") == 3, F.regexp_replace(text, r'"vin":"[^"]*",', ""))
         .when(F.col("_case") == 10, F.regexp_replace(text, r'"engine_on":(true|false)', '"engine_on":[]'))
         .otherwise(text)
     )
-    text = F.when(F.col("_case") == 1, F.lit("{invalid")).otherwise(text)
     return body.select(
         F.lit(TOPIC).alias("topic"),
         "partition",

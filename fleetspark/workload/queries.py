@@ -734,22 +734,29 @@ def progress_check(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _record_files(spark: SparkSession, sf_dir: str, files: int) -> str:
-    """Records as files written in arrival order, so each micro-batch is a range of offsets."""
+def _record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource:
+    """Records as files in arrival order: each micro-batch is a range of offsets.
+
+    As on a topic, a source partition's records of a batch lie in one file, in offset order.
+    """
     path = scratch(spark, "records")
-    records = m.records(spark, sf_dir).drop("source_seq")
-    size = records.agg(F.max("offset")).first()[0] // files + 1
-    for i in range(files):
+    records = m.records(spark, sf_dir).drop("source_seq").persist()
+    size = records.agg(F.max("offset")).first()[0] // batches + 1
+    for i in range(batches):
         part = records.where(F.col("offset").between(i * size, (i + 1) * size - 1))
-        part.sort("partition", "offset").coalesce(1).write.mode("append").parquet(path)
-    return path
+        filed = part.coalesce(1).sortWithinPartitions("partition", "offset")
+        filed.write.mode("append").partitionBy("partition").parquet(path)
+    records.unpersist()
+    return FileSource(path, m.PARTITIONS)
 
 
-def _live(spark: SparkSession, sf_dir: str, files: int = 3) -> str:
+def _live(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
     root = scratch(spark, "live")
-    source = FileSource(_record_files(spark, sf_dir, files))
     job = live.start_live(
-        read_telemetry_stream(spark, source), f"{root}/tables", f"{root}/checkpoint", drain=True
+        read_telemetry_stream(spark, _record_source(spark, sf_dir, batches)),
+        f"{root}/tables",
+        f"{root}/checkpoint",
+        drain=True,
     )
     job.awaitTermination()
     return f"{root}/tables"
@@ -782,7 +789,7 @@ def live_state(spark, sf_dir):
 @query
 def archive_stream(spark, sf_dir):
     root = scratch(spark, "raw")
-    source = FileSource(_record_files(spark, sf_dir, 3))
+    source = _record_source(spark, sf_dir, 3)
     raw.start_archive(
         read_telemetry_stream(spark, source, fail_on_data_loss=True),
         f"{root}/archive",
