@@ -22,6 +22,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, sql, name):
     frame = entry.queries()[name](spark, SF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert difference(frame, sql.execute(entry.oracle_sql()[name])) is None
 
 

@@ -51,6 +51,7 @@ def test_retention_and_compaction(spark, tmp_path):
 def test_window_prunes_months(spark, tmp_path):
     tables.write_history(enriched(spark, [at(0)]), str(tmp_path), "telemetry", 0)
     rows = tables.in_window(tables.read_history(spark, str(tmp_path), "telemetry"), START, 1, "F001")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "month" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "EqualTo(fleet_id,F001)" in plan
