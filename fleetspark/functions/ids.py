@@ -32,11 +32,8 @@ def incident_id(event_id: Column, kind: Column) -> Column:
 
 def canonical_uuid(text: Column) -> Column:
     """Lower-case 8-4-4-4-12 form of a UUID, null when the text is not one."""
-    digits = F.lower(F.regexp_replace(text, "-", ""))
-    shaped = F.regexp_replace(
-        digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
-    )
-    accepted = F.lower(text).rlike(
-        r"^([0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9a-f]{32})\z"
-    )
-    return F.when(accepted, shaped)
+    low = F.lower(text)
+    spelled = low.rlike(r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z")
+    compact = low.rlike(r"^[0-9a-f]{32}\z")
+    parts = F.regexp_replace(low, "^(.{8})(.{4})(.{4})(.{4})(.{12})", "$1-$2-$3-$4-$5")
+    return F.when(spelled, low).when(compact, parts)

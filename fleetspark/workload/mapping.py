@@ -24,10 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table of few small splits; a large table has splits enough."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per event, with arrival partition and offset; no duplicates."""
+    return _as_readings(table(spark, sf_dir, "events"))
+
+
+def _as_readings(events: DataFrame) -> DataFrame:
     e = (
-        table(spark, sf_dir, "events")
+        events
         .withColumn("_us", F.unix_micros(F.col("ts").cast("timestamp")))
         .withColumn("_us", F.expr(f"{START_MICROS} + (_us - {START_MICROS}) div 10000"))
     )
@@ -74,9 +84,10 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings with every fiftieth event sent again a thousand places later."""
-    once = readings(spark, sf_dir)
-    again = once.where(F.col("seq") % 50 == 0).withColumn("offset", F.col("offset") + 4002)
-    return once.unionByName(again)
+    once = _as_readings(spread(table(spark, sf_dir, "events")))
+    again = F.when(F.col("seq") % 50 == 0, F.array(F.lit(0), F.lit(4002))).otherwise(F.array(F.lit(0)))
+    sent = once.withColumn("_delay", F.explode(again))
+    return sent.withColumn("offset", F.col("offset") + F.col("_delay")).drop("_delay")
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
