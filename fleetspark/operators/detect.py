@@ -204,7 +204,12 @@ def detect(
     block_rows: int | None = BLOCK_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """All detectors over deduplicated readings; keeps the helper columns."""
+    """All detectors over deduplicated readings; keeps the helper columns.
+
+    Without busy vehicles the readings are read once more to count them (or `counted` is), and
+    the plan is one exchange and one sort. With busy ones, their readings are read again for each
+    of the two carries: give a stored table, or land expensive input first.
+    """
     rows = cut_by_offset(df, KEY, block_rows=block_rows, counted=counted)
     rows = with_previous(rows, settings)
     rows = acceleration(idle_intervals(rows, settings))
@@ -224,7 +229,10 @@ def enrich(detected: DataFrame) -> DataFrame:
     return new_rows(detected).select(*ENRICHED_COLUMNS)
 
 
-def _alert(kind: Column, settings: DetectorSettings, alert_id: Column, start: Column) -> list[Column]:
+def alert_columns(
+    kind: Column, settings: DetectorSettings, alert_id: Column, start: Column
+) -> list[Column]:
+    """Alert row of the current reading: given identity and start, measures of the reading."""
     idling = kind == "IDLING_ALERT"
     seconds = F.when(idling, F.col("idle_duration_seconds")).otherwise(F.lit(0.0))
     fuel = litres(seconds, settings)
@@ -252,14 +260,7 @@ def open_incidents(detected: DataFrame, settings: DetectorSettings = DEFAULTS) -
     kind = F.col("type")
     opened = new_rows(detected).withColumn("type", F.explode("opened_types"))
     start = F.when(kind == "IDLING_ALERT", F.col("idle_start")).otherwise(F.col("timestamp"))
-    return opened.select(*_alert(kind, settings, incident_id(F.col("event_id"), kind), start))
-
-
-def refreshed_alert(
-    settings: DetectorSettings, alert_id: Column, start: Column, kind: Column
-) -> list[Column]:
-    """An alert that stays active: old identity and start, measures of the current reading."""
-    return _alert(kind, settings, alert_id, start)
+    return opened.select(*alert_columns(kind, settings, incident_id(F.col("event_id"), kind), start))
 
 
 def active_episodes(detected: DataFrame, settings: DetectorSettings = DEFAULTS) -> DataFrame:
@@ -291,5 +292,5 @@ def active_episodes(detected: DataFrame, settings: DetectorSettings = DEFAULTS)
     origin = F.col("_episode.origin")
     start = F.when(kind == "IDLING_ALERT", origin["idle_start"]).otherwise(origin["timestamp"])
     return episodes.select(
-        *refreshed_alert(settings, incident_id(origin["event_id"], kind), start, kind)
+        *alert_columns(kind, settings, incident_id(origin["event_id"], kind), start)
     )

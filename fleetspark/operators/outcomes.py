@@ -36,7 +36,11 @@ def batch_outcomes(
     *,
     block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
-    """What became of parsed records: consumed = accepted + duplicates + invalid."""
+    """What became of parsed records: consumed = accepted + duplicates + invalid.
+
+    `parsed` is read three times (keys, intake, detection): give it as a stored table, such as
+    the archive, or land it first.
+    """
     readings = valid_readings(parsed)
     unique = dedup_first(readings)
     if seen is not None:

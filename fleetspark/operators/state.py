@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions.ids import incident_id
 from fleetspark.functions.times import minus_seconds, moment
-from fleetspark.operators.detect import DEFAULTS, KINDS, refreshed_alert
+from fleetspark.operators.detect import DEFAULTS, KINDS, alert_columns
 from fleetspark.plans.paging import check_page, page
 from fleetspark.schema import ALERT, STATE, TELEMETRY_COLUMNS
 from fleetspark.settings import ONLINE_SECONDS, STATE_TTL_SECONDS, DetectorSettings
@@ -55,7 +55,7 @@ def _active_alerts(settings: DetectorSettings, prior: Column | None) -> Column:
             old = F.try_element_at(F.filter(prior, lambda a: a["type"] == kind), F.lit(1))
             alert_id = F.when(origin.isNull(), old["alert_id"]).otherwise(alert_id)
             start = F.when(origin.isNull(), old["start_timestamp"]).otherwise(start)
-        return F.struct(*refreshed_alert(settings, alert_id, start, kind))
+        return F.struct(*alert_columns(kind, settings, alert_id, start))
 
     active = F.filter(openings, lambda o: F.array_contains("detected_types", o["type"]))
     return F.transform(active, alert)

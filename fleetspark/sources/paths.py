@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=1)
@@ -26,6 +27,17 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
+def landed(df: DataFrame, name: str = "table") -> DataFrame:
+    """The same rows as a table written to the shared folder.
+
+    Cuts lineage before work that reads its input several times: parsing or deduplication then
+    happens once, column pruning works again, and a lost executor re-reads files.
+    """
+    path = f"{shared_dir(df.sparkSession)}/fleetspark/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

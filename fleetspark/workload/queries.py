@@ -18,7 +18,7 @@ from fleetspark.operators.outcomes import batch_outcomes, event_latency, partiti
 from fleetspark.plans import reports, snapshot
 from fleetspark.settings import SampleScope, StreamOptions
 from fleetspark.sources import archive, jsonl
-from fleetspark.sources.paths import shared_dir
+from fleetspark.sources.paths import landed, shared_dir
 from fleetspark.streaming import live, raw
 from fleetspark.streaming.sources import FileSource, read_telemetry_stream
 from fleetspark.workload import mapping as m
@@ -470,7 +470,8 @@ def archive_rows(spark, sf_dir):
 
 @query
 def record_outcomes(spark, sf_dir):
-    return batch_outcomes(validate.parse_telemetry(m.records(spark, sf_dir)))
+    parsed = landed(validate.parse_telemetry(m.records(spark, sf_dir)), "parsed")
+    return batch_outcomes(parsed)
 
 
 @query
@@ -611,7 +612,7 @@ LARGE = StreamOptions(bytes=1 << 40)
 def _archived(spark: SparkSession, sf_dir: str) -> str:
     """Records of the first half, then all records: the second append skips the first half."""
     root = scratch(spark, "archive")
-    records = m.records(spark, sf_dir).drop("source_seq")
+    records = landed(m.records(spark, sf_dir).drop("source_seq"), "records")
     facts = records.groupBy("partition").agg(((F.max("offset") + 1) / 2).alias("half"))
     first = (
         records.join(F.broadcast(facts), "partition")
