@@ -12,21 +12,18 @@ from fleetspark.functions.times import moment, seconds_between
 from fleetspark.plans.ordered import BLOCK, BLOCK_ROWS, cut_by_time, running_max
 from fleetspark.settings import REPORT_FRESH_SECONDS
 
-HOUR = 3600
-
 
 def counter_increase(
     samples: DataFrame,
     series: list[str],
     *,
     block_rows: int | None = BLOCK_ROWS,
-    block_seconds: int = HOUR,
 ) -> DataFrame:
     """Add `increase` and `seconds` since the previous sample of each series.
 
     A value below the previous one is a restart from zero. First samples have nulls.
     """
-    rows = cut_by_time(samples, series, "ts", block_seconds=block_seconds, block_rows=block_rows)
+    rows = cut_by_time(samples, series, "ts", block_rows=block_rows)
     rows = running_max(rows, series, ["ts"], before={"_last": F.struct("ts", "value")})
     last = F.col("_last.value")
     grown = F.when(F.col("value") < last, F.col("value")).otherwise(F.col("value") - last)
@@ -42,15 +39,10 @@ def counter_rate(
     metric: str,
     *,
     block_rows: int | None = BLOCK_ROWS,
-    block_seconds: int = HOUR,
 ) -> DataFrame:
     """Per-second rate of a counter between its reports."""
-    rows = counter_increase(
-        samples.where(F.col("metric") == metric),
-        ["source"],
-        block_rows=block_rows,
-        block_seconds=block_seconds,
-    )
+    counter = samples.where(F.col("metric") == metric)
+    rows = counter_increase(counter, ["source"], block_rows=block_rows)
     return rows.where(F.col("seconds") > 0).select(
         "source", "ts", (F.col("increase") / F.col("seconds")).alias("rate")
     )

@@ -33,13 +33,6 @@ def busy_keys(df: DataFrame, keys: list[str], block_rows: int = BLOCK_ROWS) -> D
     )
 
 
-def _cut(df: DataFrame, busy: DataFrame, keys: list[str], number: Column) -> DataFrame:
-    if busy.isEmpty():
-        return uncut(df)
-    marked = df.join(F.broadcast(busy), keys, "left")
-    return marked.withColumn(BLOCK, number).drop("_block_rows")
-
-
 def uncut(df: DataFrame) -> DataFrame:
     """Mark a frame whose keys all fit one task, for example a size-capped micro-batch."""
     return df.withColumn(BLOCK, F.lit(None))
@@ -61,26 +54,37 @@ def cut_by_offset(
     if block_rows is None:
         return uncut(df)
     busy = busy_keys(df if counted is None else counted, keys, block_rows)
+    if busy.isEmpty():
+        return uncut(df)
     # Null for keys that are not busy, because `_block_rows` is.
     number = F.shiftleft(F.col("partition").cast("long"), 32) + F.expr("offset div _block_rows")
-    return _cut(df, busy, keys, number)
+    marked = df.join(F.broadcast(busy), keys, "left")
+    return marked.withColumn(BLOCK, number).drop("_block_rows")
 
 
 def cut_by_time(
-    df: DataFrame,
-    keys: list[str],
-    time: str,
-    *,
-    block_seconds: int,
-    block_rows: int | None = BLOCK_ROWS,
+    df: DataFrame, keys: list[str], time: str, *, block_rows: int | None = BLOCK_ROWS
 ) -> DataFrame:
-    """Add `block` for sequences without offsets: time slices for busy keys, null otherwise."""
+    """Add `block` for sequences without offsets: time slices for busy keys, null otherwise.
+
+    A busy key's slices are as wide as its time span divided by the blocks its rows need, so they
+    hold `block_rows` rows on average however fast the key reports.
+    """
     if block_rows is None:
         return uncut(df)
-    number = F.when(
-        F.col("_block_rows").isNotNull(), F.expr(f"unix_seconds({time}) div {block_seconds}")
+    at = F.unix_micros(time)
+    spans = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_from"), F.max(at).alias("_to")
+    )
+    blocks = F.ceil(F.col("_rows") / F.lit(block_rows))
+    busy = spans.where(F.col("_rows") > block_rows).select(
+        *keys, "_from", (F.floor((F.col("_to") - F.col("_from")) / blocks) + 1).alias("_width")
     )
-    return _cut(df, busy_keys(df, keys, block_rows), keys, number)
+    if busy.isEmpty():
+        return uncut(df)
+    number = F.floor((at - F.col("_from")) / F.col("_width"))
+    marked = df.join(F.broadcast(busy), keys, "left")
+    return marked.withColumn(BLOCK, number).drop("_from", "_width")
 
 
 def running_max(

@@ -520,6 +520,14 @@ ORACLE: dict[str, str] = {
     "differing_rows": _with(
         "SELECT event_id, vehicle_id, 'left' AS side FROM readings WHERE seq % 50 = 0", "readings"
     ),
+    "lookup_forms_agree": _with(
+        """SELECT event_id, vehicle_id, speed_kmh, 'left' AS side FROM readings
+           WHERE (vehicle_id = 'V000007') <> (substr(vehicle_id, 2) = '000007')""",
+        "readings",
+    ),
+    "bounded_fleets": """
+        SELECT 'F' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS fleet_id, n_name AS name
+        FROM nation""",
     "archive_status": _with(
         """SELECT part AS "partition", min(pos) AS start_offset, max(pos) + 1 AS next_offset,
            count(*) AS records, count(fault) AS invalid FROM records GROUP BY part""",

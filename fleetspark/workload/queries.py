@@ -15,7 +15,7 @@ from fleetspark.operators import detect as d
 from fleetspark.operators import metrics, registry, state, tables, validate
 from fleetspark.operators.dedup import dedup_first, drop_seen
 from fleetspark.operators.outcomes import batch_outcomes, event_latency, partition_lag
-from fleetspark.plans import reports, snapshot
+from fleetspark.plans import paging, reports, snapshot
 from fleetspark.settings import SampleScope, StreamOptions
 from fleetspark.sources import archive, jsonl
 from fleetspark.sources.paths import landed, shared_dir
@@ -604,6 +604,19 @@ def differing_rows(spark, sf_dir):
     return snapshot.differing_rows(sent, once)
 
 
+@query
+def lookup_forms_agree(spark, sf_dir):
+    """Rows in which the prunable and the substring form of a vehicle lookup differ: none."""
+    rows = m.readings(spark, sf_dir).select("event_id", "vehicle_id", "speed_kmh")
+    by_text = rows.where(F.substring("vehicle_id", 2, 6) == "000007")
+    return snapshot.differing_rows(rows.where(F.col("vehicle_id") == "V000007"), by_text)
+
+
+@query
+def bounded_fleets(spark, sf_dir):
+    return paging.bounded(m.fleets(spark, sf_dir))
+
+
 # --- archive -----------------------------------------------------------------------------------
 
 LARGE = StreamOptions(bytes=1 << 40)

@@ -218,6 +218,17 @@ def test_counter_rate_survives_restarts(spark, block_rows):
     assert [r["rate"] for r in rates] == [5.0, 3.0, 1 / 7996]
 
 
+def test_cut_counters_equal_uncut_ones(spark):
+    values = [point(i * 0.5 + (i % 7) * 0.01, (i * 37) % 900) for i in range(700)]
+    other = [point(i * 60.0, i, source="slow") for i in range(20)]
+    rows = samples(spark, values).unionByName(samples(spark, other))
+    whole, cut = (
+        sorted(map(tuple, metrics.counter_rate(rows, "consumed", block_rows=n).collect()))
+        for n in (None, 25)
+    )
+    assert whole == cut and len(whole) == 718
+
+
 def test_stale_or_stopped_reports_are_left_out(spark):
     rows = samples(spark, [point(0, 1)]).unionByName(
         samples(spark, [point(4, 1)], source="simulator", running=False)
