@@ -748,7 +748,7 @@ def progress_check(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource:
+def record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource:
     """Records as files in arrival order: each micro-batch is a range of offsets.
 
     As on a topic, a source partition's records of a batch lie in one file, in offset order.
@@ -767,7 +767,7 @@ def _record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource
 def _live(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
     root = scratch(spark, "live")
     job = live.start_live(
-        read_telemetry_stream(spark, _record_source(spark, sf_dir, batches)),
+        read_telemetry_stream(spark, record_source(spark, sf_dir, batches)),
         f"{root}/tables",
         f"{root}/checkpoint",
         drain=True,
@@ -803,7 +803,7 @@ def live_state(spark, sf_dir):
 @query
 def archive_stream(spark, sf_dir):
     root = scratch(spark, "raw")
-    source = _record_source(spark, sf_dir, 3)
+    source = record_source(spark, sf_dir, 3)
     raw.start_archive(
         read_telemetry_stream(spark, source, fail_on_data_loss=True),
         f"{root}/archive",

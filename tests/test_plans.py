@@ -30,6 +30,19 @@ def test_state_and_report_add_no_exchange_by_vehicle(spark):
     assert plan(reports.idling_report(d.enrich(detected), AS_OF)).count("Exchange") == 1
 
 
+def test_cutting_adds_no_exchange_of_all_readings(spark):
+    """Whole rows move once, by vehicle and block; the carries only read busy vehicles."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(d.enrich(d.detect(m.readings(spark, SF), block_rows=30)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = re.findall(r"Exchange hashpartitioning\(vehicle_id#\d+, block", text)
+    joins = re.findall(r"BroadcastHashJoin \[vehicle_id#\d+\], \[vehicle_id#\d+\], (\w+)", text)
+    assert joins.count("LeftOuter") == 1 and joins.count("Inner") == 3
+    assert text.count("SortMergeJoin") == 3 and len(moves) > 1
+
+
 def test_copies_are_pruned_before_the_shuffle(spark):
     text = plan(dedup_first(m.arrivals(spark, SF)))
     assert re.search(r"WindowGroupLimit \[event_id.*Partial", text)
