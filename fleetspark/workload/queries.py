@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -764,15 +765,31 @@ def record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource:
     return FileSource(path, m.PARTITIONS)
 
 
+@contextmanager
+def partitions_for_cores(spark: SparkSession):
+    """At most two shuffle (and so state) partitions per core while a stream is started.
+
+    A stream keeps the number it started with; on a cluster the session's own setting is lower.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(configured), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
+
+
 def _live(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
     root = scratch(spark, "live")
-    job = live.start_live(
-        read_telemetry_stream(spark, record_source(spark, sf_dir, batches)),
-        f"{root}/tables",
-        f"{root}/checkpoint",
-        drain=True,
-    )
-    job.awaitTermination()
+    source = record_source(spark, sf_dir, batches)
+    with partitions_for_cores(spark):
+        live.start_live(
+            read_telemetry_stream(spark, source),
+            f"{root}/tables",
+            f"{root}/checkpoint",
+            drain=True,
+        ).awaitTermination()
     return f"{root}/tables"
 
 
@@ -829,15 +846,16 @@ def activity_stream(spark, sf_dir):
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/version={batch_id}")
 
-    (
-        raw.activity_stream(stream, lateness="40 days")
-        .writeStream.outputMode("complete")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .foreachBatch(replace)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    with partitions_for_cores(spark):
+        (
+            raw.activity_stream(stream, lateness="40 days")
+            .writeStream.outputMode("complete")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .foreachBatch(replace)
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
     versions = spark.read.parquet(f"{root}/out")
     newest = versions.where(F.col("version") == versions.agg(F.max("version")).first()[0])
     return newest.select(
