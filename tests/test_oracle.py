@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from fleetspark.workload.oracle import ORACLE
+from fleetspark.workload.queries import QUERIES
 from tests.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -16,15 +18,16 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
-    frame = entry.queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert difference(frame, sql.execute(entry.oracle_sql()[name])) is None
+    assert difference(frame, sql.execute(ORACLE[name])) is None
 
 
 def test_entry(spark):
