@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspark.llm import quality
+from fleetspark.llm import near_dedup, quality
 from fleetspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,3 +22,39 @@ def query(build: Query) -> Query:
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), 85, 100).drop("class")
+
+
+ORACLE["op10_minhash_near_dedup"] = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\v\f\r]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+    FROM words
+), items AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS c
+    FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT x, y FROM shared WHERE 100 * c >= 85 * (nx + ny - c)
+    UNION SELECT y, x FROM shared WHERE 100 * c >= 85 * (nx + ny - c)
+), reach AS (
+    SELECT x, y FROM links
+    UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), smallest AS (
+    SELECT x, min(y) AS m FROM reach GROUP BY x
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+    doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM sets LEFT JOIN smallest ON x = doc_id
+"""
