@@ -40,7 +40,7 @@ BAND_ROWS = 4
 BANDS = REGISTERS // BAND_ROWS
 BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
 MARGIN = 0.2
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21  # classes and shingles of a chunk
 FILTER_BITS = 1 << 23
 
 _ODD = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
@@ -208,7 +208,7 @@ def _verified(num: int, den: int):
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """class, shingles of the wanted classes, from the texts of their first documents.
+    """class, registers, shingles of the wanted classes, from the texts of their first documents.
 
     A bitmap of fixed size leaves out most other texts before anything moves.
     """
@@ -243,7 +243,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         id_text(docs)
         .withColumn("slot", slot)
         .mapInArrow(again, "class binary, shingles binary")
-        .join(wanted.select("class"), "class", "left_semi")
+        .join(wanted.select("class", "registers"), "class")
         .dropDuplicates(["class"])
     )
 
@@ -396,16 +396,16 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
         .mapInArrow(_estimated(least), "a binary, b binary"),
         "likely",
     )
-    wanted = classes.select("class", "first_id").join(members.select("class"), "class", "left_semi")
+    wanted = classes.select("class", "first_id", "registers").join(members.select("class"), "class", "left_semi")
     sets = ws.land(_sets(docs, wanted), "sets")
     edges = ws.land(
-        likely.join(sets.toDF("a", "set_a"), "a")
-        .join(sets.toDF("b", "set_b"), "b")
+        likely.join(sets.select("class", "shingles").toDF("a", "set_a"), "a")
+        .join(sets.select("class", "shingles").toDF("b", "set_b"), "b")
         .mapInArrow(_verified(num, den), "a binary, b binary"),
         "edges",
     )
     roots = components(edges, ws, "first")
-    found = ws.land(_unresolved(members, roots, classes, sets, num, den), "found")
+    found = ws.land(_unresolved(members, roots, sets, num, den), "found")
     if not found.isEmpty():
         roots = components(edges.union(found), ws, "second")
     rooted = (
@@ -429,12 +429,13 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     return result
 
 
-def _unresolved(members, roots, classes, sets, num: int, den: int) -> DataFrame:
+def _unresolved(members, roots, sets, num: int, den: int) -> DataFrame:
     """Links within buckets whose classes are in several components so far."""
     placed = members.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         "key", "class", "n", F.coalesce("root", "class").alias("comp")
     )
     mark = F.xxhash64("comp")
+    chunks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
     open_keys = (
         placed.groupBy("key")
         .agg(
@@ -442,11 +443,12 @@ def _unresolved(members, roots, classes, sets, num: int, den: int) -> DataFrame:
             F.max(mark).alias("high"),
             F.bit_xor(F.xxhash64("class")).alias("content"),
             F.count("*").alias("size"),
+            F.sum("n").alias("shingles"),
         )
         .where("low <> high")
-        .groupBy("content", "size")  # buckets of the same classes are compared once
+        .groupBy("content", "size", "shingles")  # buckets of the same classes are compared once
         .agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("chunks"))
+        .select("key", chunks.cast("int").alias("chunks"))
     )
     chunk = F.pmod(F.xxhash64("class", "key"), F.col("chunks")).cast("int")
     dealt = (
@@ -458,8 +460,7 @@ def _unresolved(members, roots, classes, sets, num: int, den: int) -> DataFrame:
         .drop("other", "chunks")
     )
     return (
-        dealt.join(classes.select("class", "registers"), "class")
-        .join(sets, "class")
+        dealt.join(sets, "class")
         .groupBy("key", "low", "high")
         .applyInArrow(_block_links(num, den), "a binary, b binary")
     )
