@@ -243,6 +243,10 @@ def _written(spans: Column) -> Column:
     )
 
 
+def _count(spans: Column, rank: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans for every row.
 
@@ -258,10 +262,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
         "left",
     )
     spans = F.array_sort(F.concat("b.seeds", F.coalesce("e.extra", F.array().cast(SPANS))))
-    counts = [
-        F.size(F.filter("b.seeds", lambda s, k=k: s["rank"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(KINDS)
-    ]
+    counts = [_count(F.col("b.seeds"), k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return joined.select(
         "b.doc_id", *counts, F.sha2(_written(F.col("b.seeds")), 256).alias("base_sha256"),
         _written(spans).alias("spans"),
