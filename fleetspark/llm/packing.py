@@ -11,6 +11,7 @@ not padded, so no padding is left.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,7 +27,7 @@ SIZE = 2048
 END = 1
 GROUP_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SIZE
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, "
@@ -38,6 +39,8 @@ PIECES = (
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
+    # Spark runs a task on each core; threads of the tokenizer would compete with them.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Tokenizer.from_file(path)
 
 
