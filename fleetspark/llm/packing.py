@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +28,7 @@ SIZE = 2048
 END = 1
 GROUP_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SIZE
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, "
@@ -55,17 +56,17 @@ class WordIds(dict):
         super().__init__()
         self.path = path
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, split: list[list[bytes]]) -> None:
         if len(self) > CACHE_WORDS:
             self.clear()
-        new = [word for word in dict.fromkeys(words) if word not in self]
+        new = list(set().union(*split).difference(self))
         for start in range(0, len(new), 20_000):
             part = new[start : start + 20_000]
             coded = _tokenizer(self.path).encode_batch_fast(
                 [word.decode("utf-8") for word in part], add_special_tokens=False
             )
             for word, one in zip(part, coded):
-                self[word] = np.array(one.ids, np.uint16).tobytes()
+                self[word] = array("H", one.ids).tobytes()
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -75,7 +76,7 @@ def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     """Each text's ids and the end id, as little-endian unsigned 16-bit integers."""
     known = _WORDS.setdefault(path, WordIds(path))
     split = [text.split() for text in texts]
-    known.learn([word for words in split for word in words])
+    known.learn(split)
     end = np.array([END], np.uint16).tobytes()
     return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
