@@ -3,12 +3,13 @@
 Domains are the label combinations of a labelled table. A naive Bayes classifier over binned text
 features and indicative words, counted on the labelled documents, gives every document a posterior
 over domains. Rates r >= 0 per document then minimise the squared distance between the expected
-domain totals sum(r * tokens * posterior) and their targets, by projected gradient steps from
-r = 1: each step is one distributed aggregate, and only the domain totals reach the driver.
+domain totals sum(r * tokens * posterior) and their targets, by accelerated projected gradient
+steps from r = 1: each step is one aggregate, and only the domain totals reach the driver.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 import numpy as np
@@ -20,9 +21,10 @@ from fleetspark.llm.common import Workspace, id_text
 DOMAINS = ("clean", "low", "toxic")
 SPLIT = r"[\x20\x09-\x0D]+"
 LEXICON = 200
-LABELLED = 20_000
+LABELLED = 4_000
 STEPS = 60
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
+BIN_COUNT, FEATURE_COUNT = 10, 5
 
 
 def domain_of(quality: Column, toxic: Column) -> Column:
@@ -32,23 +34,21 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(lower, SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), SPLIT), "")
 
 
 def _share_bin(part: Column, whole: Column) -> Column:
     """0..9, finer near zero; an empty whole is bin 0."""
     share = F.when(whole > 0, part / whole).otherwise(0.0)
-    return F.least(F.floor(F.sqrt(share) * 10), F.lit(9)).cast("int")
+    return F.least(F.floor(F.sqrt(share) * 10), F.lit(BIN_COUNT - 1)).cast("int")
 
 
-def _count_of(text: Column, mark: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+def _runs_of(text: Column, marks: str) -> Column:
+    return F.size(F.split(text, marks, -1)) - 1
 
 
 def features(rows: DataFrame, lexicon: list[str]) -> DataFrame:
     """`rows` with `tokens` and `bins`: distinct words, marks, word length, size, known words."""
-    marks = reduce(lambda a, b: a + b, [_count_of(F.col("text"), m) for m in "#$%&*!"])
     known = F.array(*map(F.lit, lexicon)) if lexicon else F.array().cast("array<string>")
     counted = (
         rows.withColumn("words", _words(F.col("text")))
@@ -58,17 +58,14 @@ def features(rows: DataFrame, lexicon: list[str]) -> DataFrame:
     hits = F.size(F.array_intersect("kinds", known))
     bins = F.array(
         _share_bin(F.size("kinds"), F.col("tokens")),
-        _share_bin(marks, F.length("text")),
-        _share_bin(_count_of(F.col("text"), "|"), F.length("text")),
+        _share_bin(_runs_of(F.col("text"), r"[#$%&*]+"), F.col("tokens")),
+        _share_bin(_runs_of(F.col("text"), r"\|"), F.col("tokens")),
         F.least(F.floor(F.log2(F.col("tokens") + 1) / 2), F.lit(9)).cast("int"),
         F.least(hits, F.lit(9)),
     )
     return counted.withColumn("bins", bins).drop("words", "kinds")
 
 
-BIN_COUNT, FEATURE_COUNT = 10, 5
-
-
 def learn_lexicon(labelled: DataFrame, size: int = LEXICON) -> list[str]:
     """Words most over-represented among toxic documents, at most `size`, ties by word."""
     toxic = F.col("domain") == 2
@@ -131,52 +128,136 @@ def with_posteriors(rows: DataFrame, weights: np.ndarray) -> DataFrame:
     return rows.drop("bins", "raw_top", "raw_total", *[f"raw_{k}" for k in range(len(DOMAINS))])
 
 
-def rate_column(duals: list[list[float]]) -> Column:
-    """The rate after the given steps: each subtracts posterior . dual and projects onto r >= 0."""
-    if not duals:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*map(F.lit, dual)) for dual in duals])
+def _ahead(state: Column, step: Column) -> Column:
+    change = reduce(lambda a, b: a + b, [F.col(f"p_{k}") * step[k] for k in range(len(DOMAINS))])
+    rate = F.greatest(F.lit(0.0), state["ahead"] - change)
+    ahead = rate + step[len(DOMAINS)] * (rate - state["rate"])
+    return F.struct(rate.alias("rate"), ahead.alias("ahead"))
+
 
-    def step(rate: Column, dual: Column) -> Column:
-        change = reduce(lambda a, b: a + b, [F.col(f"p_{k}") * dual[k] for k in range(len(DOMAINS))])
-        return F.greatest(F.lit(0.0), rate - change)
+def after(steps: list[list[float]], which: str = "rate") -> Column:
+    """The rate after the given steps, or the point ahead of it where the next slope is taken.
 
-    return F.aggregate(steps, F.lit(1.0), step)
+    A step subtracts posterior . slope, projects onto r >= 0 and looks ahead by its last number.
+    """
+    if not steps:
+        return F.lit(1.0)
+    listed = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    return F.aggregate(listed, start, _ahead, lambda s: s[which])
 
 
-def fit_rates(members: DataFrame, weights: list[float]) -> tuple[list[list[float]], list[float], list[float]]:
-    """Dual steps, targets and reached totals.
+def fit_rates(members: DataFrame, weights: list[float], ws: Workspace) -> list[list[float]]:
+    """The steps whose `after` is the rate of a row, from its posterior alone.
 
     The budget keeps the first domain's expected total: its share of the targets equals what it
-    has. Steps are taken in the metric of tokens, in which the curvature is the largest eigenvalue
-    of sum(tokens * p p'), a small matrix. Domains without a token keep a target of what they have.
+    has. Rows of one posterior have one rate, so totals are kept per distinct posterior, at most
+    BIN_COUNT ** FEATURE_COUNT of them. Slopes are taken in the metric of tokens, in which the
+    curvature is the largest eigenvalue of sum(tokens * p p'), a small matrix. A domain without any
+    mass gets no target.
     """
     size = range(len(DOMAINS))
-    sums = members.agg(
-        *[F.sum(F.col("tokens") * F.col(f"p_{k}")).alias(f"t_{k}") for k in size],
-        *[
-            F.sum(F.col("tokens") * F.col(f"p_{i}") * F.col(f"p_{j}")).alias(f"c_{i}_{j}")
-            for i in size
-            for j in size
-        ],
-    ).first()
-    have = np.array([sums[f"t_{k}"] or 0.0 for k in size])
-    curve = np.array([[sums[f"c_{i}_{j}"] or 0.0 for j in size] for i in size])
+    names = [f"p_{k}" for k in size]
+    profiles = ws.land(members.groupBy(*names).agg(F.sum("tokens").alias("tokens")).coalesce(4), "profiles")
+
+    def totals(rate: Column) -> np.ndarray:
+        row = (
+            profiles.withColumn("mass", rate * F.col("tokens"))
+            .agg(*[F.sum(F.col("mass") * F.col(n)) for n in names])
+            .first()
+        )
+        return np.array([x or 0.0 for x in row])
+
+    have = totals(F.lit(1.0))
+    row = profiles.agg(*[F.sum(F.col("tokens") * F.col(a) * F.col(b)) for a in names for b in names]).first()
+    curve = np.array([x or 0.0 for x in row]).reshape(len(names), -1)
     share = np.array(weights, float) / sum(weights)
     if not have.sum():
-        return [], [0.0] * len(have), have.tolist()
+        return []
     budget = have[0] / share[0] if share[0] > 0 and have[0] > 0 else have.sum()
     targets = np.where(have > 0, share * budget, 0.0)
     speed = 1.0 / max(np.linalg.eigvalsh(curve)[-1], 1e-9)
-    duals: list[list[float]] = []
-    reached = have
+    steps: list[list[float]] = []
+    momentum, ahead = 1.0, have
     for _ in range(STEPS):
-        gap = reached - targets
+        gap = ahead - targets
         if np.abs(gap).max() <= TOLERANCE * budget:
             break
-        duals.append((speed * gap).tolist())
-        row = members.select("tokens", *[f"p_{k}" for k in size], rate_column(duals).alias("rate")).agg(
-            *[F.sum(F.col("rate") * F.col("tokens") * F.col(f"p_{k}")).alias(f"t_{k}") for k in size]
-        ).first()
-        reached = np.array([row[f"t_{k}"] for k in size])
-    return duals, targets.tolist(), reached.tolist()
+        following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        steps.append([*(speed * gap).tolist(), (momentum - 1) / following])
+        momentum = following
+        ahead = totals(after(steps, "ahead"))
+    return steps
+
+
+def prepared(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
+    """doc_id, text_key, tokens and the posterior of every row, landed.
+
+    Learns from the `LABELLED` labelled documents of the smallest hashed ids.
+    """
+    domain = domain_of(F.col("quality").cast("int"), F.col("toxic").cast("int"))
+    known = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), domain.alias("domain"))
+        .where("doc_id IS NOT NULL AND domain IS NOT NULL")
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "domain")
+        .limit(LABELLED)
+    )
+    labelled = ws.land(id_text(docs).join(F.broadcast(known), "doc_id").select("text", "domain"), "labelled")
+    lexicon = learn_lexicon(labelled)
+    weights = learn_posterior(features(labelled, lexicon))
+    rows = id_text(docs).withColumn("text_key", F.xxhash64("text"))
+    members = ws.land(with_posteriors(features(rows, lexicon).drop("text"), weights), "members")
+    ws.drop("labelled")
+    return members
+
+
+def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """doc_id, tokens, domain, posterior_<domain> and rate of every row.
+
+    `weights` gives each domain's share of the tokens. Null and empty texts have no tokens, keep a
+    posterior and a rate, and move no total. Equal rows get equal rates. Without labelled
+    documents the posterior is uniform.
+    """
+    ws = Workspace(docs.sparkSession, "mixing")
+    members = prepared(docs, labels, ws)
+    steps = fit_rates(members, [weights[d] for d in DOMAINS], ws)
+    size = range(len(DOMAINS))
+    top = F.greatest(*[F.col(f"p_{k}") for k in size])
+    domain = reduce(
+        lambda rest, k: F.when(F.col(f"p_{k}") == top, DOMAINS[k]).otherwise(rest),
+        reversed(size),
+        F.lit(None).cast("string"),
+    )
+    return members.select(
+        "doc_id", "tokens", domain.alias("domain"),
+        *[F.col(f"p_{k}").alias(f"posterior_{d}") for k, d in enumerate(DOMAINS)],
+        after(steps).alias("rate"),
+    )
+
+
+def draw(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """The rows of `docs`, each as often as its rate asks: the whole part of the rate plus a copy
+    whose chance is the fraction, by a hash of id and text. All columns stay as they are.
+    """
+    ws = Workspace(docs.sparkSession, "mixing")
+    members = prepared(docs, labels, ws)
+    steps = fit_rates(members, [weights[d] for d in DOMAINS], ws)
+    chance = F.pmod(F.xxhash64("doc_id", "text_key", F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.floor(after(steps) + chance).cast("int")
+    # Most rows stay once; only the others travel.
+    moved = (
+        members.select(F.struct("doc_id", "text_key", copies.alias("copies")).alias("__mix"))
+        .where("__mix.copies <> 1")
+        .distinct()
+    )
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    joined = docs.join(
+        moved,
+        F.col("doc_id").cast("long").eqNullSafe(F.col("__mix.doc_id")) & (key == F.col("__mix.text_key")),
+        "left",
+    )
+    times = F.coalesce("__mix.copies", F.lit(1))
+    return (
+        joined.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), times)))
+        .drop("__mix", "__mix_copy")
+    )

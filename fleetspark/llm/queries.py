@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspark.llm import near_dedup, packing, pii, quality
+from fleetspark.llm import mixing, near_dedup, packing, pii, quality
 from fleetspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# Shares of the mixed corpus; the clean documents set its size.
+MIX_WEIGHTS = {"clean": 0.95, "low": 0.04, "toxic": 0.01}
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), MIX_WEIGHTS)
+
+
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), 85, 100).drop("class")
