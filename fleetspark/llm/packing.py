@@ -26,9 +26,10 @@ from fleetspark.llm.common import Workspace, blobs, id_text, sliced
 
 SIZE = 2048
 END = 1
+SEPARATOR = "<|endoftext|>"
 GROUP_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SIZE
-CACHE_WORDS = 900_000
+CACHE_WORDS = 600_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, "
@@ -60,13 +61,23 @@ class WordIds(dict):
         if len(self) > CACHE_WORDS:
             self.clear()
         new = list(set().union(*split).difference(self))
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            coded = _tokenizer(self.path).encode_batch_fast(
-                [word.decode("utf-8") for word in part], add_special_tokens=False
-            )
-            for word, one in zip(part, coded):
-                self[word] = array("H", one.ids).tobytes()
+        tokenizer = _tokenizer(self.path)
+        mark = tokenizer.token_to_id(SEPARATOR)
+        plain = [word for word in new if mark is not None and b"<|" not in word]
+        for start in range(0, len(plain), 2000):
+            # One call for many words: the special token between them is split off first, so its
+            # id marks where each word's ids end.
+            part = plain[start : start + 2000]
+            text = SEPARATOR.join(map(bytes.decode, part))
+            ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
+            raw, cut = ids.tobytes(), 0
+            for word, end in zip(part, [*np.flatnonzero(ids == mark).tolist(), len(ids)]):
+                self[word] = raw[2 * cut : 2 * end]
+                cut = end + 1
+        for word in new:
+            if word not in self:
+                ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                self[word] = array("H", ids).tobytes()
 
 
 _WORDS: dict[str, WordIds] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspark.llm import mixing, near_dedup, packing, pii, quality
+from fleetspark.llm import kdtree, mixing, near_dedup, packing, pii, quality, sharding
 from fleetspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,55 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+SHARD_BYTES = 16 << 20
+
+
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+ORACLE["op1_sharding"] = f"""
+WITH h AS (
+    SELECT doc_id, strlen(coalesce(text, '')) AS bytes,
+        ('0x' || left(md5(coalesce(doc_id::VARCHAR, '') || chr(31) || coalesce(text, '')), 15))::BIGINT AS hash
+    FROM documents
+), p AS (
+    SELECT doc_id, bytes, d AS depth, hash >> (60 - d) AS prefix FROM h, range(0, 61) t(d)
+), n AS (
+    SELECT depth, prefix, sum(bytes)::BIGINT AS shard_bytes FROM p GROUP BY depth, prefix
+), r AS (
+    SELECT p.*, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY p.depth) AS k
+    FROM p JOIN n ON p.depth = n.depth AND p.prefix = n.prefix
+    WHERE shard_bytes <= {SHARD_BYTES} OR p.depth = 60
+)
+SELECT doc_id, bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INT, '0') END AS shard,
+    depth::INTEGER AS depth, 0::BIGINT AS page, shard_bytes
+FROM r WHERE k = 1
+"""
+
+
+@query
+def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return kdtree.top_k(rows, rows.where("vec_id % 100 = 0"))
+
+
+ORACLE["op7_kdtree_topk"] = """
+WITH v AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+), s AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+    FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id
+), r AS (
+    SELECT query_id, vec_id, score,
+        row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
