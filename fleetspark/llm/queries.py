@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspark.llm import kdtree, mixing, near_dedup, packing, pii, quality, sharding
+from fleetspark.llm import ann, kdtree, licenses, lm, mixing, near_dedup, packing, pii, quality, sharding
 from fleetspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,22 @@ FROM r WHERE k = 1
 """
 
 
+@query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_kdtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
