@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from fleetspark.llm.common import WordHashes, Workspace, blobs, id_text, in_fold, sliced, words_of
 
-DEPTH = 5
-LEAST_SHARE = 1e-4
+DEPTH = 6
+LEAST_SHARE = 5e-5
 LEAST_DIVERGENCE = 0.01
 SMOOTHING = 2.0
 HOT_SHARE = 1e-4
@@ -86,7 +86,7 @@ class SuffixTree:
         self.child[parent][context[0]] = state
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.array(self.log, np.float64), np.array(self.child)
+        return np.array(self.log, np.float32), np.array(self.child)
 
 
 def text_score(symbols: np.ndarray, log: np.ndarray, child: np.ndarray) -> np.ndarray:
@@ -98,7 +98,7 @@ def text_score(symbols: np.ndarray, log: np.ndarray, child: np.ndarray) -> np.nd
         longer = child[state, symbols[DEPTH - back : DEPTH - back + count]]
         alive &= longer > 0
         state = np.where(alive, longer, state)
-    return log[state, symbols[DEPTH:]]
+    return log[state, symbols[DEPTH:]].astype(float)
 
 
 def learn_tree(counts: DataFrame) -> SuffixTree:
