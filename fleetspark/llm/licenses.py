@@ -20,7 +20,9 @@ from fleetspark.llm.common import blobs, id_text, sliced
 # Notices of public licenses.
 TEMPLATES = {
     "MIT": "Released under the MIT License.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\");",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, "
     "are permitted provided that the following conditions are met:",
     "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms "
