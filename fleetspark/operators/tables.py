@@ -1,8 +1,9 @@
 """History tables on Parquet: layout, replacing reads, retention, compaction.
 
-Layout: `<path>/batch_id=<n>/month=<yyyymm>/*.parquet`. A batch always writes to its own
+Layout: `<table>/batch_id=<n>/month=<yyyymm>/*.parquet`. A batch always writes to its own
 directory, so repeating a batch replaces exactly its own rows, and `read_final` collapses rows
-that reached two batches.
+that reached two batches. Folded months of batches up to n lie in
+`<table>_folded/batch_id=<n>/fold=<k>/month=<yyyymm>`, which no batch ever writes to.
 """
 
 from __future__ import annotations
@@ -54,15 +55,39 @@ def write_history(rows: DataFrame, root: str, table: str, batch_id: int) -> None
 
 
 def read_history(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Every stored row of a table, with `batch_id` and `month`; empty when nothing is stored."""
+    """Every stored row of a table, with `batch_id` and `month`; empty when nothing is stored.
+
+    Folded rows have the number of the last batch folded.
+    """
     schema = T.StructType(
         TABLES[table].fields
         + [T.StructField("batch_id", T.LongType()), T.StructField("month", T.IntegerType())]
     )
-    path = f"{root}/{table}"
-    if not exists(spark, path):
+    parts = [
+        spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.fieldNames())
+        for path in (f"{root}/{table}", f"{root}/{table}_folded")
+        if exists(spark, path)
+    ]
+    if not parts:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _number(name: str) -> int:
+    return int(name.split("=")[1])
+
+
+def _month_folders(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Month folders below `root`: folded ones first, then by rising batch."""
+    found = []
+    for batch in sorted(child_names(spark, f"{root}/{table}_folded"), key=_number):
+        for fold in child_names(spark, f"{root}/{table}_folded/{batch}"):
+            inside = f"{table}_folded/{batch}/{fold}"
+            found += [f"{inside}/{m}" for m in child_names(spark, f"{root}/{inside}") if "month=" in m]
+    for batch in sorted(child_names(spark, f"{root}/{table}"), key=_number):
+        inside = f"{table}/{batch}"
+        found += [f"{inside}/{m}" for m in child_names(spark, f"{root}/{inside}") if "month=" in m]
+    return found
 
 
 def read_final(df: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
@@ -107,28 +132,35 @@ def drop_expired_months(
 ) -> list[str]:
     """Delete month directories that lie wholly before the retention period (M1)."""
     first_kept = spark.range(1).select(month_of(_oldest(as_of, days)).alias("m")).first()["m"]
-    path, dropped = f"{root}/{table}", []
-    for batch in child_names(spark, path):
-        for month in child_names(spark, f"{path}/{batch}"):
-            if month.startswith("month=") and int(month.split("=")[1]) < first_kept:
-                delete(spark, f"{path}/{batch}/{month}")
-                dropped.append(f"{batch}/{month}")
+    dropped = []
+    for folder in _month_folders(spark, root, table):
+        if _number(folder.rsplit("/", 1)[1]) < first_kept:
+            delete(spark, f"{root}/{folder}")
+            dropped.append(folder.removeprefix(f"{table}/"))
     return dropped
 
 
 def compact_month(spark: SparkSession, root: str, table: str, month: int, batch_id: int) -> None:
-    """Fold a month of all batches up to `batch_id` into that batch, duplicates collapsed (M2).
+    """Fold a month of all batches up to `batch_id`, earlier folds included, into one (M2).
 
-    The folded rows are appended first and the older directories deleted afterwards. Folded rows
-    equal what `read_final` picks, so a crash at any point leaves a table that reads the same.
+    The fold has a folder of its own, so a restarted stream that repeats a batch cannot overwrite
+    rows of others; `read_final` collapses what it repeats. Folded rows equal what `read_final`
+    picks, and what they replace is deleted after they are written, older folds and batches first,
+    so a crash at any point leaves a table that reads the same.
     """
-    path = f"{root}/{table}"
+    replaced = [
+        folder
+        for folder in _month_folders(spark, root, table)
+        if folder.endswith(f"/month={int(month)}") and _number(folder.split("/")[1]) <= batch_id
+    ]
+    if not replaced:
+        return
     stored = read_history(spark, root, table).where(
         (F.col("month") == month) & (F.col("batch_id") <= batch_id)
     )
     folded = cluster_by_vehicle(read_final(stored, KEYS[table]).drop("batch_id", "month"))
-    target = f"{path}/batch_id={int(batch_id)}/month={int(month)}"
-    folded.write.mode("append").option("compression", "zstd").parquet(target)
-    for batch in child_names(spark, path):
-        if batch.startswith("batch_id=") and int(batch.split("=")[1]) < batch_id:
-            delete(spark, f"{path}/{batch}/month={int(month)}")
+    target = f"{root}/{table}_folded/batch_id={int(batch_id)}"
+    fold = 1 + max([_number(name) for name in child_names(spark, target)], default=0)
+    folded.write.option("compression", "zstd").parquet(f"{target}/fold={fold}/month={int(month)}")
+    for folder in replaced:
+        delete(spark, f"{root}/{folder}")

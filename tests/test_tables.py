@@ -12,6 +12,7 @@ from fleetspark.operators import metrics, registry, state, tables
 from fleetspark.plans import paging, reports, snapshot
 from fleetspark.schema import FLEET, METRIC_SAMPLE, VEHICLE
 from fleetspark.settings import SampleScope
+from fleetspark.workload import mapping
 from tests.build import START, at, frame
 
 
@@ -48,6 +49,35 @@ def test_retention_and_compaction(spark, tmp_path):
     assert tables.read_final(stored, tables.TELEMETRY_KEYS).count() == 2
 
 
+def test_batch_repeated_after_folding(spark, tmp_path):
+    root = str(tmp_path)
+    first, second = enriched(spark, [at(0), at(1)]), enriched(spark, [at(2), at(3), at(4)])
+    tables.write_history(first, root, "telemetry", 0)
+    tables.write_history(second, root, "telemetry", 1)
+    tables.compact_month(spark, root, "telemetry", 202609, 1)
+    assert tables.read_history(spark, root, "telemetry").count() == 5
+    tables.write_history(second, root, "telemetry", 1)
+    for _ in range(2):
+        stored = tables.read_history(spark, root, "telemetry")
+        assert tables.read_final(stored, tables.TELEMETRY_KEYS).count() == 5
+        tables.compact_month(spark, root, "telemetry", 202609, 1)
+    assert tables.read_history(spark, root, "telemetry").count() == 5
+    assert tables.drop_expired_months(spark, root, "telemetry", START + timedelta(days=90)) == [
+        "telemetry_folded/batch_id=1/fold=3/month=202609"
+    ]
+
+
+def test_ids_of_seven_digits(spark):
+    numbers = spark.createDataFrame([(1234567,), (1234568,), (42,), (None,)], "n long")
+    ids = numbers.select(mapping.numbered("V", F.col("n"), 6).alias("vehicle_id"))
+    assert [r[0] for r in ids.collect()] == ["V1234567", "V1234568", "V000042", None]
+    known = spark.createDataFrame([("V1234567", *VEHICLES[0][1:])], VEHICLE)
+    readings = frame(spark, [at(0, vehicle_id="V1234567"), at(1, vehicle_id="V1234568")])
+    assert [r[0] for r in registry.unknown_vehicles(readings, known).select("vehicle_id").collect()] == ["V1234568"]
+    assert d.detect(readings).select("vehicle_id").distinct().count() == 2
+    assert snapshot.recent_snapshot(readings, START + timedelta(seconds=2), SampleScope()).count() == 0
+
+
 def test_window_prunes_months(spark, tmp_path):
     tables.write_history(enriched(spark, [at(0)]), str(tmp_path), "telemetry", 0)
     rows = tables.in_window(tables.read_history(spark, str(tmp_path), "telemetry"), START, 1, "F001")
