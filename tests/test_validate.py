@@ -131,6 +131,24 @@ def test_json_lines_round_trip(spark, tmp_path):
     assert back.select("partition", "offset").distinct().count() == 2
 
 
+def test_json_lines_keep_their_order(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    for name, size in (("a", 300), ("b", 900), ("c", 50)):
+        (folder / f"{name}.json").write_text("".join(f"{name}{i}\n" for i in range(size)))
+    changed = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    try:
+        rows = jsonl.read_json_lines(spark, str(folder)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    lines = [bytes(r["value"]).decode() for r in sorted(rows, key=lambda r: (r["partition"], r["offset"]))]
+    assert lines == [f"{n}{i}" for n, size in (("a", 300), ("b", 900), ("c", 50)) for i in range(size)]
+
+
 @pytest.mark.parametrize("seq", [0, 2**63 - 1])
 def test_seq_limits(spark, seq):
     assert parse_telemetry(records(spark, [broken(seq=seq)])).first()["seq"] == seq
