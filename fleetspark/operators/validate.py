@@ -35,7 +35,7 @@ SCENARIOS = [
 
 # Formats and limits of the reading.
 ID_PATTERNS = {
-    "vehicle_id": r"^V[0-9]{6}\z",
+    "vehicle_id": r"^V[0-9]{6,}\z",
     "vin": r"^SYN[0-9]{14}\z",
     "fleet_id": r"^F[0-9]{3}\z",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from fleetspark.settings import MAX_RESULT_ROWS, RETENTION_DAYS
 
-VEHICLE_PATTERN = r"V[0-9]{6}"
+VEHICLE_PATTERN = r"V[0-9]{6,}"
 FLEET_PATTERN = r"F[0-9]{3}"
 
 

@@ -7,7 +7,7 @@ minute or day use `observed_at`, the original time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetspark.schema import TELEMETRY_COLUMNS
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(prefix: str, number: Column, width: int) -> Column:
+    """The prefix and the number, padded with zeros; a longer number is never cut."""
+    return F.when(number.isNotNull(), F.format_string(f"{prefix}%0{width}d", number.cast("long")))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core on a table of few small splits; a large table has splits enough."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -53,10 +58,10 @@ def _as_readings(events: DataFrame) -> DataFrame:
     )
     parked = F.expr(f"((_us - {START_MICROS}) div 40000000) % 3") == 0
     columns = {
-        "event_id": F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(event.cast("string"), 12, "0")),
-        "vehicle_id": F.concat(F.lit("V"), F.lpad(user.cast("string"), 6, "0")),
-        "vin": F.concat(F.lit("SYN"), F.lpad(user.cast("string"), 14, "0")),
-        "fleet_id": F.concat(F.lit("F"), F.lpad((user % 25 + 1).cast("string"), 3, "0")),
+        "event_id": numbered("00000000-0000-4000-8000-", event, 12),
+        "vehicle_id": numbered("V", user, 6),
+        "vin": numbered("SYN", user, 14),
+        "fleet_id": numbered("F", user % 25 + 1, 3),
         "timestamp": F.timestamp_micros("_us"),
         "seq": event,
         "lat": F.lit(8.0) + (user % 20),
@@ -136,9 +141,9 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     electric = key % 2 == 0
     return table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("V"), F.lpad(key.cast("string"), 6, "0")).alias("vehicle_id"),
-        F.concat(F.lit("SYN"), F.lpad(key.cast("string"), 14, "0")).alias("vin"),
-        F.concat(F.lit("F"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 3, "0")).alias("fleet_id"),
+        numbered("V", key, 6).alias("vehicle_id"),
+        numbered("SYN", key, 14).alias("vin"),
+        numbered("F", F.col("c_nationkey") + 1, 3).alias("fleet_id"),
         F.col("c_mktsegment").alias("oem"),
         F.col("c_name").alias("model"),
         F.when(electric, "EV").otherwise("ICE").alias("fuel_type"),
@@ -150,6 +155,6 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fleets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("F"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 3, "0")).alias("fleet_id"),
+        numbered("F", F.col("n_nationkey") + 1, 3).alias("fleet_id"),
         F.col("n_name").alias("name"),
     )

@@ -10,10 +10,10 @@ CTES = {
                CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS level
         FROM events""",
     "readings": """
-        SELECT '00000000-0000-4000-8000-' || lpad(CAST(n AS VARCHAR), 12, '0') AS event_id,
-               'V' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS vehicle_id,
-               'SYN' || lpad(CAST(user_id AS VARCHAR), 14, '0') AS vin,
-               'F' || lpad(CAST(user_id % 25 + 1 AS VARCHAR), 3, '0') AS fleet_id,
+        SELECT printf('00000000-0000-4000-8000-%012d', n) AS event_id,
+               printf('V%06d', user_id) AS vehicle_id,
+               printf('SYN%014d', user_id) AS vin,
+               printf('F%03d', user_id % 25 + 1) AS fleet_id,
                us, n AS seq, observed_at, user_id,
                CAST(8 + user_id % 20 AS DOUBLE) AS lat, CAST(72 + user_id % 15 AS DOUBLE) AS lon,
                CASE WHEN ((us - 1704067200000000) // 40000000) % 3 = 0 THEN 0e0
@@ -128,9 +128,9 @@ CTES = {
                    count(*) AS n_alerts
             FROM alerts GROUP BY event_id) a USING (event_id)""",
     "registry": """
-        SELECT 'V' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS vehicle_id,
-               'SYN' || lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS vin,
-               'F' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 3, '0') AS fleet_id,
+        SELECT printf('V%06d', c_custkey) AS vehicle_id,
+               printf('SYN%014d', c_custkey) AS vin,
+               printf('F%03d', c_nationkey + 1) AS fleet_id,
                c_mktsegment AS oem, c_name AS model,
                CASE WHEN c_custkey % 2 = 0 THEN 'EV' ELSE 'ICE' END AS fuel_type,
                CAST(2018 + c_custkey % 8 AS INTEGER) AS manufacture_year,
@@ -380,7 +380,7 @@ ORACLE: dict[str, str] = {
     "registry_total": "SELECT count(*) AS total FROM customer WHERE c_nationkey = 2",
     "vehicle_lookup": _with("SELECT * FROM registry WHERE vehicle_id = 'V000042'", "registry"),
     "upsert_absent": """
-        SELECT 'V' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS vehicle_id,
+        SELECT printf('V%06d', c_custkey) AS vehicle_id,
                CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN c_mktsegment
                     ELSE 'OFFERED' END AS oem
         FROM customer""",
@@ -391,12 +391,11 @@ ORACLE: dict[str, str] = {
         "readings",
     ),
     "unknown_vehicles": """
-        SELECT DISTINCT 'V' || CASE WHEN l_orderkey > 999999 THEN substr(CAST(l_orderkey AS VARCHAR), 1, 6)
-               ELSE lpad(CAST(l_orderkey AS VARCHAR), 6, '0') END AS vehicle_id
+        SELECT DISTINCT printf('V%06d', l_orderkey) AS vehicle_id
         FROM lineitem WHERE l_orderkey NOT IN (SELECT c_custkey FROM customer)""",
     "fleet_orphans": _with(
         """SELECT vehicle_id, fleet_id FROM registry WHERE fleet_id NOT IN (
-             SELECT 'F' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') FROM nation
+             SELECT printf('F%03d', n_nationkey + 1) FROM nation
              WHERE n_regionkey = 0)""",
         "registry",
     ),
@@ -475,8 +474,8 @@ ORACLE: dict[str, str] = {
         "readings",
     ),
     "compacted_history": _with(
-        """SELECT kind AS type, 'again' AS detail, count(*) AS incidents FROM active
-           WHERE is_new GROUP BY kind""",
+        """SELECT kind AS type, 'again' AS detail, count(*) AS incidents, count(*) AS stored_rows
+           FROM active WHERE is_new GROUP BY kind""",
         "active",
     ),
     "clustered_readings": _with(
@@ -521,12 +520,14 @@ ORACLE: dict[str, str] = {
         "SELECT event_id, vehicle_id, 'left' AS side FROM readings WHERE seq % 50 = 0", "readings"
     ),
     "lookup_forms_agree": _with(
-        """SELECT event_id, vehicle_id, speed_kmh, 'left' AS side FROM readings
+        """SELECT 'key' AS form, count(*) AS found FROM readings WHERE vehicle_id = 'V000007'
+           UNION ALL SELECT 'text', count(*) FROM readings WHERE substr(vehicle_id, 2) = '000007'
+           UNION ALL SELECT 'differing', count(*) FROM readings
            WHERE (vehicle_id = 'V000007') <> (substr(vehicle_id, 2) = '000007')""",
         "readings",
     ),
     "bounded_fleets": """
-        SELECT 'F' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS fleet_id, n_name AS name
+        SELECT printf('F%03d', n_nationkey + 1) AS fleet_id, n_name AS name
         FROM nation""",
     "archive_status": _with(
         """SELECT part AS "partition", min(pos) AS start_offset, max(pos) + 1 AS next_offset,

@@ -367,7 +367,7 @@ def upsert_absent(spark, sf_dir):
     """Customers with orders are registered; every customer is offered again with another oem."""
     every = m.registry(spark, sf_dir)
     ordered = m.table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("V"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("vehicle_id")
+        m.numbered("V", F.col("o_custkey"), 6).alias("vehicle_id")
     )
     existing = every.join(ordered.distinct(), "vehicle_id", "left_semi").select(*every.columns)
     incoming = every.withColumn("oem", F.lit("OFFERED"))
@@ -394,7 +394,7 @@ def known_vehicles(spark, sf_dir):
 def unknown_vehicles(spark, sf_dir):
     """Vehicles of orders' part keys that no customer number covers."""
     parts = m.table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("V"), F.lpad(F.col("l_orderkey").cast("string"), 6, "0")).alias("vehicle_id")
+        m.numbered("V", F.col("l_orderkey"), 6).alias("vehicle_id")
     )
     return registry.unknown_vehicles(parts, m.registry(spark, sf_dir))
 
@@ -527,14 +527,21 @@ def stored_history(spark, sf_dir):
 
 @query
 def compacted_history(spark, sf_dir):
-    """The same after the month was folded into the newer batch; both forms must agree."""
+    """The same after both batches of the month were folded; rows stored and rows left by the
+    replacing read are counted apart and must agree."""
     root = scratch(spark, "compacted")
     alerts = d.open_incidents(detected(spark, sf_dir))
     tables.write_history(alerts, root, "alerts", 0)
     tables.write_history(alerts.withColumn("detail", F.lit("again")), root, "alerts", 1)
     tables.compact_month(spark, root, "alerts", 202401, 1)
-    final = tables.read_final(tables.read_history(spark, root, "alerts"), tables.ALERT_KEYS)
-    return final.groupBy("type", "detail").agg(F.count(F.lit(1)).alias("incidents"))
+    stored = tables.read_history(spark, root, "alerts")
+    final = tables.read_final(stored, tables.ALERT_KEYS)
+    by = ["type", "detail"]
+    return (
+        final.groupBy(by)
+        .agg(F.count(F.lit(1)).alias("incidents"))
+        .join(stored.groupBy(by).agg(F.count(F.lit(1)).alias("stored_rows")), by, "full")
+    )
 
 
 @query
@@ -607,10 +614,16 @@ def differing_rows(spark, sf_dir):
 
 @query
 def lookup_forms_agree(spark, sf_dir):
-    """Rows in which the prunable and the substring form of a vehicle lookup differ: none."""
+    """Rows that the prunable and the substring form of a vehicle lookup find, and how many differ."""
     rows = m.readings(spark, sf_dir).select("event_id", "vehicle_id", "speed_kmh")
-    by_text = rows.where(F.substring("vehicle_id", 2, 6) == "000007")
-    return snapshot.differing_rows(rows.where(F.col("vehicle_id") == "V000007"), by_text)
+    by_key = rows.where(F.col("vehicle_id") == "V000007")
+    by_text = rows.where(F.expr("substring(vehicle_id, 2)") == "000007")
+    counted = {"key": by_key, "text": by_text, "differing": snapshot.differing_rows(by_key, by_text)}
+    found = [
+        df.agg(F.count(F.lit(1)).alias("found")).select(F.lit(form).alias("form"), "found")
+        for form, df in counted.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query
@@ -788,6 +801,8 @@ def _live(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
             read_telemetry_stream(spark, source),
             f"{root}/tables",
             f"{root}/checkpoint",
+            # State is an hour old at most by this clock, however long the batches take.
+            clock=lambda: MID_MONTH,
             drain=True,
         ).awaitTermination()
     return f"{root}/tables"
