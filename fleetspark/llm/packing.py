@@ -11,6 +11,7 @@ not padded, so no padding is left.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from array import array
@@ -19,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,6 @@ from fleetspark.llm.common import Workspace, blobs, id_text, sliced
 
 SIZE = 2048
 END = 1
-SEPARATOR = "<|endoftext|>"
 GROUP_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SIZE
 CACHE_WORDS = 600_000
@@ -46,38 +47,64 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+# Words of printable ASCII and Latin-1 alone: their lower case and normal form are the same
+# everywhere, and none holds a special token's opening.
+PLAIN = regex.compile(r"(?:(?!<\|)[!-~\xa1-\xff])+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """A printable character for each byte, as byte-level tokenizers write them."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+
+
 class WordIds(dict):
     """Token ids of white-space separated words as bytes of unsigned 16-bit integers.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids
-    in order; new words are encoded in one call for each slice of texts.
+    in order. A new plain word is cut by the tokenizer's own pattern, and each new piece is given to
+    its merge model once; other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.path = path
+        self.pieces: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        with open(path, encoding="utf-8") as file:
+            steps = json.load(file)
+        # Cutting by hand is right for this chain of steps alone.
+        normal = [step["type"] for step in (steps["normalizer"] or {}).get("normalizers", [])]
+        cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+        known = (
+            normal == ["NFC", "Replace", "Lowercase"]
+            and [step["type"] for step in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+            and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        )
+        self.cut = regex.compile(cuts[0]["pattern"]["Regex"]) if known else None
 
     def learn(self, split: list[list[bytes]]) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        new = list(set().union(*split).difference(self))
+        for cache in (self, self.pieces):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
         tokenizer = _tokenizer(self.path)
-        mark = tokenizer.token_to_id(SEPARATOR)
-        plain = [word for word in new if mark is not None and b"<|" not in word]
-        for start in range(0, len(plain), 2000):
-            # One call for many words: the special token between them is split off first, so its
-            # id marks where each word's ids end.
-            part = plain[start : start + 2000]
-            text = SEPARATOR.join(map(bytes.decode, part))
-            ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
-            raw, cut = ids.tobytes(), 0
-            for word, end in zip(part, [*np.flatnonzero(ids == mark).tolist(), len(ids)]):
-                self[word] = raw[2 * cut : 2 * end]
-                cut = end + 1
-        for word in new:
-            if word not in self:
-                ids = tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        merged, plain = tokenizer.model.tokenize, PLAIN.fullmatch
+        for word in set().union(*split).difference(self):
+            text = word.decode()
+            if self.cut is None or not plain(text):
+                ids = tokenizer.encode(text, add_special_tokens=False).ids
                 self[word] = array("H", ids).tobytes()
+                continue
+            parts = []
+            for piece in self.cut.findall(text.lower()):
+                ids = self.pieces.get(piece)
+                if ids is None:
+                    shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+                    ids = self.pieces[piece] = array("H", [token.id for token in merged(shown)]).tobytes()
+                parts.append(ids)
+            self[word] = b"".join(parts)
 
 
 _WORDS: dict[str, WordIds] = {}

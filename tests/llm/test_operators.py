@@ -114,6 +114,22 @@ def test_redaction_keeps_columns(spark):
     assert found == {1: (1, "mail <EMAIL> and é <IP> x", "q", 25), 2: (2, None, "s", 9)}
 
 
+def test_packing_ids_are_the_tokenizers():
+    """Odd words, special tokens and white space get the ids that the whole tokenizer gives."""
+    path = queries.tokenizer_path()
+    texts = [
+        "don't I'LL 'S it's's O'Neill's!!", "a<|endoftext|>b <|x|> <| <|startoftext|>",
+        "\u03a3\u0391\u03a3 \u0130stanbul x\u0085y \x1cq\x1dr\u00a0\u2028z", "e\u0301clair \u00c9\u00b2\u00be \u00aa\u00ba \u00b5\u00df \u00ff\u0178",
+        "\u65e5\u672c\u8a9e \U0001f600\U0001f600 12345 1,234.56", "", "  ", "\x00\x01 a\x7fb", "x" * 5000,
+        "\u00bf\u00a1\u00ab\u00bb \u00b7\u00a7 \u00adsoft\u00adhyphen",
+    ]
+    got = packing.token_ids([t.encode() for t in texts], path)
+    whole = packing._tokenizer(path)
+    for text, ids in zip(texts, got):
+        expected = whole.encode(text, add_special_tokens=False).ids + [packing.END]
+        assert np.frombuffer(ids, np.uint16).tolist() == expected
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
