@@ -23,10 +23,12 @@ DEPTH = 6
 LEAST_SHARE = 5e-5
 LEAST_DIVERGENCE = 0.01
 SMOOTHING = 2.0
-HOT_SHARE = 1e-4
+HOT_SHARE = 1e-5
+BLOCK = 1 << 17
+HELD_GRAMS = 1 << 20
 SPACE, END = 32, 10
 END_TOKEN = b"\n"  # no word holds white space, so the end token cannot be one
-_HASHES = WordHashes()
+_HASHES = WordHashes(100_000)
 
 
 def stream(words: list[bytes]) -> np.ndarray:
@@ -44,22 +46,48 @@ def _grams(symbols: np.ndarray) -> np.ndarray:
     return packed
 
 
+def _merged(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by distinct key, keys in order."""
+    key, n = np.concatenate(keys), np.concatenate(times)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[first], np.add.reduceat(n[order], first)
+
+
 def _counted(batches) -> Iterator[pa.RecordBatch]:
-    """kind 0: words, kind 1: grams; one row for each key of a slice of texts."""
+    """kind 0: words, kind 1: grams; one row for each key of a few slices of texts."""
+
+    def rows(kind: int, keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        kinds = pa.array(np.full(len(keys), kind, np.int32))
+        return pa.RecordBatch.from_arrays([kinds, pa.array(keys), pa.array(times)], ["kind", "key", "n"])
+
+    keys: list[np.ndarray] = []
+    times: list[np.ndarray] = []
     for batch in sliced(batches, "text"):
         words = [words_of(text) for text in blobs(batch.column("text"))]
         tally = Counter(w for one in words for w in one)
         tally[END_TOKEN] = len(words)
-        grams, times = np.unique(np.concatenate([_grams(stream(one)) for one in words]), return_counts=True)
         hashes = _HASHES.of(list(tally)).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(np.array([0, 1], np.int32), [len(hashes), len(grams)])),
-                pa.array(np.concatenate([hashes, grams])),
-                pa.array(np.concatenate([np.fromiter(tally.values(), np.int64), times])),
-            ],
-            ["kind", "key", "n"],
-        )
+        yield rows(0, hashes, np.fromiter(tally.values(), np.int64))
+        streams = [stream(one) for one in words]
+        del words, tally, hashes
+        # Filled and sorted in place: one array of the slice's size at a time.
+        grams = np.empty(sum(len(one) - DEPTH for one in streams), np.int64)
+        at = 0
+        for one in streams:
+            grams[at : at + len(one) - DEPTH] = _grams(one)
+            at += len(one) - DEPTH
+        grams.sort()
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        keys.append(grams[first])
+        times.append(np.diff(first, append=len(grams)))
+        del grams, first
+        if sum(map(len, keys)) > HELD_GRAMS:
+            yield rows(1, *_merged(keys, times))
+            keys, times = [], []
+    if keys:
+        yield rows(1, *_merged(keys, times))
 
 
 class SuffixTree:
@@ -89,16 +117,35 @@ class SuffixTree:
         return np.array(self.log, np.float32), np.array(self.child)
 
 
-def text_score(symbols: np.ndarray, log: np.ndarray, child: np.ndarray) -> np.ndarray:
-    """log10 probability of each symbol after the first `DEPTH`."""
+def symbol_scores(symbols: np.ndarray, log: np.ndarray, child: np.ndarray) -> np.ndarray:
+    """log10 probability of each symbol after the first `DEPTH`, in blocks of bounded memory."""
+    log, child = log.ravel(), child.ravel()
     count = len(symbols) - DEPTH
-    state = np.zeros(count, np.int32)
-    alive = np.ones(count, bool)
-    for back in range(1, DEPTH + 1):
-        longer = child[state, symbols[DEPTH - back : DEPTH - back + count]]
-        alive &= longer > 0
-        state = np.where(alive, longer, state)
-    return log[state, symbols[DEPTH:]].astype(float)
+    scores = np.empty(count)
+    for start in range(0, count, BLOCK):
+        part = symbols[start : start + BLOCK + DEPTH].astype(np.intp)
+        following = part[DEPTH:]
+        state = child.take(part[DEPTH - 1 : -1]).astype(np.intp)
+        # Only symbols whose context may still be longer take part in the next step.
+        at = np.flatnonzero(state)
+        now = state[at]
+        for back in range(2, DEPTH + 1):
+            longer = child.take((now << 8) + part[at + (DEPTH - back)])
+            more = np.flatnonzero(longer)
+            at, now = at[more], longer[more].astype(np.intp)
+            state[at] = now
+        scores[start : start + BLOCK] = log.take((state << 8) + following)
+    return scores
+
+
+def text_scores(texts: list[list[bytes]], log: np.ndarray, child: np.ndarray) -> np.ndarray:
+    """log10 probability of each text, given as words; one pass over all of them."""
+    streams = [stream(words) for words in texts]
+    ends = np.cumsum([len(one) for one in streams]) - DEPTH
+    starts = np.concatenate([[0], ends[:-1] + DEPTH])
+    # Between a text's end and the next one's start lie the symbols that stand for that start.
+    bounds = np.column_stack([starts, ends]).ravel()[:-1]
+    return np.add.reduceat(symbol_scores(np.concatenate(streams), log, child), bounds)[::2]
 
 
 def learn_tree(counts: DataFrame) -> SuffixTree:
@@ -149,7 +196,8 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
     size = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, kinds = size["n"] or 0, size["v"]
     hot = {  # at most 1 / HOT_SHARE words
-        row["key"]: row["n"] for row in words.where(F.col("n") >= max(1.0, HOT_SHARE * total)).collect()
+        row["key"]: float(np.log10(row["n"] + 1))
+        for row in words.where(F.col("n") >= max(1.0, HOT_SHARE * total)).collect()
     }
     log, child = learn_tree(counts).finish()
     model = spark.sparkContext.broadcast((hot, log, child))
@@ -159,23 +207,21 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
         frequent, log, child = model.value
         for batch in sliced(batches, "text"):
             rows = []
-            for text in blobs(batch.column("text")):
-                found = words_of(text)
+            texts = [words_of(text) for text in blobs(batch.column("text"))]
+            for found, score in zip(texts, text_scores(texts, log, child).tolist()):
                 tally = Counter(found)
                 tally[END_TOKEN] = 1
                 keys = _HASHES.of(list(tally)).view(np.int64).tolist()
                 base, known, rare, times = 0.0, 0, [], []
                 for key, n in zip(keys, tally.values()):
-                    count = frequent.get(key)
-                    if count is None:
+                    part = frequent.get(key)
+                    if part is None:
                         rare.append(key)
                         times.append(n)
                     else:
-                        base += n * np.log10(count + 1)
+                        base += n * part
                         known += n
-                rows.append(
-                    (len(found) + 1, known, base, float(text_score(stream(found), log, child).sum()), rare, times)
-                )
+                rows.append((len(found) + 1, known, base, score, rare, times))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
