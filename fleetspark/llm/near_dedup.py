@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.llm.common import (
@@ -153,11 +153,12 @@ def _sketched(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
+                batch.column("text_key"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_class(s) for s in sets], pa.binary()),
                 pa.array([next(registers).tobytes() if len(s) else None for s in sets], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "class", "registers"],
+            ["doc_id", "text_key", "n_shingles", "class", "registers"],
         )
 
 
@@ -347,14 +348,20 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
     smallest doc_id reachable, kept whether it is the row's own. Null and wordless texts have the
     empty set, link with nothing, not even each other, and are kept. Rows repeating a doc_id are
     separate nodes; of equal rows each carries the same ids. A null doc_id is never the smallest
-    unless a component has no other.
+    unless a component has no other. Rows of equal ids are told apart by `drop_near_duplicates` only.
     """
+    return _grouped(docs, num, den).drop("text_key", "root")
+
+
+def _grouped(docs: DataFrame, num: int, den: int) -> DataFrame:
+    """The columns of `near_duplicates`, the text's hash, and one class of the row's component."""
     spark = docs.sparkSession
     ws = Workspace(spark, "near-dedup")
     least = num / den - MARGIN
     sketched = ws.land(
-        id_text(docs).mapInArrow(
-            _sketched, "doc_id long, n_shingles long, class binary, registers binary"
+        id_text(docs).withColumn("text_key", F.xxhash64("text")).mapInArrow(
+            _sketched,
+            "doc_id long, text_key long, n_shingles long, class binary, registers binary",
         ),
         "sketched",
     )
@@ -414,13 +421,13 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame
         .select("class", "first_id", F.coalesce("root", "class").alias("root"))
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    component = rooted.join(smallest, "root").select("class", "component_id")
+    component = rooted.join(smallest, "root").select("class", "component_id", "root")
     own = F.coalesce("component_id", "doc_id")
     result = ws.land(
-        sketched.select("doc_id", "n_shingles", "class")
+        sketched.select("doc_id", "text_key", "n_shingles", "class")
         .join(component, "class", "left")
         .select(
-            "doc_id", "n_shingles", "class", own.alias("component_id"),
+            "doc_id", "text_key", "n_shingles", "class", own.alias("component_id"), "root",
             F.col("doc_id").eqNullSafe(own).alias("kept"),
         ),
         "result",
@@ -467,16 +474,37 @@ def _unresolved(members, roots, sets, num: int, den: int) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of `docs` that are kept: one document of each group, all columns as they are.
+    """The rows of `docs` that are kept: exactly one of each component, all columns as they are.
 
-    A row with a null doc_id stays when it is alone in its group. Rows repeating a doc_id count as
-    one document when their shingle sets link; one of them stays.
+    The row of the smallest doc_id stays, null ids last; of rows of one id that with the smaller
+    hash of its text, and of rows equal in both the first by their other columns. Rows without
+    words link with nothing and all stay.
     """
-    found = near_duplicates(docs, num, den)
-    gone = found.where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    again = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return left
-    once = left.join(again.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return left.join(again.select("doc_id"), "doc_id", "left_anti").unionByName(once)
+    order = ("no_id", "doc_id", "text_key")
+    rows = _grouped(docs, num, den).where("root IS NOT NULL").withColumn("no_id", F.isnull("doc_id"))
+    chosen = (
+        rows.groupBy("root", *order).count()
+        .groupBy("root").agg(F.min(F.struct(*order, "count")).alias("row"))
+        .select(F.struct("row.doc_id", "row.text_key", "row.count").alias("__chosen"))
+    )
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    worded = F.rlike(text, F.lit(r"[^\x20\x09-\x0D]"))
+    doc_id, text_key = F.col("doc_id").cast("long"), F.xxhash64(text)
+    left = docs.where(worded).join(
+        chosen,
+        doc_id.eqNullSafe(F.col("__chosen.doc_id")) & (text_key == F.col("__chosen.text_key")),
+    )
+    others = [
+        F.col(f"`{field.name}`")
+        for field in docs.schema
+        if field.name not in ("doc_id", "text") and "map<" not in field.dataType.simpleString()
+    ]
+    equal = Window.partitionBy(doc_id, text_key).orderBy(*others, text_key)
+    repeated = (
+        left.where("__chosen.count > 1")
+        .withColumn("__place", F.row_number().over(equal))
+        .where("__place = 1")
+        .drop("__place")
+    )
+    once = left.where("__chosen.count = 1").unionByName(repeated).drop("__chosen")
+    return docs.where(~worded).unionByName(once)
