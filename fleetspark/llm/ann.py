@@ -125,10 +125,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     go to the smaller id. With no more candidates than one list holds the answer is exact.
     """
     ws = Workspace(vectors.sparkSession, "ann")
-    points = ws.land(firsts_of_equal(finite_vectors(vectors, False), F.col("v"), k), "points")
+    once = finite_vectors(vectors, False).dropDuplicates(["vec_id", "v"])
+    points = ws.land(firsts_of_equal(once, F.col("v"), k), "points")
     common = points.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dims = common["d"] if common else 0
-    points = points.where(F.size("v") == dims).dropDuplicates(["vec_id", "v"])
+    points = points.where(F.size("v") == dims)
     sample = np.array(
         [r["v"] for r in points.orderBy(F.xxhash64("vec_id"), "vec_id").select("v").limit(SAMPLE).collect()], float
     ).reshape(-1, max(dims, 1))

@@ -23,12 +23,15 @@ def finite_vectors(rows: DataFrame, allow_zero: bool) -> DataFrame:
 
 
 def firsts_of_equal(rows: DataFrame, key: Column, k: int) -> DataFrame:
-    """Of rows with one key, those of the k + 1 smallest ids: no other can be among any k nearest,
-    as all tie and one may be the query itself. The limit is applied before the shuffle too."""
+    """Of rows with one key, those of the k + 1 smallest ids, at most k of each id: no other can be
+    among any k nearest, as all tie and one id may be the query's own. The limits are applied
+    before the shuffles too."""
     from pyspark.sql import Window
 
-    place = F.row_number().over(Window.partitionBy(key).orderBy("vec_id"))
-    return rows.withColumn("__place", place).where(F.col("__place") <= k + 1).drop("__place")
+    copy = F.row_number().over(Window.partitionBy(key, "vec_id").orderBy("vec_id"))
+    place = F.dense_rank().over(Window.partitionBy(key).orderBy("vec_id"))
+    few = rows.withColumn("__copy", copy).where(F.col("__copy") <= k).drop("__copy")
+    return few.withColumn("__place", place).where(F.col("__place") <= k + 1).drop("__place")
 
 
 def matrix(column) -> np.ndarray:
