@@ -23,7 +23,12 @@ EMAIL = (
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+# A run of two or more digit groups joined by single spaces, or one token.
+GROUP = r"[(\[]*+[0-9][0-9().\[\]/-]*+"
+TOKEN = (
+    rf"(?<![^\x20\x09-\x0D])(?:\+?{GROUP}(?:\x20{GROUP}(?![^\x20\x09-\x0D,;:!?]))++[,;:!?)\]]*+(?![^\x20\x09-\x0D])"
+    r"|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)"
+)
 
 CONTEXT_CHARS = 80
 LEAST_SEEDS = 5
@@ -68,10 +73,11 @@ def _left_word(gap: Column) -> Column:
     return F.lower(F.substring_index(flat, " ", -1))
 
 
-def _matches(text: Column, pattern: str) -> Column:
+def _matches(text: Column, pattern: str, adjoining: bool = False) -> Column:
     """array<struct<start, end, value, left>> of the leftmost non-overlapping matches.
 
-    The pieces between matches give the positions, in code points.
+    The pieces between matches give the positions, in code points. With `adjoining`, the word left
+    of a match may be the end of the match before it.
     """
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
@@ -85,12 +91,18 @@ def _matches(text: Column, pattern: str) -> Column:
     def placed(state: Column, pair: Column) -> Column:
         start = state["at"] + pair["gap"]
         end = start + F.length(pair["value"])
-        span = F.struct(
-            start.alias("start"), end.alias("end"), pair["value"].alias("value"), pair["left"].alias("left")
+        left = pair["left"]
+        if adjoining:
+            near = (left == "") & (pair["gap"] <= CONTEXT_CHARS)
+            left = F.when(near, _left_word(state["last"])).otherwise(left)
+        span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"), left.alias("left"))
+        return F.struct(
+            end.alias("at"),
+            F.concat(state["spans"], F.array(span)).alias("spans"),
+            (pair["value"] if adjoining else F.lit("")).alias("last"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), none.alias("spans"), F.lit("").alias("last"))
     return F.when(F.size(values) > 0, F.aggregate(pairs, start, placed, lambda s: s["spans"])).otherwise(none)
 
 
@@ -125,14 +137,26 @@ def seed_spans(text: Column) -> Column:
 
 
 def _unseen(text: Column, seeds: Column) -> Column:
-    """Identifier-like tokens that touch no seed: an '@' or four digits, closing marks cut."""
+    """Identifier-like tokens and runs of digit groups that touch no seed: an '@' or four digits,
+    closing marks cut. A run that meets a seed ends before it."""
+
+    def before_seeds(s: Column) -> Column:
+        met = F.filter(seeds, lambda b: (b["start"] > s["start"]) & (b["start"] < s["end"]))
+        cut = F.array_min(F.transform(met, lambda b: b["start"])) - s["start"]
+        whole = F.contains(s["value"], F.lit(" "))
+        return F.when(whole & cut.isNotNull(), F.substring(s["value"], F.lit(1), cut)).otherwise(s["value"])
+
     trimmed = F.transform(
-        _matches(text, TOKEN),
+        F.transform(
+            _matches(text, TOKEN, adjoining=True),
+            lambda s: F.struct(
+                s["start"].alias("start"), s["left"].alias("left"),
+                F.regexp_replace(before_seeds(s), r"[.,;:!?)\]\x20(\[]+$", "").alias("value"),
+            ),
+        ),
         lambda s: F.struct(
             s["start"].alias("start"), F.lit(len(KINDS)).alias("rank"),
-            (s["start"] + F.length(F.regexp_replace(s["value"], r"[.,;:!?)\]]+$", ""))).alias("end"),
-            F.regexp_replace(s["value"], r"[.,;:!?)\]]+$", "").alias("value"),
-            s["left"].alias("left"),
+            (s["start"] + F.length(s["value"])).alias("end"), s["value"].alias("value"), s["left"].alias("left"),
         ),
     )
     fit = F.filter(
