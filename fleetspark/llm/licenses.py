@@ -1,35 +1,64 @@
-"""License texts by patience alignment.
+"""License notices and whole license texts by windowed alignment.
 
-Words that occur once in both text and template are anchors; the longest increasing subsequence of
-their places is kept, and the gaps between kept anchors are aligned in the same way. Coverage is the
-share of the template's words that are aligned.
+A place is a stretch of the text of at most two template lengths whose longest common subsequence
+with the template, in words, covers enough of it. Windows that hold enough of the template's words,
+in any order, are aligned exactly, one bit of an integer for each template word. Words that tell
+licenses apart must stand in the place as whole phrases.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from fleetspark.llm.common import blobs, id_text, sliced
 
-# Notices of public licenses.
-TEMPLATES = {
+# Notices of public licenses, whole texts in `license_texts`.
+_HEADER = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {} "
+    "as published by the Free Software Foundation, either version {} of the License"
+)
+_GPL, _LGPL, _AGPL = "GNU General Public License", "GNU Lesser General Public License", "GNU Affero General Public License"
+_CC = ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")
+NOTICES = {
     "MIT": "Released under the MIT License.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, "
+    **{f"CC-{kind}-4.0": f"Licensed under CC {kind} 4.0." for kind in _CC},
+    "GPL-2.0-line": f"This work is licensed under the {_GPL}, version 2.",
+    "GPL-3.0-line": f"This work is licensed under the {_GPL}, version 3.",
+    "LGPL-3.0-line": f"This work is licensed under the {_LGPL}, version 3.",
+    "AGPL-3.0-line": f"This work is licensed under the {_AGPL}, version 3.",
+    "BSD-start": "Redistribution and use in source and binary forms, with or without modification, "
     "are permitted provided that the following conditions are met:",
-    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms "
-    "of the GNU General Public License as published by the Free Software Foundation",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+    "GPL-2.0-header": _HEADER.format(_GPL, 2),
+    "GPL-3.0-header": _HEADER.format(_GPL, 3),
+    "LGPL-3.0-header": _HEADER.format(_LGPL, 3),
+    "AGPL-3.0-header": _HEADER.format(_AGPL, 3),
+    "MIT-start": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
     "software and associated documentation files",
 }
+TEXTS = {
+    f"{path.stem}-text": path.read_text("utf-8")
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+}
+TEMPLATES = {**NOTICES, **TEXTS}
+# Phrases that a place must hold, and phrases that it must not.
+REQUIRED = {
+    "MIT": ["mit"],
+    "Apache-2.0": ["apache", "2 0"],
+    **{f"CC-{kind}-4.0": [f"cc {kind} 4 0"] for kind in _CC},
+    **{f"{name}-{form}": [gnu, f"version {name[-3]}"] for form in ("line", "header") for name, gnu in (
+        ("GPL-2.0", _GPL), ("GPL-3.0", _GPL), ("LGPL-3.0", _LGPL), ("AGPL-3.0", _AGPL))},
+    "BSD-3-Clause-text": ["neither the name"],
+}
+EXCLUDED = {"BSD-2-Clause-text": ["neither the name"]}
 LEAST_COVERAGE = 0.8
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
@@ -38,93 +67,134 @@ def words(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
-def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The longest subsequence with rising second numbers, of pairs in order of the first."""
-    tails: list[int] = []
-    tops: list[int] = []
-    back = []
-    for i, (_, value) in enumerate(pairs):
-        pile = bisect_left(tails, value)
-        back.append(tops[pile - 1] if pile else -1)
-        if pile == len(tails):
-            tails.append(value)
-            tops.append(i)
-        else:
-            tails[pile], tops[pile] = value, i
-    chain, at = [], tops[-1] if tops else -1
-    while at >= 0:
-        chain.append(pairs[at])
-        at = back[at]
-    return chain[::-1]
-
-
-def align(text: list[bytes], template: list[bytes]) -> list[tuple[int, int]]:
-    """Aligned places (text, template), rising in both; gaps are taken from a list of work."""
-    aligned: list[tuple[int, int]] = []
-    work = [(0, len(text), 0, len(template))]
-    while work:
-        a, b, c, d = work.pop()
-        while a < b and c < d and text[a] == template[c]:
-            aligned.append((a, c))
-            a, c = a + 1, c + 1
-        while a < b and c < d and text[b - 1] == template[d - 1]:
-            b, d = b - 1, d - 1
-            aligned.append((b, d))
-        if a == b or c == d:
-            continue
-        known = set(template[c:d])
-        once = Counter(w for w in text[a:b] if w in known)
-        places = Counter(template[c:d])
-        where = {w: i for i, w in enumerate(template[c:d], c) if places[w] == 1 and once[w] == 1}
-        anchors = rising([(i, where[w]) for i, w in enumerate(text[a:b], a) if w in where])
-        if anchors:
-            aligned += anchors
-            ends = [(a - 1, c - 1), *anchors, (b, d)]
-            work += [(p + 1, r, q + 1, s) for (p, q), (r, s) in zip(ends, ends[1:])]
-    return sorted(aligned)
-
-
-def best_match(text: bytes, templates: dict[str, list[bytes]]) -> tuple:
-    """license, coverage, start, end (words, end exclusive) of the best template, ties by name.
-
-    A word that the notice repeats elsewhere in the text is no anchor there, so alignment runs on
-    each window around an occurrence of the template's rarest word.
-    """
-    found = words(text)
-    tally = Counter(found)
-    best: tuple = (None, 0.0, None, None)
-    for name, template in sorted(templates.items()):
-        have = sum((Counter(template) & tally).values())
-        if have < LEAST_COVERAGE * len(template):
+class Template(NamedTuple):
+    length: int
+    need: int  # words that must be aligned
+    counts: dict[bytes, int]
+    vocabulary: frozenset[bytes]
+    masks: dict[bytes, int]  # a word's places as bits, and those from the end
+    back: dict[bytes, int]
+    required: list[bytes]
+    excluded: list[bytes]
+
+
+def prepared(name: str, text: str) -> Template:
+    template = words(text.encode())
+    masks: dict[bytes, int] = {}
+    back: dict[bytes, int] = {}
+    for i, w in enumerate(template):
+        masks[w] = masks.get(w, 0) | 1 << i
+        back[w] = back.get(w, 0) | 1 << (len(template) - 1 - i)
+    required, excluded = (
+        [b" %b " % b" ".join(words(p.encode())) for p in phrases.get(name, ())] for phrases in (REQUIRED, EXCLUDED)
+    )
+    need = math.ceil(LEAST_COVERAGE * len(template) - 1e-9)
+    return Template(
+        len(template), need, dict(Counter(template)), frozenset(template), masks, back, required, excluded
+    )
+
+
+def common_lengths(found: list[bytes], masks: dict[bytes, int], length: int) -> Iterator[int]:
+    """Length of the longest common subsequence with the template after each word."""
+    full = (1 << length) - 1
+    free, aligned = full, 0
+    for word in found:
+        hit = free & masks.get(word, 0)
+        if hit:
+            free = ((free + hit) | (free - hit)) & full
+            aligned = length - free.bit_count()
+        yield aligned
+
+
+def _reaches(found: list[bytes], masks: dict[bytes, int], length: int, need: int) -> int | None:
+    """How many words it takes to align `need` of them."""
+    return next((i for i, n in enumerate(common_lengths(found, masks, length), 1) if n >= need), None)
+
+
+def _extent(found: list[bytes], masks: dict[bytes, int], length: int, need: int) -> tuple[int, int]:
+    """How many words a place has, and how many of them are aligned: beyond the least number a
+    place grows while each further aligned word is worth two words that are not."""
+    return max(
+        ((i, n) for i, n in enumerate(common_lengths(found, masks, length), 1) if n >= need),
+        key=lambda p: (3 * p[1] - p[0], -p[0]),
+    )
+
+
+def places(found: list[bytes], t: Template) -> Iterator[tuple[float, int, int]]:
+    """coverage, start, end (words, end exclusive) of the places of one template, by start."""
+    hits = [i for i, w in enumerate(found) if w in t.counts]
+    width = 2 * t.length
+    left = right = overlap = 0
+    inside: Counter = Counter()
+
+    def drop_before(place: int) -> None:
+        nonlocal left, right, overlap
+        while left < len(hits) and hits[left] < place:
+            if left < right:
+                word = found[hits[left]]
+                overlap -= inside[word] <= t.counts[word]
+                inside[word] -= 1
+            left += 1
+        right = max(right, left)
+
+    while True:
+        while overlap < t.need and right < len(hits):
+            at = hits[right]
+            drop_before(at - width + 1)
+            word = found[at]
+            inside[word] += 1
+            overlap += inside[word] <= t.counts[word]
+            right += 1
+        if overlap < t.need:
+            return
+        low, after = hits[left], hits[right - 1] + 1
+        first = _reaches(found[low : after + width], t.masks, t.length, t.need)
+        if first is None:  # what is aligned enough ends later, so it starts after this window
+            drop_before(after)
             continue
-        rarest = min(template, key=lambda w: (tally[w] or 1 << 60, w))
-        width, done = 2 * len(template), -1
-        for place in (i for i, w in enumerate(found) if w == rarest):
-            if place < done:
+        end = low + first
+        start = end - _reaches(found[low:end][::-1], t.back, t.length, t.need)
+        if end - start <= width:
+            end = start + _extent(found[start : start + width], t.masks, t.length, t.need)[0]
+            size, aligned = _extent(found[max(low, end - width) : end][::-1], t.back, t.length, t.need)
+            said = b" %b " % b" ".join(found[end - size : end])
+            if all(p in said for p in t.required) and not any(p in said for p in t.excluded):
+                yield aligned / t.length, end - size, end
+                drop_before(end)
                 continue
-            low, high = max(0, place - width), place + width
-            aligned = align(found[low:high], template)
-            coverage = len(aligned) / len(template)
-            if coverage > best[1]:
-                best = (name, coverage, low + aligned[0][0], low + aligned[-1][0] + 1)
-            if coverage >= LEAST_COVERAGE:
-                done = low + aligned[-1][0] + 1
-    return best if best[1] >= LEAST_COVERAGE else (None, best[1], None, None)
+        drop_before(start + 1)
+
+
+def matches(text: bytes, templates: dict[str, Template]) -> list[tuple]:
+    """license, coverage, start, end of every place of every template, or one row of none."""
+    found = words(text)
+    vocabulary = set(found)
+    rows: list[tuple] = []
+    for name, t in templates.items():
+        # A word that the text lacks leaves one place of the template open at least.
+        lacking = len(t.vocabulary) - len(t.vocabulary & vocabulary)
+        if len(found) >= t.need and lacking <= t.length - t.need:
+            rows += [(name, *place) for place in places(found, t)]
+    return sorted(rows, key=lambda r: (r[2], r[3], r[0])) or [(None, 0.0, None, None)]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """doc_id, license, coverage, start, end of every row; license is null below the coverage.
+    """doc_id, license, coverage, start, end: one row for each template and place that reaches the
+    coverage, and one with a null license for a row without any.
 
-    Null and empty texts cover nothing; repeated rows repeat their result.
+    Null and empty texts cover nothing; repeated rows repeat their result. A whole text holds the
+    place of its first sentence too, and similar licenses may each have a row for one place.
     """
-    split = {name: words(text.encode()) for name, text in templates.items()}
+    split = {name: prepared(name, text) for name, text in templates.items()}
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            rows = list(zip(*[best_match(text, split) for text in blobs(batch.column("text"))]))
+            each = [matches(text, split) for text in blobs(batch.column("text"))]
+            owners = pa.array([i for i, rows in enumerate(each) for _ in rows], pa.int64())
+            columns = zip(*(row for rows in each for row in rows))
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(rows, kinds)]],
+                [batch.column("doc_id").take(owners), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
                 ["doc_id", "license", "coverage", "start", "end"],
             )
 
