@@ -1,10 +1,11 @@
 """Language-model scores by a probabilistic suffix tree over the bytes of words.
 
 A text is its lower-cased words, each closed by a space, then one end symbol. Contexts of up to
-`DEPTH` bytes are kept when they are frequent enough and their next-symbol distribution diverges
-from that of their longest shorter context. Distributions are smoothed towards the parent's; a
-symbol is predicted from the state of the longest kept suffix before it. Contexts are counted over
-all training texts; the kept ones number at most DEPTH / LEAST_SHARE, and so do broadcast rows.
+`DEPTH` bytes are kept when they occur often enough and their next-symbol distribution diverges
+from that of their longest kept suffix. Distributions are smoothed towards that suffix's; a symbol
+is predicted from the longest kept suffix before it. The model is a table for each depth and grows
+with the corpus; every distinct gram is scored once by joins with these tables, and texts look
+their grams up. Only frequent grams and words are broadcast, to save joins.
 """
 
 from __future__ import annotations
@@ -17,13 +18,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import WordHashes, Workspace, blobs, id_text, in_fold, sliced, words_of
+from fleetspark.llm.common import (
+    GOLDEN,
+    WordHashes,
+    Workspace,
+    blobs,
+    id_text,
+    in_fold,
+    mix,
+    sliced,
+    words_of,
+)
 
 DEPTH = 6
-LEAST_SHARE = 5e-5
+LEAST_COUNT = 16
 LEAST_DIVERGENCE = 0.01
 SMOOTHING = 2.0
 HOT_SHARE = 1e-5
+HOT_GRAM_SHARE = 1e-6
 BLOCK = 1 << 17
 HELD_GRAMS = 1 << 20
 SPACE, END = 32, 10
@@ -55,8 +67,18 @@ def _merged(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(n[order], first)
 
 
-def _counted(batches) -> Iterator[pa.RecordBatch]:
-    """kind 0: words, kind 1: grams; one row for each key of a few slices of texts."""
+def _counted(learnt: bool):
+    """kind 0: words, kind 1: grams; of texts that are not learnt from only grams, as kind 2."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        yield from _counts(batches, learnt)
+
+    return run
+
+
+def _counts(batches, learnt: bool) -> Iterator[pa.RecordBatch]:
+    """One row for each key of a few slices of texts."""
+    gram = 1 if learnt else 2
 
     def rows(kind: int, keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
         kinds = pa.array(np.full(len(keys), kind, np.int32))
@@ -66,12 +88,14 @@ def _counted(batches) -> Iterator[pa.RecordBatch]:
     times: list[np.ndarray] = []
     for batch in sliced(batches, "text"):
         words = [words_of(text) for text in blobs(batch.column("text"))]
-        tally = Counter(w for one in words for w in one)
-        tally[END_TOKEN] = len(words)
-        hashes = _HASHES.of(list(tally)).view(np.int64)
-        yield rows(0, hashes, np.fromiter(tally.values(), np.int64))
+        if learnt:
+            tally = Counter(w for one in words for w in one)
+            tally[END_TOKEN] = len(words)
+            hashes = _HASHES.of(list(tally)).view(np.int64)
+            yield rows(0, hashes, np.fromiter(tally.values(), np.int64))
+            del tally, hashes
         streams = [stream(one) for one in words]
-        del words, tally, hashes
+        del words
         # Filled and sorted in place: one array of the slice's size at a time.
         grams = np.empty(sum(len(one) - DEPTH for one in streams), np.int64)
         at = 0
@@ -84,93 +108,203 @@ def _counted(batches) -> Iterator[pa.RecordBatch]:
         times.append(np.diff(first, append=len(grams)))
         del grams, first
         if sum(map(len, keys)) > HELD_GRAMS:
-            yield rows(1, *_merged(keys, times))
+            yield rows(gram, *_merged(keys, times))
             keys, times = [], []
     if keys:
-        yield rows(1, *_merged(keys, times))
+        yield rows(gram, *_merged(keys, times))
 
 
 class SuffixTree:
-    """States as rows of log10 probabilities; `child` steps to the context one byte longer."""
+    """The model in memory, for small corpora: states as rows of log10 probabilities; `child` steps
+    to the context one byte longer."""
 
     def __init__(self, root: np.ndarray):
         self.log = [np.log10((root + 1) / (root.sum() + 256))]
         self.child = [np.zeros(256, np.int32)]
         self.known: dict[bytes, int] = {b"": 0}
 
+    def state(self, context: bytes) -> int:
+        """The state of the longest kept suffix."""
+        while context not in self.known:
+            context = context[1:]
+        return self.known[context]
+
+    def _append(self, context: bytes, log: np.ndarray) -> None:
+        if context[1:] not in self.known:  # a step on the way that predicts as its suffix does
+            self._append(context[1:], self.log[self.state(context[1:])])
+        self.child[self.known[context[1:]]][context[0]] = self.known[context] = len(self.log)
+        self.log.append(log)
+        self.child.append(np.zeros(256, np.int32))
+
     def add(self, context: bytes, counts: np.ndarray) -> None:
-        """Keep the context if it diverges from its parent; contexts come by rising length."""
-        parent = self.known.get(context[1:])
-        if parent is None:
-            return
-        expected, total = 10.0 ** self.log[parent], counts.sum()
+        """Keep the context if it diverges from its longest kept suffix; they come by rising length."""
+        expected, total = 10.0 ** self.log[self.state(context[1:])], counts.sum()
         seen = counts > 0
         share = counts[seen] / total
-        if (share * np.log(share / expected[seen])).sum() < LEAST_DIVERGENCE:
-            return
-        state = self.known[context] = len(self.log)
-        self.log.append(np.log10((counts + SMOOTHING * expected) / (total + SMOOTHING)))
-        self.child.append(np.zeros(256, np.int32))
-        self.child[parent][context[0]] = state
+        if (share * np.log(share / expected[seen])).sum() >= LEAST_DIVERGENCE:
+            self._append(context, np.log10((counts + SMOOTHING * expected) / (total + SMOOTHING)))
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         return np.array(self.log, np.float32), np.array(self.child)
 
 
-def symbol_scores(symbols: np.ndarray, log: np.ndarray, child: np.ndarray) -> np.ndarray:
-    """log10 probability of each symbol after the first `DEPTH`, in blocks of bounded memory."""
-    log, child = log.ravel(), child.ravel()
-    count = len(symbols) - DEPTH
-    scores = np.empty(count)
-    for start in range(0, count, BLOCK):
-        part = symbols[start : start + BLOCK + DEPTH].astype(np.intp)
-        following = part[DEPTH:]
-        state = child.take(part[DEPTH - 1 : -1]).astype(np.intp)
-        # Only symbols whose context may still be longer take part in the next step.
-        at = np.flatnonzero(state)
-        now = state[at]
-        for back in range(2, DEPTH + 1):
-            longer = child.take((now << 8) + part[at + (DEPTH - back)])
-            more = np.flatnonzero(longer)
-            at, now = at[more], longer[more].astype(np.intp)
-            state[at] = now
-        scores[start : start + BLOCK] = log.take((state << 8) + following)
-    return scores
-
-
-def text_scores(texts: list[list[bytes]], log: np.ndarray, child: np.ndarray) -> np.ndarray:
-    """log10 probability of each text, given as words; one pass over all of them."""
-    streams = [stream(words) for words in texts]
-    ends = np.cumsum([len(one) for one in streams]) - DEPTH
-    starts = np.concatenate([[0], ends[:-1] + DEPTH])
-    # Between a text's end and the next one's start lie the symbols that stand for that start.
-    bounds = np.column_stack([starts, ends]).ravel()[:-1]
-    return np.add.reduceat(symbol_scores(np.concatenate(streams), log, child), bounds)[::2]
-
-
-def learn_tree(counts: DataFrame) -> SuffixTree:
-    """From the gram counts: frequent contexts by length, then their distributions."""
-    grams = counts.where("kind = 1").withColumn("symbol", F.col("key").bitwiseAND(F.lit(255)))
-    root = np.zeros(256)
-    for row in grams.groupBy("symbol").agg(F.sum("n").alias("n")).collect():
-        root[row["symbol"]] = row["n"]
-    tree, least = SuffixTree(root), LEAST_SHARE * root.sum()
+def _suffix(context: str, depth: int):
+    return F.col(context).bitwiseAND(F.lit((1 << (8 * depth)) - 1))
+
+
+def learn(grams: DataFrame, ws: Workspace) -> list[DataFrame]:
+    """context, back, next of each depth from 0: the contexts that occur often enough.
+
+    `next` holds the probability of each symbol seen there, from the context itself if it is kept
+    and from its longest kept suffix if not; `back` is the factor of the suffix's probability for
+    the other symbols, 1 if the context is not kept. A suffix occurs as often as its context at
+    least and is followed by the same symbols, so joins by suffix find all they need.
+    """
+    entries = grams.select(
+        F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(F.lit(255)).cast("int").alias("symbol"), "n"
+    )
+    counted: list[DataFrame] = []
+    for depth in range(DEPTH, -1, -1):
+        if depth < DEPTH:
+            entries = ws.land(
+                entries.groupBy(_suffix("context", depth).alias("context"), "symbol").agg(F.sum("n").alias("n")),
+                f"entries-{depth}",
+            )
+        counted.append(
+            entries.groupBy("context")  # at most 256 symbols each
+            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("seen"))
+        )
+    counted.reverse()
+    zero = F.lit(0).cast("long")
+    total = F.coalesce(F.max("total"), zero)
+    seen = F.coalesce(F.first("seen"), F.array().cast("array<struct<symbol:int,n:bigint>>"))
+    n = F.coalesce(F.element_at(F.map_from_entries("seen"), F.col("symbol")), zero)
+    root = (
+        counted[0].agg(total.alias("total"), seen.alias("seen"))
+        .withColumn("symbol", F.explode(F.sequence(F.lit(0), F.lit(255))))
+        .groupBy(F.lit(0).cast("long").alias("context"))
+        .agg(F.collect_list(F.struct("symbol", ((n + 1) / (F.col("total") + 256)).alias("p"))).alias("next"))
+    )
+    tables = [ws.land(root.select("context", F.lit(1.0).alias("back"), "next"), "depth-0")]
     for depth in range(1, DEPTH + 1):
-        mask = (1 << (8 * depth)) - 1
-        context = F.shiftright("key", 8).bitwiseAND(F.lit(mask)).alias("context")
-        entries = grams.select(context, "symbol", "n").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+        suffixes = tables[-1].select(
+            F.col("context").alias("suffix"), F.map_from_entries("next").alias("expected")
+        )
+        if depth <= 2:
+            suffixes = F.broadcast(suffixes)  # 256 rows at most
         rows = (
-            entries.groupBy("context")
-            .agg(F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("next"))
-            .where(F.col("total") >= least)  # at most 1 / LEAST_SHARE rows of 256 entries
-            .collect()
+            counted[depth].where(F.col("total") >= LEAST_COUNT)
+            .withColumn("suffix", _suffix("context", depth - 1))
+            .join(suffixes, "suffix")
+        )
+        both = F.transform(
+            "seen",
+            lambda s: F.struct(
+                s["symbol"].alias("symbol"), s["n"].alias("n"), F.element_at("expected", s["symbol"]).alias("q")
+            ),
+        )
+        divergence = F.aggregate(
+            "both",
+            F.lit(0.0),
+            lambda a, s: a + s["n"] / F.col("total") * F.log(s["n"] / F.col("total") / s["q"]),
         )
-        for row in sorted(rows, key=lambda r: r["context"]):
-            following = np.zeros(256)
-            for entry in row["next"]:
-                following[entry["symbol"]] += entry["n"]
-            tree.add(row["context"].to_bytes(depth, "big"), following)
-    return tree
+        whole = F.col("total") + SMOOTHING
+        own = F.transform(
+            "both",
+            lambda s: F.struct(
+                s["symbol"].alias("symbol"),
+                F.when(F.col("kept"), (s["n"] + SMOOTHING * s["q"]) / whole).otherwise(s["q"]).alias("p"),
+            ),
+        )
+        tables.append(
+            ws.land(
+                rows.select("context", "total", both.alias("both"))
+                .withColumn("kept", divergence >= LEAST_DIVERGENCE)
+                .select("context", F.when(F.col("kept"), SMOOTHING / whole).otherwise(1.0).alias("back"), own.alias("next")),
+                f"depth-{depth}",
+            )
+        )
+    return tables
+
+
+def gram_scores(grams: DataFrame, tables: list[DataFrame], ws: Workspace) -> DataFrame:
+    """key, n, score: log10 probability of each gram's symbol after its context.
+
+    From the longest contexts on; a gram leaves at the first one that its symbol was seen after.
+    """
+    left = grams.select("key", "n", F.lit(0.0).alias("score"))
+    done: list[DataFrame] = []
+    for depth in range(DEPTH, -1, -1):
+        states = tables[depth].select("context", "back", F.map_from_entries("next").alias("next"))
+        if depth <= 1:
+            states = F.broadcast(states)  # 256 rows at most
+        symbol = F.col("key").bitwiseAND(F.lit(255)).cast("int")
+        looked = ws.land(
+            left.withColumn("context", F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * depth)) - 1)))
+            .join(states, "context", "left")
+            .select(
+                "key", "n", "score", F.log10(F.coalesce("back", F.lit(1.0))).alias("back"),
+                F.log10(F.element_at("next", symbol)).alias("p"),
+            ),
+            f"looked-{depth}",
+        )
+        done.append(looked.where("p IS NOT NULL").select("key", "n", (F.col("score") + F.col("p")).alias("score")))
+        left = looked.where("p IS NULL").select("key", "n", (F.col("score") + F.col("back")).alias("score"))
+    found = done[0]
+    for more in done[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+class HotGrams:
+    """Scores of frequent grams by hashing with `PROBES` tries; what finds no slot is not hot."""
+
+    PROBES = 4
+
+    def __init__(self, keys: np.ndarray, scores: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)  # no gram is negative
+        self.scores = np.zeros(1 << self.bits)
+        for probe in range(self.PROBES):
+            slot = self.slots(keys, probe)
+            free = self.keys[slot] == -1
+            self.keys[slot[free]] = keys[free]
+            placed = self.keys[slot] == keys
+            self.scores[slot[placed]] = scores[placed]
+            keys, scores = keys[~placed], scores[~placed]
+
+    def slots(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        salt = np.array([probe + 1], np.uint64) * GOLDEN
+        mixed = mix(keys.view(np.uint64) + salt)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.intp)
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores, 0 where a gram is not hot, and the places of those."""
+        scores = np.zeros(len(keys))
+        rest = np.arange(len(keys))
+        for probe in range(self.PROBES):
+            wanted = keys[rest]
+            slot = self.slots(wanted, probe)
+            hit = self.keys.take(slot) == wanted
+            scores[rest[hit]] = self.scores.take(slot[hit])
+            rest = rest[~hit]
+            if not len(rest):
+                break
+        return scores, rest
+
+
+def text_scores(texts: list[list[bytes]], hot: HotGrams) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """For each text, given as words: the sum over hot grams, and the other grams with their counts."""
+    out = []
+    for words in texts:
+        symbols, total, others = stream(words), 0.0, []
+        for start in range(0, len(symbols) - DEPTH, BLOCK):
+            grams = _grams(symbols[start : start + BLOCK + DEPTH])
+            scores, rest = hot.look_up(grams)
+            total += float(scores.sum())
+            others.append(grams[rest])
+        out.append((total, *np.unique(np.concatenate(others), return_counts=True)))
+    return out
 
 
 def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFrame:
@@ -184,31 +318,37 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
     ws = Workspace(spark, "lm")
     held_out = in_fold("doc_id", modulus, remainder)
     texts = id_text(docs)
+    kinds = "kind int, key long, n long"
     counts = ws.land(
-        texts.where(~held_out)
-        .select("text")
-        .mapInArrow(_counted, "kind int, key long, n long")
+        texts.where(~held_out).select("text").mapInArrow(_counted(True), kinds)
+        .unionByName(texts.where(held_out).select("text").mapInArrow(_counted(False), kinds))
         .groupBy("kind", "key")
         .agg(F.sum("n").alias("n")),
         "counts",
     )
     words = counts.where("kind = 0").select("key", "n")
     size = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    total, kinds = size["n"] or 0, size["v"]
+    total, distinct = size["n"] or 0, size["v"]
     hot = {  # at most 1 / HOT_SHARE words
         row["key"]: float(np.log10(row["n"] + 1))
         for row in words.where(F.col("n") >= max(1.0, HOT_SHARE * total)).collect()
     }
-    log, child = learn_tree(counts).finish()
-    model = spark.sparkContext.broadcast((hot, log, child))
+    tables = learn(counts.where("kind = 1").select("key", "n"), ws)
+    grams = counts.where("kind > 0").groupBy("key").agg(F.sum("n").alias("n"))
+    scores = gram_scores(grams, tables, ws)
+    symbols = scores.agg(F.sum("n")).first()[0] or 0
+    frequent = F.col("n") >= max(1.0, HOT_GRAM_SHARE * symbols)
+    often = scores.where(frequent).select("key", "score").toArrow()  # at most 1 / HOT_GRAM_SHARE grams
+    hot_grams = HotGrams(*(often[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "score")))
+    model = spark.sparkContext.broadcast((hot, hot_grams))
 
     def scored(batches) -> Iterator[pa.RecordBatch]:
         """A row for each text with its rarer words, which are looked up by joining."""
-        frequent, log, child = model.value
+        frequent, hot_grams = model.value
         for batch in sliced(batches, "text"):
             rows = []
             texts = [words_of(text) for text in blobs(batch.column("text"))]
-            for found, score in zip(texts, text_scores(texts, log, child).tolist()):
+            for found, (score, others, counts) in zip(texts, text_scores(texts, hot_grams)):
                 tally = Counter(found)
                 tally[END_TOKEN] = 1
                 keys = _HASHES.of(list(tally)).view(np.int64).tolist()
@@ -221,17 +361,19 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
                     else:
                         base += n * part
                         known += n
-                rows.append((len(found) + 1, known, base, score, rare, times))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()))
+                rows.append((len(found) + 1, known, base, score, rare, times, others, counts))
+            lists = (pa.list_(pa.int64()), pa.list_(pa.int32()))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), *lists, *lists)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
-                ["doc_id", "n_tokens", "known", "base", "score", "rare", "times"],
+                ["doc_id", "n_tokens", "known", "base", "score", "rare", "times", "grams", "gram_times"],
             )
 
     rows = ws.land(
         texts.mapInArrow(
             scored,
-            "doc_id long, n_tokens long, known long, base double, score double, rare array<long>, times array<int>",
+            "doc_id long, n_tokens long, known long, base double, score double, rare array<long>, times array<int>, "
+            "grams array<long>, gram_times array<int>",
         ).withColumn("row", F.monotonically_increasing_id()),
         "rows",
     )
@@ -246,13 +388,22 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
             F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_base"),
         )
     )
-    whole = float(np.log10(total + kinds + 1))
-    return rows.join(looked_up, "row", "left").select(
+    others = rows.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("g")).select(
+        "row", F.col("g.grams").alias("key"), F.col("g.gram_times").alias("times")
+    )
+    # A hot gram that found no slot is looked up here too.
+    more_score = (
+        others.join(scores.select("key", F.col("score").alias("each")), "key")
+        .groupBy("row")
+        .agg(F.sum(F.col("times") * F.col("each")).alias("more_score"))
+    )
+    whole = float(np.log10(total + distinct + 1))
+    return rows.join(looked_up, "row", "left").join(more_score, "row", "left").select(
         "doc_id",
         in_fold("doc_id", modulus, remainder).alias("held_out"),
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
