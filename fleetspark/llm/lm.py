@@ -35,7 +35,7 @@ LEAST_COUNT = 16
 LEAST_DIVERGENCE = 0.01
 SMOOTHING = 2.0
 HOT_SHARE = 1e-5
-HOT_GRAM_SHARE = 1e-6
+HOT_GRAMS = 1 << 21  # broadcast at most; all other grams are joined
 BLOCK = 1 << 17
 HELD_GRAMS = 1 << 20
 SPACE, END = 32, 10
@@ -262,7 +262,7 @@ class HotGrams:
     PROBES = 4
 
     def __init__(self, keys: np.ndarray, scores: np.ndarray):
-        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.bits = max(4, (len(keys) * 3 // 2).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)  # no gram is negative
         self.scores = np.zeros(1 << self.bits)
         for probe in range(self.PROBES):
@@ -335,11 +335,17 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
     }
     tables = learn(counts.where("kind = 1").select("key", "n"), ws)
     grams = counts.where("kind > 0").groupBy("key").agg(F.sum("n").alias("n"))
-    scores = gram_scores(grams, tables, ws)
-    symbols = scores.agg(F.sum("n")).first()[0] or 0
-    frequent = F.col("n") >= max(1.0, HOT_GRAM_SHARE * symbols)
-    often = scores.where(frequent).select("key", "score").toArrow()  # at most 1 / HOT_GRAM_SHARE grams
-    hot_grams = HotGrams(*(often[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "score")))
+    scores = ws.land(gram_scores(grams, tables, ws), "scores")
+    ws.drop(*(f"{name}-{depth}" for depth in range(DEPTH + 1) for name in ("entries", "depth", "looked")))
+    magnitude = F.floor(F.log2("n")).cast("int").alias("magnitude")
+    often, least = 0, 64
+    for row in scores.groupBy(magnitude).count().orderBy(F.desc("magnitude")).collect():
+        often += row["count"]
+        if often > HOT_GRAMS:
+            break
+        least = row["magnitude"]
+    known = scores.where(magnitude >= least).select("key", "score").toArrow()
+    hot_grams = HotGrams(*(known[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("key", "score")))
     model = spark.sparkContext.broadcast((hot, hot_grams))
 
     def scored(batches) -> Iterator[pa.RecordBatch]:

@@ -36,9 +36,9 @@ def in_memory(texts: dict[int, str]) -> tuple[dict[int, float], lm.SuffixTree]:
     }, tree
 
 
-@pytest.mark.parametrize("share", [lm.HOT_GRAM_SHARE, 1e-4])
-def test_scores_equal_the_model_in_memory(spark, monkeypatch, share):
-    monkeypatch.setattr(lm, "HOT_GRAM_SHARE", share)
+@pytest.mark.parametrize("hot", [lm.HOT_GRAMS, 100])
+def test_scores_equal_the_model_in_memory(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm, "HOT_GRAMS", hot)
     docs = table(spark, SF, "documents").orderBy("doc_id").limit(60)
     expected, _ = in_memory({r["doc_id"]: r["text"] or "" for r in docs.collect()})
     found = {r["doc_id"]: r["score"] for r in lm.score_texts(docs).collect()}
