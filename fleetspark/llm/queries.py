@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetspark.llm import ann, kdtree, licenses, lm, mixing, near_dedup, packing, pii, quality, sharding
+from fleetspark.llm import (
+    ann, kdtree, licenses, lm, mixing, near_dedup, packing, phrases, pii, prefix_trie, quality, sharding, suffixes,
+)
 from fleetspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,3 +150,97 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id))
     doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
 FROM sets LEFT JOIN smallest ON x = doc_id
 """
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, w FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM starts, range(1, 6) t(k) WHERE i + k - 1 <= len(w)
+    GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), parts AS (
+    SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM grams
+), inside AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS around
+    FROM parts, range(2, 5) a(m), range(1, 5) b(i)
+    WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, l.f AS l, r.f AS r, n, l.k AS cut,
+        ((1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM parts c JOIN totals USING (lang)
+    LEFT JOIN inside x ON x.lang = c.lang AND x.phrase = c.phrase
+    JOIN range(1, 5) t(j) ON j < c.k
+    JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+    JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')
+    WHERE c.k > 1 AND (around IS NULL OR 100 * around < 100 * c.f)
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+        phrase, a, l, r, n, score FROM lowest
+)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(text, '') AS x, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), words AS (
+    SELECT id, any_value(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))) AS words FROM turns GROUP BY id
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, list(id ORDER BY pos) AS own,
+        xor(list_reduce([4294967295] || [ord(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')], lambda crc, b:
+            list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z:
+                CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 4 AS h
+    FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, array_to_string(list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]), '') AS key
+    FROM convs c LEFT JOIN convs b ON b.conv_id = c.base
+), members AS (
+    SELECT conv_id, d AS depth, substr(key, 1, 32 * d) AS path, length(key) = 32 * d AS whole
+    FROM (SELECT conv_id, key, unnest(range(0, length(key) // 32 + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends_sha256
+    FROM members GROUP BY path, depth
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id, coalesce(k.children, 0) AS n_children, coalesce(w.words, 0) AS words
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = substr(n.path, 1, 32 * (n.depth - 1))
+    LEFT JOIN (SELECT substr(path, 1, 32 * (depth - 1)) AS up, depth - 1 AS d, count(*) AS children
+        FROM nodes WHERE depth > 0 GROUP BY ALL) k ON k.up = n.path AND k.d = n.depth
+    LEFT JOIN words w ON w.id = right(n.path, 32)
+), subtrees AS (
+    SELECT substr(path, 1, 32 * d) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+        sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM linked) GROUP BY 1
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM linked JOIN subtrees USING (path)
+"""
