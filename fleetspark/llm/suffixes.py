@@ -15,9 +15,10 @@ contexts are one class with a count, and what is left are groups of different co
   that reach far enough.
 
 A group of more than `GROUP` contexts is split first on more of its bytes: windows with an anchor
-early in them share more text after it, those with a late one more before it. Halving the range
-goes on until groups fit or the range is one window, whose copies need counting only. So no task
-ever holds a large group, and nothing is dropped.
+early in them share more text after it, those with a late one more before it. Contexts of a half
+that agree in all bytes its windows reach are one from there on: all these windows are repeated.
+Halving goes on until groups fit or the range is one window. So no task ever holds a large group,
+a context goes on only where its neighbours begin to differ, and nothing is dropped.
 """
 
 from __future__ import annotations
@@ -141,7 +142,10 @@ def _cut_contexts(length: int):
 
 
 def _halves(length: int):
-    """Contexts of large groups again, for either half of their range of windows."""
+    """Contexts of large groups again, for either half of their range of windows.
+
+    `key` is what every window of the half has, `reach` all bytes of its windows, if there.
+    """
     before = length - GRAM
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +157,12 @@ def _halves(length: int):
                     if row["pos"] >= low and row["n_bytes"] - row["pos"] >= length - high:
                         shared = row["around"][before - low : before + length - high]
                         key = xxhash.xxh3_64_intdigest(shared, seed=low * 1000 + high) - (1 << 63)
-                        rows.append({**row, "low": low, "high": high, "key": key})
+                        reach = None
+                        if row["pos"] >= high and row["n_bytes"] - row["pos"] >= length - low:
+                            reach = xxhash.xxh3_64_intdigest(row["around"][before - high : before + length - low]) - (1 << 63)
+                        rows.append({**row, "low": low, "high": high, "key": key, "reach": reach})
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, batch.schema)
+                yield pa.RecordBatch.from_pylist(rows, batch.schema.append(pa.field("reach", pa.int64())))
 
     return run
 
@@ -394,33 +401,46 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
 
     split, rounds = ["gram", "key", "low", "high"], 0
     parts = ["span-copies"]
+
+    def kept_spans(found: DataFrame, name: str) -> None:
+        parts.append(f"span-{name}-{rounds}")
+        ws.land(found, parts[-1])
+
     while True:
         sizes = contexts.groupBy(*split).agg(F.count("*").alias("size"))
         many = F.col("size") > group
-        single = F.col("low") == F.col("high")
-        small = contexts.join(sizes.where((F.col("size") > 1) & ~many & ~single).select(*split).hint("merge"), split, "left_semi")
-        ws.land(
-            small.repartition("gram", "key").sortWithinPartitions(*split).mapInArrow(_sort_groups(length), SPAN),
-            f"span-sorted-{rounds}",
-        )
-        parts.append(f"span-sorted-{rounds}")
-        if rounds:
-            start = F.col("pos") - F.col("low")
-            ws.land(
-                contexts.where(single & (F.col("n") == 1))
-                .join(sizes.where(F.col("size") > 1).select(*split).hint("merge"), split, "left_semi")
-                .select("row", "n_bytes", start.alias("start"), (start + length).alias("end")),
-                f"span-counted-{rounds}",
-            )
-            parts.append(f"span-counted-{rounds}")
-        large = ws.land(sizes.where(many & ~single).select(*split), f"large-{rounds}")
+        small = contexts.join(sizes.where((F.col("size") > 1) & ~many).select(*split).hint("merge"), split, "left_semi")
+        kept_spans(small.repartition("gram", "key").sortWithinPartitions(*split).mapInArrow(_sort_groups(length), SPAN), "sorted")
+        large = ws.land(sizes.where(many).select(*split), f"large-{rounds}")
         if large.isEmpty():
             break
-        contexts = ws.land(
-            contexts.join(large.hint("merge"), split, "left_semi").select(*contexts.columns).mapInArrow(_halves(length), CONTEXT),
+        halves = ws.land(
+            contexts.join(large.hint("merge"), split, "left_semi")
+            .select(*contexts.columns)
+            .mapInArrow(_halves(length), f"{CONTEXT}, reach long"),
             f"halves-{rounds}",
         )
-        ws.drop("contexts" if not rounds else f"halves-{rounds - 1}")
+        whole = [*split, "reach"]
+        agreed = ws.land(
+            halves.where("reach IS NOT NULL")
+            .groupBy(*whole)
+            .agg(F.count("*").alias("size"), F.min(F.struct("row", "n_bytes", "pos")).alias("one"))
+            .where("size > 1"),
+            f"agreed-{rounds}",
+        )
+        joined = halves.join(agreed.hint("merge"), whole, "left")
+        kept_spans(
+            joined.where("size IS NOT NULL AND n = 1").select(
+                "row", "n_bytes", (F.col("pos") - F.col("high")).alias("start"), (F.col("pos") - F.col("low") + length).alias("end")
+            ),
+            "agreed",
+        )
+        first = F.struct("row", "n_bytes", "pos") == F.col("one")
+        contexts = ws.land(
+            joined.where(F.col("size").isNull() | first).withColumn("n", F.coalesce("size", "n")).select(*contexts.columns),
+            f"contexts-{rounds}",
+        )
+        ws.drop(f"halves-{rounds}", "contexts" if not rounds else f"contexts-{rounds - 1}")
         rounds += 1
     spans = docs.sparkSession.read.schema(SPAN).parquet(*[f"{ws.root}/{part}" for part in parts])
     by_start = Window.partitionBy("row", "n_bytes").orderBy("start", "end")
