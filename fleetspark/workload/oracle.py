@@ -541,6 +541,17 @@ ORACLE: dict[str, str] = {
             SELECT CAST(2 AS BIGINT), fault IS NULL, count(*) FROM records GROUP BY ALL""",
         "records",
     ),
+    "archive_snapshots": _with(
+        f"""SELECT CAST(1 AS BIGINT) AS append, count(*) AS records,
+                '2024-01-01 00:04:20.000000' AS committed_at FROM ({_OFFSET_HALF}) WHERE early
+            UNION ALL
+            SELECT CAST(2 AS BIGINT), count(*), '2024-01-01 00:04:20.000000' FROM records""",
+        "records",
+    ),
+    "archive_flushes": _with(
+        "SELECT count(*)::BIGINT AS records, true AS within_limit, true AS many FROM records",
+        "records",
+    ),
     "archive_lookup": _with(
         """SELECT event_id, part AS source_partition, pos AS source_offset, speed_kmh FROM records
            WHERE fault IS NULL AND vehicle_id = 'V000005'

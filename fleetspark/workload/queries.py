@@ -633,11 +633,11 @@ def bounded_fleets(spark, sf_dir):
 
 # --- archive -----------------------------------------------------------------------------------
 
-LARGE = StreamOptions(bytes=1 << 40)
+def _archived(spark: SparkSession, sf_dir: str) -> tuple[str, list[int]]:
+    """Records of the first half, then all records: the second append skips the first half.
 
-
-def _archived(spark: SparkSession, sf_dir: str) -> str:
-    """Records of the first half, then all records: the second append skips the first half."""
+    Also the newest snapshot after either.
+    """
     root = scratch(spark, "archive")
     records = landed(m.records(spark, sf_dir).drop("source_seq"), "records")
     facts = records.groupBy("partition").agg(((F.max("offset") + 1) / 2).alias("half"))
@@ -646,33 +646,64 @@ def _archived(spark: SparkSession, sf_dir: str) -> str:
         .where(F.col("offset") < F.col("half"))
         .select(*records.columns)
     )
-    archive.append_archive(first, root, m.TOPIC, AS_OF, options=LARGE)
-    archive.append_archive(records, root, m.TOPIC, AS_OF, options=LARGE)
-    return root
+    newest = [archive.append_archive(part, root, m.TOPIC, AS_OF)["snapshot_id"] for part in (first, records)]
+    return root, newest
 
 
 @query
 def archive_status(spark, sf_dir):
-    return archive.archive_status(spark, _archived(spark, sf_dir))
+    return archive.archive_status(spark, _archived(spark, sf_dir)[0])
 
 
 @query
 def archive_time_travel(spark, sf_dir):
-    root = _archived(spark, sf_dir)
+    root, newest = _archived(spark, sf_dir)
     counts = [
         archive.read_archive(spark, root, snapshot_id)
         .groupBy("valid")
         .agg(F.count(F.lit(1)).alias("records"))
-        .select(F.lit(snapshot_id).cast("long").alias("snapshot"), "valid", "records")
-        for snapshot_id in (1, 2)
+        .select(F.lit(append).cast("long").alias("snapshot"), "valid", "records")
+        for append, snapshot_id in enumerate(newest, 1)
     ]
     return counts[0].unionByName(counts[1])
 
 
+@query
+def archive_snapshots(spark, sf_dir):
+    """The snapshot list: records and commit time after each of the two appends."""
+    root, newest = _archived(spark, sf_dir)
+    rows = archive.archive_snapshots(spark, root).where(F.col("snapshot").isin(newest))
+    return rows.select(
+        F.when(F.col("snapshot") == newest[0], 1).otherwise(2).cast("long").alias("append"),
+        "records",
+        micros("committed_at").alias("committed_at"),
+    )
+
+
+@query
+def archive_flushes(spark, sf_dir):
+    """One append under a byte limit of a sixteenth of its payload: every record, many snapshots.
+
+    A flush is full when the first run of records of the next one would not fit.
+    """
+    root = scratch(spark, "flushes")
+    records = landed(m.records(spark, sf_dir).drop("source_seq"), "records")
+    limit = records.agg(F.expr("max(octet_length(value)) + sum(octet_length(value)) div 16")).first()[0]
+    archive.append_archive(records, root, m.TOPIC, AS_OF, options=StreamOptions(bytes=limit))
+    flushes = archive.read_archive(spark, root).groupBy("snapshot").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.octet_length("raw_payload")).alias("bytes")
+    )
+    return flushes.agg(
+        F.sum("records").alias("records"),
+        (F.max("bytes") <= limit).alias("within_limit"),
+        F.count(F.lit(1)).between(12, 40).alias("many"),
+    )
+
+
 @query
 def archive_lookup(spark, sf_dir):
     rows = archive.query_archive(
-        archive.read_archive(spark, _archived(spark, sf_dir)),
+        archive.read_archive(spark, _archived(spark, sf_dir)[0]),
         "V000005",
         "2024-01-01T00:01:00+00:00",
         "2024-01-01T00:03:00+00:00",
@@ -841,7 +872,6 @@ def archive_stream(spark, sf_dir):
         f"{root}/archive",
         m.TOPIC,
         f"{root}/checkpoint",
-        LARGE,
         drain=True,
     ).awaitTermination()
     rows = archive.read_archive(spark, f"{root}/archive")
