@@ -1,6 +1,7 @@
 """Phrase collocations by relational mining of sorted occurrences.
 
-Relation R1 holds every word occurrence by piece and position; R(k+1) joins Rk with itself where
+Relation R1 holds every word occurrence by piece and position (its breaks included, so that a place
+in the slice is a position); R(k+1) joins Rk with itself where
 piece and position are adjacent, counts its groups, and only occurrences of frequent groups stay
 for the next length. Relations are persisted in slices of some millions of words of one language:
 a slice is one row with its sorted positions and codes, so the merge join is a comparison of
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from fleetspark.llm.common import Workspace, blobs, sliced
 
 LONGEST, LEAST, TOP = 5, 100, 2_000
-SLICE_WORDS = 4_000_000
+SLICE_WORDS = 2_000_000
 BREAK = b"\xff"
 # Fixed by the contract: letters to lower, characters that end a piece, white space in a piece.
 FOLDED = bytes.maketrans(
@@ -35,7 +36,7 @@ RELATION = "slice long, lang string, at binary, code binary, left binary, right
 EXTENDED = pa.schema(
     [("slice", pa.int64()), ("lang", pa.string()), *((name, pa.binary()) for name in ("at", "code", "left", "right"))]
 )
-WORDS = "slice long, lang string, words array<binary>, at binary, code binary"
+WORDS = "slice long, lang string, words array<binary>, code binary, n long"
 
 
 class _Slice:
@@ -59,15 +60,13 @@ class _Slice:
         self.size += len(tokens)
 
     def row(self, number: int, lang: str) -> pa.RecordBatch:
-        code = np.concatenate(self.parts)
-        at = np.flatnonzero(code >= 0).astype(np.int32)
+        code = np.concatenate(self.parts).astype("<i4")
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()), pa.array([lang]), pa.array([list(self.codes)], pa.list_(pa.binary())),
-                pa.array([np.diff(at, prepend=0).astype("<i4").tobytes()], pa.binary()),
-                pa.array([code[at].astype("<i4").tobytes()], pa.binary()),
+                pa.array([code.tobytes()], pa.binary()), pa.array([int((code >= 0).sum())], pa.int64()),
             ],
-            ["slice", "lang", "words", "at", "code"],
+            ["slice", "lang", "words", "code", "n"],
         )
 
 
@@ -102,7 +101,8 @@ def _array(value: bytes, kind: str = "<i4") -> np.ndarray:
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            counts = np.bincount(_array(row["code"]), minlength=len(row["words"]))
+            code = _array(row["code"])
+            counts = np.bincount(code[code >= 0], minlength=len(row["words"]))
             n = len(counts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -135,11 +135,13 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     row = relation.to_pylist()[0]
     codes, ids = frequent["code"].to_numpy(), frequent["id"].to_numpy()
     code = _array(row["code"])
-    place = np.full(int(max(codes.max(), code.max(initial=0))) + 1, -1, np.int32)
+    # The last place is that of a break, whose code is -1.
+    place = np.full(int(max(codes.max(), code.max(initial=0))) + 2, -1, np.int32)
     place[codes] = np.arange(len(codes), dtype=np.int32)
     dense = place[code]
-    stays = dense >= 0
-    at, dense = np.cumsum(_array(row["at"]), dtype=np.int32)[stays], dense[stays]
+    stays = np.flatnonzero(dense >= 0)
+    at = stays if row["at"] is None else np.cumsum(_array(row["at"]), dtype=np.int64)[stays]
+    dense = dense[stays]
     first = np.flatnonzero(np.diff(at) == 1)
     if not len(first):
         return EXTENDED.empty_table()
@@ -163,7 +165,7 @@ def frequent_phrases(ws: Workspace, docs: DataFrame, longest: int, least: int, s
     )
     relation = ws.land(texts.mapInArrow(_occurrences(slice_words), WORDS), "r1")
     counted = relation.mapInArrow(_word_counts, "slice long, code long, lang string, word binary, count long")
-    totals = ws.land(relation.select("lang", (F.octet_length("code") / 4).cast("long").alias("n")).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    totals = ws.land(relation.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     phrases, group = [], ["lang", "word"]
     for size in range(1, longest + 1):
         everywhere = Window.partitionBy(*group)
@@ -188,8 +190,12 @@ def frequent_phrases(ws: Workspace, docs: DataFrame, longest: int, least: int, s
         phrases.append(named.select("lang", "words", "a", F.lit(size).alias("size")))
         if size == longest:
             break
+        places = F.col("at") if size > 1 else F.lit(None).cast("binary").alias("at")
         relation = ws.land(
-            relation.groupBy("slice").cogroup(frequent.select("slice", "code", "id").groupBy("slice")).applyInArrow(_extend, RELATION),
+            relation.select("slice", "lang", places, "code")
+            .groupBy("slice")
+            .cogroup(frequent.select("slice", "code", "id").groupBy("slice"))
+            .applyInArrow(_extend, RELATION),
             f"r{size + 1}",
         )
         ws.drop(f"r{size}", f"frequent-{size}")
