@@ -366,7 +366,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
         "doc_id", "text", F.octet_length("text").cast("long").alias("n_bytes"), F.xxhash64("doc_id", "text").alias("row")
     )
     found = texts.where(F.col("n_bytes") >= length).select("row", "n_bytes", "text").mapInArrow(_find_anchors(length), OCCURRENCE)
-    again = found.groupBy("gram").count().where("count > 1").select("gram")
+    # Stored, so that both sides of the join come from a shuffle and a hot gram can be split.
+    again = ws.land(found.groupBy("gram").count().where("count > 1").select("gram"), "again")
     hits = ws.land(found.join(again.hint("merge"), "gram", "left_semi"), "hits")
     classes = ws.land(
         hits.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "n_bytes", "pos")).alias("one")),
@@ -379,7 +380,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     )
     ws.land(copies.distinct(), "span-copies")
 
-    mixed = classes.groupBy("gram").count().where("count > 1").select("gram")
+    mixed = ws.land(classes.groupBy("gram").count().where("count > 1").select("gram"), "mixed")
     wanted = (
         classes.join(mixed.hint("merge"), "gram", "left_semi")
         .groupBy(F.col("one.row").alias("row"), F.col("one.n_bytes").alias("n_bytes"))
@@ -397,7 +398,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
         .mapInArrow(_cut_contexts(length), CONTEXT),
         "contexts",
     )
-    ws.drop("classes", "hits")
+    ws.drop("classes", "hits", "again", "mixed")
 
     split, rounds = ["gram", "key", "low", "high"], 0
     parts = ["span-copies"]
