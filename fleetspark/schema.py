@@ -139,6 +139,15 @@ SAMPLE = T.StructType(
     )
 )
 
+ACTIVITY = T.StructType(
+    _fields(
+        ("minute", T.TimestampType(), True),
+        ("event_type", T.StringType(), True),
+        ("events", T.LongType(), True),
+        ("average_speed_kmh", T.DoubleType(), True),
+    )
+)
+
 METRIC_SAMPLE = T.StructType(
     _fields(
         ("source", T.StringType(), True),

@@ -26,7 +26,8 @@ SAMPLE_VARIABLES = {
 
 ONLINE_SECONDS = 60
 STATE_TTL_SECONDS = 3600
-DEDUP_TTL = "24 hours"
+DEDUP_HOURS = 24
+DEDUP_TTL = f"{DEDUP_HOURS} hours"
 REPORT_FRESH_SECONDS = 5
 FUTURE_TOLERANCE_SECONDS = 30
 RETENTION_DAYS = 30

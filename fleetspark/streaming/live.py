@@ -1,13 +1,17 @@
 """The live job: readings in, history, incidents and latest state out (ST1-ST4, S7, S8).
 
-Each micro-batch runs the batch detectors over its readings, preceded by the stored state of each
-vehicle; what they leave is the next state. Batch and stream therefore share every rule, and a
-vehicle that floods a batch is cut like any other. Outputs are addressed by batch id:
+Each micro-batch keeps the first arrival of every id it has not accepted within a day, and runs
+the batch detectors over them, preceded by the stored state of each of its vehicles; what they
+leave is the next state. Batch and stream therefore share every rule, and a vehicle that floods a
+batch is cut like any other. Outputs are addressed by batch id:
 
     <root>/telemetry|alerts/batch_id=<n>/month=*    written first
-    <root>/state/version=<n>                        written last
+    <root>/seen/hour=<h>/part=<n>                   accepted ids
+    <root>/outcomes/batch_id=<n>                    what became of the batch
+    <root>/state, <root>/state_versions             written last
 
-A batch that failed half-way is repeated from state version n - 1 and overwrites its own output.
+A batch that failed half-way is repeated from what batches before it left, and overwrites its own
+output.
 """
 
 from __future__ import annotations
@@ -19,64 +23,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetspark.operators.dedup import dedup_stream
-from fleetspark.operators.detect import DEFAULTS, detect, enrich, open_incidents
+from fleetspark.operators.dedup import dedup_first
+from fleetspark.operators.detect import DEFAULTS, detect, enrich, new_rows, open_incidents
+from fleetspark.operators.outcomes import OUTCOMES
 from fleetspark.operators.state import latest_state, with_carried
-from fleetspark.operators.tables import read_history, write_history
-from fleetspark.operators.validate import parse_telemetry
+from fleetspark.operators.tables import write_history
+from fleetspark.operators.validate import parse_telemetry, valid_readings
 from fleetspark.plans.ordered import BLOCK_ROWS
-from fleetspark.schema import STATE, TELEMETRY_COLUMNS
-from fleetspark.settings import DEDUP_TTL, DetectorSettings, StreamOptions
-from fleetspark.sources.paths import child_names, delete, exists
+from fleetspark.schema import STATE
+from fleetspark.settings import DetectorSettings, StreamOptions
+from fleetspark.sources.paths import exists
+from fleetspark.streaming.buckets import bucket_versions, read_state, state_bucket, write_state
+from fleetspark.streaming.seen import drop_seen_ids, tidy_seen, write_seen
 from fleetspark.streaming.sources import flush_rule
 
-KEPT_STATES = 3
+_OUTCOME = ", ".join(f"{name} long" for name in OUTCOMES)
 
 
 def wall_clock() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def _state_versions(spark: SparkSession, root: str) -> list[int]:
-    path = f"{root}/state"
-    names = [n for n in child_names(spark, path) if exists(spark, f"{path}/{n}/_SUCCESS")]
-    return sorted(int(name.split("=")[1]) for name in names)
-
-
-def read_state(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Latest state of all vehicles: the newest version, or the newest before a batch."""
-    versions = [v for v in _state_versions(spark, root) if before is None or v < before]
-    if not versions:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{root}/state/version={versions[-1]}")
-
-
-def write_state(state: DataFrame, root: str, batch_id: int) -> None:
-    """Write the state after a batch and drop versions no restart can need."""
-    spark = state.sparkSession
-    state.write.mode("overwrite").option("compression", "zstd").parquet(
-        f"{root}/state/version={int(batch_id)}"
-    )
-    for old in _state_versions(spark, root)[:-KEPT_STATES]:
-        delete(spark, f"{root}/state/version={old}")
-
-
-def live_readings(records: DataFrame, ttl: str = DEDUP_TTL) -> DataFrame:
-    """Valid, first-seen readings of a record stream; intake is counted on the way.
-
-    `intake` in the query progress holds consumed and invalid. A source partition is read by one
-    task in offset order, so of two copies in one batch the first arrival stays.
-    """
-    parsed = parse_telemetry(records, F.current_timestamp()).observe(
-        "intake", F.count(F.lit(1)).alias("consumed"), F.count_if(~F.col("valid")).alias("invalid")
-    )
-    return dedup_stream(parsed.where("valid"), ttl).select(
-        *TELEMETRY_COLUMNS, "partition", "offset"
-    )
-
-
 def commit_batch(
-    readings: DataFrame,
+    records: DataFrame,
     batch_id: int,
     root: str,
     settings: DetectorSettings = DEFAULTS,
@@ -84,28 +53,61 @@ def commit_batch(
     as_of: datetime,
     block_rows: int | None = BLOCK_ROWS,
 ) -> None:
-    """Detect one micro-batch and write history, incidents and state, in this order (ST3, ST4).
+    """One micro-batch of records: first arrivals, detection, then all tables (ST2-ST4, A7).
 
-    State older than an hour of processing time does not count.
+    Of copies in the batch the first arrival stays, whatever partition or file it came by. Only
+    states of the batch's vehicles enter detection; those of other vehicles in the same buckets
+    are copied, the rest is not read. State older than an hour of processing time does not count.
     """
-    spark = readings.sparkSession
-    readings = readings.persist()
-    # A full pass, so that the dedup state of every partition is computed and committed.
-    arrived = readings.count()
-    if not arrived:
-        readings.unpersist()
-        return
-    if block_rows is not None and arrived <= block_rows:
-        block_rows = None
-    rows = with_carried(readings, read_state(spark, root, before=batch_id), as_of)
-    detected = detect(rows, settings, block_rows=block_rows, counted=readings).persist()
+    spark = records.sparkSession
+    parsed = parse_telemetry(records, F.current_timestamp()).persist()
+    held = [parsed]
     try:
+        intake = parsed.agg(
+            F.count(F.lit(1)).alias("consumed"), F.count_if(~F.col("valid")).alias("invalid")
+        ).first()
+        if not intake["consumed"]:
+            return
+        once = dedup_first(valid_readings(parsed)).persist()
+        held.append(once)
+        readings = drop_seen_ids(once, root, batch_id, as_of).persist()
+        held.append(readings)
+        touched = [
+            row["bucket"] for row in readings.select(state_bucket().alias("bucket")).distinct().collect()
+        ]
+        accepted = readings.count()
+        if block_rows is not None and accepted <= block_rows:
+            block_rows = None
+        vehicles = readings.select("vehicle_id").distinct()
+        stored = read_state(spark, root, before=batch_id, buckets=touched)
+        rows = with_carried(readings, stored.join(vehicles, "vehicle_id", "left_semi"), as_of)
+        detected = detect(rows, settings, block_rows=block_rows, counted=readings).persist()
+        held.append(detected)
+        found = new_rows(detected).agg(
+            F.count_if("late").alias("late"), F.coalesce(F.sum(F.size("opened_types")), F.lit(0)).alias("alerts")
+        ).first()
         write_history(enrich(detected), root, "telemetry", batch_id)
         write_history(open_incidents(detected, settings), root, "alerts", batch_id)
-        write_state(latest_state(detected, as_of, settings), root, batch_id)
+        write_seen(readings, root, batch_id, as_of)
+        outcome = {
+            **intake.asDict(), **found.asDict(), "accepted": accepted,
+            "duplicates": intake["consumed"] - intake["invalid"] - accepted,
+        }
+        write_outcome(spark, outcome, root, batch_id)
+        if accepted:
+            others = stored.join(vehicles, "vehicle_id", "left_anti")
+            state = latest_state(detected, as_of, settings).select(*STATE.fieldNames())
+            write_state(state.unionByName(others), root, batch_id, touched)
     finally:
-        detected.unpersist()
-        readings.unpersist()
+        for frame in held:
+            frame.unpersist()
+    tidy_seen(spark, root, as_of)
+
+
+def write_outcome(spark: SparkSession, outcome: dict, root: str, batch_id: int) -> None:
+    """What became of a batch, as one row addressed by its id."""
+    row = spark.createDataFrame([tuple(outcome[name] for name in OUTCOMES)], _OUTCOME)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/outcomes/batch_id={int(batch_id)}")
 
 
 def start_live(
@@ -121,47 +123,31 @@ def start_live(
 ) -> StreamingQuery:
     """Run the live job. Offsets are committed by Spark only after a batch's state is written."""
     spark = records.sparkSession
-    if _state_versions(spark, root) and not exists(spark, checkpoint):
+    if bucket_versions(spark, root, "state") and not exists(spark, checkpoint):
         raise ValueError("tables were written with another checkpoint; use it or a new folder")
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         commit_batch(batch, batch_id, root, settings, as_of=clock(), block_rows=block_rows)
 
     writer = (
-        live_readings(records)
-        .writeStream.queryName("live")
+        records.writeStream.queryName("live")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(commit)
     )
     return flush_rule(writer, options, drain=drain).start()
 
 
-def stored_outcomes(spark: SparkSession, root: str) -> DataFrame:
-    """Accepted, late and alerts per committed batch, from the tables themselves."""
-    readings = (
-        read_history(spark, root, "telemetry")
-        .groupBy("batch_id")
-        .agg(F.count(F.lit(1)).alias("accepted"), F.count_if("late").alias("late"))
-    )
-    alerts = (
-        read_history(spark, root, "alerts")
-        .groupBy("batch_id")
-        .agg(F.count(F.lit(1)).alias("alerts"))
-    )
-    return readings.join(alerts, "batch_id", "left").fillna(0, ["alerts"])
+def read_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """Consumed, accepted, duplicates, invalid, late and alerts of each batch.
 
+    The rows lie beside the tables, so they outlive the query, its progress and any folding.
+    """
+    path = f"{root}/outcomes"
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"{_OUTCOME}, batch_id long")
+    return spark.read.schema(f"{_OUTCOME}, batch_id long").option("basePath", path).parquet(path)
 
-def live_outcomes(query: StreamingQuery, root: str) -> dict:
-    """What became of everything a finished query read.
 
-    Intake comes from the query's progress, the rest from what it committed; duplicates are what
-    is neither invalid nor accepted.
-    """
-    intake = [p.observedMetrics["intake"] for p in query.recentProgress if p.observedMetrics]
-    total = {name: sum(i[name] for i in intake) for name in ("consumed", "invalid")}
-    names = ["accepted", "late", "alerts"]
-    stored = stored_outcomes(SparkSession.active(), root)
-    sums = stored.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
-    total.update(sums.asDict())
-    total["duplicates"] = total["consumed"] - total["invalid"] - total["accepted"]
-    return total
+def live_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """What became of everything the job ever read, over all its restarts."""
+    return read_outcomes(spark, root).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in OUTCOMES])

@@ -20,10 +20,18 @@ class KafkaSource:
 
 @dataclass(frozen=True)
 class FileSource:
-    """Parquet files with the record columns, for replays and where no broker is."""
+    """Parquet files with the record columns, for replays and where no broker is.
+
+    A batch takes `files_per_batch` files; or, where the writer kept files to `file_rows` records,
+    as many as the stream's rows allow.
+    """
 
     path: str
     files_per_batch: int = 1
+    file_rows: int | None = None
+
+    def files(self, options: StreamOptions) -> int:
+        return max(1, options.rows // self.file_rows) if self.file_rows else self.files_per_batch
 
 
 def read_telemetry_stream(
@@ -40,7 +48,7 @@ def read_telemetry_stream(
     if isinstance(source, FileSource):
         return (
             spark.readStream.schema(RECORD)
-            .option("maxFilesPerTrigger", source.files_per_batch)
+            .option("maxFilesPerTrigger", source.files(options))
             .parquet(source.path)
         )
     raw = (

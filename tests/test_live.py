@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+import fleetspark.sources.paths as live_paths
 import fleetspark.streaming.live as live
+import fleetspark.streaming.seen as seen
 from fleetspark.operators import detect as d
 from fleetspark.operators.state import as_carried, latest_state, with_carried
 from fleetspark.operators.tables import read_history
 from fleetspark.operators.validate import parse_telemetry, valid_readings
-from fleetspark.streaming.raw import start_archive
+from fleetspark.schema import ACTIVITY
+from fleetspark.streaming.raw import read_activity, start_activity, start_archive, upsert_activity
 from fleetspark.streaming.sources import FileSource, read_telemetry_stream
 from fleetspark.sources.archive import read_archive
 from tests.build import START, TOPIC, at, base, by_event, frame, payload, records
@@ -45,9 +48,9 @@ def drain(spark, source, root, **kwargs):
 def test_outcomes_and_resend(spark, tmp_path):
     body = payload(base(speed_kmh=130.0, dtc=["P0301"]))
     source = feed(spark, tmp_path / "in", [[body, body, b"{invalid"], [body]])
-    query = drain(spark, source, tmp_path)
+    drain(spark, source, tmp_path)
     tables = f"{tmp_path}/tables"
-    assert live.live_outcomes(query, tables) == {
+    assert live.live_outcomes(spark, tables).first().asDict() == {
         "consumed": 4,
         "invalid": 1,
         "accepted": 1,
@@ -58,6 +61,85 @@ def test_outcomes_and_resend(spark, tmp_path):
     assert live.read_state(spark, tables).first()["speed_kmh"] == 130.0
 
 
+def test_outcomes_survive_a_restart(spark, tmp_path):
+    """Each batch's row is exact, although the second query knows nothing of the first's progress."""
+    bodies = [payload(at(t, speed_kmh=130.0)) for t in range(6)]
+    feed(spark, tmp_path / "in", [bodies[:2] + [b"no"], [bodies[1], bodies[2]]])
+    drain(spark, FileSource(str(tmp_path / "in")), tmp_path)
+    rows = records(spark, [bodies[0], bodies[3], None], start=5)
+    rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    drain(spark, FileSource(str(tmp_path / "in")), tmp_path)
+    found = live.read_outcomes(spark, f"{tmp_path}/tables").orderBy("batch_id").collect()
+    assert [(r["consumed"], r["accepted"], r["duplicates"], r["invalid"]) for r in found] == [
+        (3, 2, 0, 1), (2, 1, 1, 0), (3, 1, 1, 1),
+    ]
+    total = live.live_outcomes(spark, f"{tmp_path}/tables").first()
+    assert total["consumed"] == total["accepted"] + total["duplicates"] + total["invalid"] == 8
+
+
+def test_first_arrival_of_copies_in_any_file(spark, tmp_path):
+    """Copies of one id in one batch, in two partitions and files: the first place wins."""
+    kept = at(0, speed_kmh=10.0)
+    other = {**kept, "speed_kmh": 20.0}
+    for partition, start, row in [(3, 0, other), (1, 7, other), (1, 2, kept), (2, 0, other)]:
+        one = records(spark, [payload(row)], partition, start)
+        one.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    drain(spark, FileSource(str(tmp_path / "in"), files_per_batch=4), tmp_path)
+    (stored,) = read_history(spark, f"{tmp_path}/tables", "telemetry").collect()
+    assert stored["speed_kmh"] == 10.0
+    assert live.live_outcomes(spark, f"{tmp_path}/tables").first()["duplicates"] == 3
+
+
+def test_seen_ids_expire_fold_and_ignore_the_batch_itself(spark, tmp_path):
+    root, now = str(tmp_path), START
+    rows = frame(spark, [at(t) for t in range(40)])
+
+    def fresh(batch_id, as_of):
+        return seen.drop_seen_ids(rows, root, batch_id, as_of).count()
+
+    assert fresh(0, now) == 40
+    seen.write_seen(rows.where("seq <= 10"), root, 0, now)
+    seen.write_seen(rows.where("seq < 25"), root, 1, now)
+    left = 16
+    assert (fresh(0, now), fresh(1, now), fresh(2, now)) == (40, 30, left)
+    for hours in (1, 5):
+        seen.tidy_seen(spark, root, now + timedelta(hours=hours))
+        folder = f"{root}/seen/{live_paths.child_names(spark, f'{root}/seen')[0]}"
+        assert [n[:9] for n in live_paths.child_names(spark, folder)] == ["part=fold"]
+        assert fresh(1, now + timedelta(hours=hours)) == 30 and fresh(2, now + timedelta(hours=hours)) == left
+    assert fresh(2, now + timedelta(hours=24)) == 40
+    seen.tidy_seen(spark, root, now + timedelta(hours=26))
+    assert live_paths.child_names(spark, f"{root}/seen") == []
+
+
+def test_only_touched_buckets_and_vehicles(spark, tmp_path, monkeypatch):
+    """Absent vehicles meet no window, and their buckets are neither read nor written."""
+    entered, carried = [], live.with_carried
+
+    def watched(readings, state, as_of):
+        entered.append(sorted(r["vehicle_id"] for r in state.select("vehicle_id").collect()))
+        return carried(readings, state, as_of)
+
+    monkeypatch.setattr(live, "with_carried", watched)
+    root = str(tmp_path)
+    fleet = [at(0, vehicle_id=f"V{v:06d}", speed_kmh=0.0) for v in range(200)]
+    live.commit_batch(records(spark, [payload(r) for r in fleet]), 0, root, as_of=START)
+    second = [at(5, vehicle_id="V000007", speed_kmh=0.0), at(5, vehicle_id="V000150", speed_kmh=0.0)]
+    live.commit_batch(records(spark, [payload(r) for r in second], start=500), 1, root, as_of=START)
+    assert entered == [[], ["V000007", "V000150"]]
+    wrote = live_paths.child_names(spark, f"{root}/state/version=1")
+    assert 1 <= len(wrote) <= 2 and len(live_paths.child_names(spark, f"{root}/state/version=0")) > 2
+    states = {r["vehicle_id"]: r for r in live.read_state(spark, root).collect()}
+    assert len(states) == 200 and states["V000007"]["idle_duration_seconds"] == 5.0
+    assert states["V000008"]["idle_duration_seconds"] == 0.0
+    assert live.read_state(spark, root, before=1).where("vehicle_id = 'V000007'").first()["idle_duration_seconds"] == 0.0
+    for batch in range(2, 7):
+        more = [at(5 + batch, vehicle_id="V000007", speed_kmh=0.0)]
+        live.commit_batch(records(spark, [payload(r) for r in more], start=600 + batch), batch, root, as_of=START)
+    assert live.read_state(spark, root).count() == 200
+    assert live_paths.child_names(spark, f"{root}/state") == [f"version={v}" for v in (0, 1, 4, 5, 6)]
+
+
 @pytest.mark.parametrize("step", ["write_history", "latest_state", "write_state"])
 def test_failed_batch_is_repeated(spark, tmp_path, monkeypatch, step):
     rows = [at(t, speed_kmh=0.0) for t in range(30)]
@@ -143,3 +225,34 @@ def test_archive_stream_keeps_everything(spark, tmp_path):
     assert rows.count() == 4
     assert rows.where("valid").count() == 2
     assert rows.agg(F.max("snapshot")).first()[0] == 2
+
+
+def test_evicted_minutes_stay_in_the_table(spark, tmp_path):
+    """State holds the minutes that readings can still reach, the table all of them."""
+    start, rows = datetime(2026, 9, 27), []
+    for minute in range(300):
+        rows += [(start + timedelta(minutes=minute, seconds=s), "NORMAL", float(s)) for s in (0, 30)]
+    schema = "timestamp timestamp, event_type string, speed_kmh double"
+    for i in range(6):
+        part = spark.createDataFrame(rows[i * 100 : (i + 1) * 100], schema)
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = start_activity(stream, f"{tmp_path}/tables", f"{tmp_path}/checkpoint", lateness="10 minutes", drain=True)
+    query.awaitTermination()
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(held) <= 130 < 300
+    found = read_activity(spark, f"{tmp_path}/tables").collect()
+    assert len(found) == 300 and all((r["events"], r["average_speed_kmh"]) == (2, 15.0) for r in found)
+
+
+def test_changed_minutes_replace_their_own(spark, tmp_path):
+    def changed(*rows):
+        return spark.createDataFrame([(datetime(2026, 9, day, 5, m), k, n, 1.0) for day, m, k, n in rows], ACTIVITY)
+
+    root = str(tmp_path)
+    upsert_activity(changed((1, 0, "A", 1), (1, 0, "B", 1), (2, 5, "A", 1)), root, 0)
+    for _ in range(2):
+        upsert_activity(changed((1, 0, "A", 7)), root, 1)
+    found = {(r["minute"].day, r["event_type"]): r["events"] for r in read_activity(spark, root).collect()}
+    assert found == {(1, "A"): 7, (1, "B"): 1, (2, "A"): 1}
+    assert len(live_paths.child_names(spark, f"{root}/activity/version=1")) == 1
