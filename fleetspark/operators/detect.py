@@ -207,8 +207,8 @@ def detect(
     """All detectors over deduplicated readings; keeps the helper columns.
 
     Without busy vehicles the readings are read once more to count them (or `counted` is), and
-    the plan is one exchange and one sort. With busy ones, their readings are read again for each
-    of the two carries: give a stored table, or land expensive input first.
+    the plan is one exchange and one sort. With busy ones, the input of each of the two scans is
+    stored, so that it is evaluated once.
     """
     rows = cut_by_offset(df, KEY, block_rows=block_rows, counted=counted)
     rows = with_previous(rows, settings)

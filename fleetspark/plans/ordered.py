@@ -4,13 +4,15 @@ A window over `vehicle_id` puts every reading of a vehicle into one task. When o
 a third of all rows that task never ends, so keys above a row budget are cut into blocks of
 consecutive arrival offsets. Each block is scanned on its own, and what earlier blocks leave
 behind is one row per block: a running maximum over those rows gives the carry that is joined
-back. The result is exactly that of the uncut window.
+back. The result is exactly that of the uncut window. All running values of a stage share one scan
+and one row of carries; what the scan and the carries read is stored first, so that deduplication,
+parsing and earlier stages run once however many stages follow.
 
 Keys are counted first (one narrow column, map-side combine). If no key exceeds the budget,
 `block` is a void column and the plan is a plain window: one exchange, one sort. Otherwise
 ordinary keys have `block` = null, form a single window partition and never match a carry. The
-list of cut keys has at most total_rows / block_rows entries, which bounds its broadcast; carries
-have no such bound and are joined without a hint.
+list of cut keys has at most total_rows / block_rows entries and is broadcast up to `MOST_BUSY`;
+carries have no such bound and are joined without a hint.
 """
 
 from __future__ import annotations
@@ -19,8 +21,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
+from fleetspark.sources.paths import landed
+
 BLOCK = "block"
 BLOCK_ROWS = 1_000_000
+MOST_BUSY = 100_000
+# A slice of the busiest key holds a thousandth of it, should that exceed the row budget.
+MOST_CUTS = 1_000
 
 
 def busy_keys(df: DataFrame, keys: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -33,6 +40,14 @@ def busy_keys(df: DataFrame, keys: list[str], block_rows: int = BLOCK_ROWS) -> D
     )
 
 
+def _marked(df: DataFrame, busy: DataFrame, keys: list[str]) -> DataFrame | None:
+    """`df` with what `busy` knows of its keys, or None where no key is busy."""
+    number = busy.limit(MOST_BUSY + 1).count()
+    if not number:
+        return None
+    return df.join(F.broadcast(busy) if number <= MOST_BUSY else busy, keys, "left")
+
+
 def uncut(df: DataFrame) -> DataFrame:
     """Mark a frame whose keys all fit one task, for example a size-capped micro-batch."""
     return df.withColumn(BLOCK, F.lit(None))
@@ -54,11 +69,11 @@ def cut_by_offset(
     if block_rows is None:
         return uncut(df)
     busy = busy_keys(df if counted is None else counted, keys, block_rows)
-    if busy.isEmpty():
+    marked = _marked(df, busy, keys)
+    if marked is None:
         return uncut(df)
     # Null for keys that are not busy, because `_block_rows` is.
     number = F.shiftleft(F.col("partition").cast("long"), 32) + F.expr("offset div _block_rows")
-    marked = df.join(F.broadcast(busy), keys, "left")
     return marked.withColumn(BLOCK, number).drop("_block_rows")
 
 
@@ -67,24 +82,36 @@ def cut_by_time(
 ) -> DataFrame:
     """Add `block` for sequences without offsets: time slices for busy keys, null otherwise.
 
-    A busy key's slices are as wide as its time span divided by the blocks its rows need, so they
-    hold `block_rows` rows on average however fast the key reports.
+    A busy key is cut at quantiles of its times, from a sketch per key, so slices hold about
+    `block_rows` rows in a burst as well as in a lull; rows of one instant stay together.
     """
     if block_rows is None:
         return uncut(df)
     at = F.unix_micros(time)
-    spans = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_from"), F.max(at).alias("_to")
-    )
-    blocks = F.ceil(F.col("_rows") / F.lit(block_rows))
-    busy = spans.where(F.col("_rows") > block_rows).select(
-        *keys, "_from", (F.floor((F.col("_to") - F.col("_from")) / blocks) + 1).alias("_width")
+    counted = busy_keys(df, keys, block_rows)
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0]
+    if most is None or most <= block_rows:
+        return uncut(df)
+    # All busy keys get the cuts that the busiest one needs; smaller ones skip most of them below.
+    pieces = min(-(-most // block_rows), MOST_CUTS)
+    shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    cuts = (
+        df.join(counted.select(*keys), keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(at, shares, F.lit(20 * pieces)).alias("_cuts"), F.count(F.lit(1)).alias("_rows"))
+        .select(
+            *keys,
+            F.filter(
+                "_cuts",
+                lambda cut, i: (i + 1) % F.greatest(F.lit(1), F.floor(F.lit(pieces * block_rows) / F.col("_rows"))) == 0,
+            ).alias("_cuts"),
+        )
     )
-    if busy.isEmpty():
+    marked = _marked(df, cuts, keys)
+    if marked is None:
         return uncut(df)
-    number = F.floor((at - F.col("_from")) / F.col("_width"))
-    marked = df.join(F.broadcast(busy), keys, "left")
-    return marked.withColumn(BLOCK, number).drop("_from", "_width")
+    passed = F.size(F.filter("_cuts", lambda cut: cut < at)).cast("long")
+    return marked.withColumn(BLOCK, F.when(F.col("_cuts").isNotNull(), passed)).drop("_cuts")
 
 
 def running_max(
@@ -98,7 +125,8 @@ def running_max(
     """Add running maxima per key in `order`: over earlier rows, or through the current row.
 
     Nulls are skipped. A maximum of struct(order..., payload) is "the newest payload", so lag,
-    last-non-null and as-of lookups are all running maxima.
+    last-non-null and as-of lookups are all running maxima. Where keys are cut the input is stored,
+    because the scan and the carries both read it.
     """
     before, through = before or {}, through or {}
     values = {**before, **through}
@@ -114,6 +142,7 @@ def running_max(
             }
         )
 
+    df = landed(df, "scan")
     blocks = Window.partitionBy(*keys).orderBy(BLOCK)
     past_blocks = blocks.rowsBetween(Window.unboundedPreceding, -1)
 

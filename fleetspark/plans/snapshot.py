@@ -165,11 +165,15 @@ def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def differing_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows that one frame has more often than the other, with the side they are on."""
+    """Rows that one frame has more often than the other, with the side they are on.
+
+    One pass: rows of one side count up, those of the other down, and what is not zero differs.
+    """
     columns = a.columns
-    left = a.exceptAll(b.select(*columns)).withColumn("side", F.lit("left"))
-    right = b.select(*columns).exceptAll(a).withColumn("side", F.lit("right"))
-    return left.unionByName(right)
+    both = a.withColumn("_sign", F.lit(1)).unionByName(b.select(*columns).withColumn("_sign", F.lit(-1)))
+    surplus = both.groupBy(*columns).agg(F.sum("_sign").alias("_more")).where("_more <> 0")
+    times = F.expr("array_repeat(if(_more > 0, 'left', 'right'), cast(abs(_more) as int))")
+    return surplus.select(*columns, F.explode(times).alias("side"))
 
 
 def assert_same_rows(a: DataFrame, b: DataFrame) -> None:

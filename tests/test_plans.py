@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
+import fleetspark.plans.ordered as ordered
 from fleetspark.operators import detect as d
 from fleetspark.operators.dedup import dedup_first
 from fleetspark.operators.state import latest_state
 from fleetspark.plans import reports
+from fleetspark.plans.paging import page_after
 from fleetspark.workload import mapping as m
 from fleetspark.workload.queries import AS_OF, MONTH_END
 
@@ -30,17 +34,49 @@ def test_state_and_report_add_no_exchange_by_vehicle(spark):
     assert plan(reports.idling_report(d.enrich(detected), AS_OF)).count("Exchange") == 1
 
 
-def test_cutting_adds_no_exchange_of_all_readings(spark):
-    """Whole rows move once, by vehicle and block; the carries only read busy vehicles."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(d.enrich(d.detect(m.readings(spark, SF), block_rows=30)))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    moves = re.findall(r"Exchange hashpartitioning\(vehicle_id#\d+, block", text)
-    joins = re.findall(r"BroadcastHashJoin \[vehicle_id#\d+\], \[vehicle_id#\d+\], (\w+)", text)
-    assert joins.count("LeftOuter") == 1 and joins.count("Inner") == 3
-    assert text.count("SortMergeJoin") == 3 and len(moves) > 1
+def test_cutting_evaluates_its_input_once(spark, monkeypatch):
+    """Busy vehicles: rows are read and deduplicated once (and counted once) in all."""
+    stored, landed = [], ordered.landed
+
+    def watched(df, name):
+        stored.append(plan(df))
+        return landed(df, name)
+
+    monkeypatch.setattr(ordered, "landed", watched)
+    rows = d.detect(dedup_first(m.arrivals(spark, SF)), block_rows=30, counted=m.arrivals(spark, SF))
+    stored.append(plan(d.active_episodes(rows)))
+    for name, times in (("events.parquet", 2), (r"WindowGroupLimit \[event_id\S* \S* \S*, row_number\S*, 1, Final", 1)):
+        assert sum(len(re.findall(name, text)) for text in stored) <= times, name
+    assert "events.parquet" in stored[0] and len(stored) == 4
+    # Whole rows move by vehicle and block, carries by vehicle.
+    moves = [len(re.findall(r"Exchange hashpartitioning\(vehicle_id#\d+, block", text)) for text in stored]
+    assert moves[0] == 0 and all(1 <= n <= 3 for n in moves[1:])
+
+
+def test_page_by_key_skips_row_groups(spark, tmp_path):
+    """A deep page reads no more of the table than the first one."""
+    path = str(tmp_path / "registry")
+    rows = spark.range(200_000).selectExpr("format_string('V%06d', id) AS vehicle_id", "id % 7 AS n")
+    rows.repartitionByRange(1, "vehicle_id").sortWithinPartitions("vehicle_id").write.option(
+        "parquet.block.size", 1 << 16
+    ).option("parquet.page.size", 1 << 12).parquet(path)
+    table = spark.read.parquet(path)
+
+    def scanned(frame):
+        frame.collect()
+        node = frame._jdf.queryExecution().executedPlan()
+        while node.children().size() or "AdaptiveSparkPlan" in node.nodeName():
+            node = node.executedPlan() if "AdaptiveSparkPlan" in node.nodeName() else node.children().head()
+        return node.metrics().apply("numOutputRows").value()
+
+    late = page_after(table, ["vehicle_id"], 10, ("V199000",))
+    assert [r["vehicle_id"] for r in late.collect()] == [f"V{i:06d}" for i in range(199_001, 199_011)]
+    assert "GreaterThanOrEqual(vehicle_id,V199000)" in plan(late)
+    assert scanned(late) < scanned(page_after(table, ["vehicle_id"], 10)) / 2
+    with pytest.raises(ValueError, match="each column"):
+        page_after(table, ["vehicle_id", "n"], 10, ("V1",))
+    pairs = page_after(table, ["n", "vehicle_id"], 3, (5, "V199990"))
+    assert [tuple(r) for r in pairs.select("n", "vehicle_id").collect()] == [(5, "V199995"), (6, "V000006"), (6, "V000013")]
 
 
 def test_copies_are_pruned_before_the_shuffle(spark):

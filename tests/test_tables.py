@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.operators import detect as d
 from fleetspark.operators import metrics, registry, state, tables
-from fleetspark.plans import paging, reports, snapshot
+from fleetspark.plans import ordered, paging, reports, snapshot
 from fleetspark.schema import FLEET, METRIC_SAMPLE, VEHICLE
 from fleetspark.settings import SampleScope
 from fleetspark.workload import mapping
@@ -305,3 +305,26 @@ def test_reports(spark):
         reports.vehicle_history(rows, "V000001", AS_OF, 1, 1001)
     with pytest.raises(ValueError):
         reports.readings_of(rows, [])
+
+
+def test_bursts_are_cut_like_lulls(spark):
+    """Nine tenths of a series within a second: slices still hold about the row budget."""
+    start = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    burst = [("a", start + timedelta(microseconds=1_000 * i)) for i in range(900)]
+    lull = [("a", start + timedelta(hours=1 + i)) for i in range(100)]
+    other = [("b", start + timedelta(minutes=i)) for i in range(250)] + [("c", start)]
+    rows = spark.createDataFrame(burst + lull + other, "source string, ts timestamp")
+    sizes = ordered.cut_by_time(rows, ["source"], "ts", block_rows=100).groupBy("source", "block").count().collect()
+    assert max(r["count"] for r in sizes if r["source"] != "c") <= 130
+    assert {r["block"] for r in sizes if r["source"] == "c"} == {None}
+    assert len([r for r in sizes if r["source"] == "a"]) >= 9
+
+
+def test_differing_rows_count_each_side(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([("x", 1), (None, 2), (None, 2), ("y", 3)], "v string, k int")
+    found = sorted(map(tuple, snapshot.differing_rows(a, b).collect()), key=repr)
+    assert found == sorted([(1, "x", "left"), (3, "z", "left"), (2, None, "right"), (3, "y", "right")], key=repr)
+    snapshot.assert_same_rows(a, a.repartition(3))
+    with pytest.raises(AssertionError):
+        snapshot.assert_same_rows(a, b)
