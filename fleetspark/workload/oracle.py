@@ -113,7 +113,8 @@ CTES = {
                round(CASE WHEN rank = 1 AND fuel_pct IS NOT NULL
                           THEN run_seconds / 3600e0 * 0.8e0 * 100e0 ELSE 0e0 END, 6)
                  AS estimated_cost,
-               CASE WHEN rank = 5 THEN 'P0301' ELSE '' END AS codes,
+               CASE WHEN rank = 5 THEN 'P0301'
+                    ELSE printf('acceleration_mps2=%.2f', accel) END AS detail,
                is_new, us, seq, rank
         FROM digests""",
     "newest": """
@@ -198,13 +199,24 @@ _LATE_AND_ON_TIME = """
                CASE WHEN f6 THEN 'LOW_ENERGY' END], lambda x: x IS NOT NULL), ',') AS types
     FROM flags"""
 _ALERT_COLUMNS = """alert_id, event_id, vehicle_id, fleet_id, type, event_time, started_at, duration_seconds,
-    estimated_fuel_l, estimated_cost, codes"""
+    estimated_fuel_l, estimated_cost, detail"""
 _AS_OF = 1704067460000000
 _TOP_IDLERS = """
     SELECT vehicle_id, fleet_id, sum(idling_seconds) AS d, sum(litres) AS f,
            sum(litres * 100e0) AS c
     FROM runs GROUP BY ALL HAVING sum(idling_seconds) > 0
     ORDER BY d DESC, vehicle_id, fleet_id LIMIT 20"""
+_SUMMARY = """
+    SELECT (SELECT count(*) FROM registry) AS registered_vehicles,
+        (SELECT count(*) FROM state WHERE us >= {as_of} - 60000000) AS online_vehicles,
+        (SELECT count(*) FROM state WHERE us >= {as_of} - 60000000 AND status = 'IDLING')
+          AS currently_idling,
+        (SELECT CAST(coalesce(sum(n_alerts), 0) AS BIGINT) FROM state
+         WHERE us >= {as_of} - 60000000) AS active_alerts,
+        CASE WHEN reported_us > {as_of} - 5000000 THEN round(rate, 1) ELSE 0e0 END AS events_per_sec,
+        reported_us > {as_of} - 5000000 AS processor_reporting
+    FROM (SELECT 1704067200000000 + (epoch_us(ts) - 1704067200000000) // 10000 AS reported_us, dv / secs AS rate
+          FROM growth WHERE secs > 0 ORDER BY reported_us DESC, rate DESC LIMIT 1)"""
 _OFFSET_HALF = """
     SELECT r.*, r.pos * 2 < h.high AS early FROM records r
     JOIN (SELECT part, max(pos) + 1 AS high FROM records GROUP BY part) h USING (part)"""
@@ -309,16 +321,12 @@ ORACLE: dict[str, str] = {
            LEFT JOIN state s ON s.vehicle_id = r.vehicle_id""",
         "registry",
     ),
-    "fleet_summary": _with(
-        f"""SELECT (SELECT count(*) FROM registry) AS registered_vehicles,
-            (SELECT count(*) FROM state WHERE us >= {_AS_OF} - 60000000) AS online_vehicles,
-            (SELECT count(*) FROM state WHERE us >= {_AS_OF} - 60000000 AND status = 'IDLING')
-              AS currently_idling,
-            (SELECT CAST(coalesce(sum(n_alerts), 0) AS BIGINT) FROM state
-             WHERE us >= {_AS_OF} - 60000000) AS active_alerts,
-            (SELECT round(max(dv / secs), 1) FROM growth WHERE secs > 0) AS events_per_sec,
-            true AS processor_reporting""",
-        "growth",
+    "fleet_summary": _with(_SUMMARY.format(as_of=_AS_OF), "growth"),
+    "fleet_summary_stale": _with(_SUMMARY.format(as_of=_AS_OF + 15_000_000), "growth"),
+    "dropped_months": _with(
+        """SELECT CAST(202401 AS INTEGER) AS month, count(*) AS readings FROM readings WHERE seq % 4 = 0
+           UNION ALL SELECT 202312, count(*) FROM readings WHERE seq % 4 = 1""",
+        "readings",
     ),
     "events_per_minute": _with(
         f"""SELECT {_stamp('minute')} AS minute, event_type, events,
@@ -377,6 +385,9 @@ ORACLE: dict[str, str] = {
            ORDER BY vehicle_id LIMIT 100 OFFSET 50""",
         "registry",
     ),
+    "registry_third_page": _with(
+        "SELECT * FROM registry WHERE fleet_id = 'F003' ORDER BY vehicle_id LIMIT 15 OFFSET 30", "registry"
+    ),
     "registry_total": "SELECT count(*) AS total FROM customer WHERE c_nationkey = 2",
     "vehicle_lookup": _with("SELECT * FROM registry WHERE vehicle_id = 'V000042'", "registry"),
     "upsert_absent": """
@@ -616,6 +627,17 @@ ORACLE: dict[str, str] = {
         f"SELECT {_ALERT_COLUMNS} FROM alerts WHERE is_new", "alerts", **_LIVE
     ),
     "live_state": _with("SELECT vehicle_id, event_id, status, alerts FROM state", "state", **_LIVE),
+    "live_outcomes": _with(
+        """SELECT (SELECT count(*) FROM records) AS consumed,
+           (SELECT count(*) FROM marked) AS accepted,
+           (SELECT count(*) - count(DISTINCT event_id) FROM records WHERE fault IS NULL)
+             AS duplicates,
+           (SELECT count(*) FROM records WHERE fault IS NOT NULL) AS invalid,
+           (SELECT count(*) FROM marked WHERE late) AS late,
+           (SELECT count(*) FROM active WHERE is_new) AS alerts""",
+        "records",
+        **_LIVE,
+    ),
     "archive_stream": _with(
         """SELECT part AS source_partition, pos AS source_offset, fault IS NULL AS valid,
            fault AS validation_error FROM records""",

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,7 +86,7 @@ def alert_view(alerts: DataFrame) -> DataFrame:
         six("duration_seconds").alias("duration_seconds"),
         six("estimated_fuel_l").alias("estimated_fuel_l"),
         six("estimated_cost").alias("estimated_cost"),
-        F.when(F.col("type") == "ENGINE_FAULT", F.col("detail")).otherwise("").alias("codes"),
+        "detail",
     )
 
 
@@ -267,14 +267,23 @@ def vehicle_page(spark, sf_dir):
     )
 
 
+def _summary(spark: SparkSession, sf_dir: str, as_of: datetime) -> DataFrame:
+    """Reports at their times, compressed like those of readings; the newest one counts."""
+    rate = metrics.counter_rate(samples(spark, sf_dir), "consumed")
+    at = F.expr(f"timestamp_micros({m.START_MICROS} + (unix_micros(ts) - {m.START_MICROS}) div 10000)")
+    rate = rate.select(at.alias("ts"), F.col("rate").alias("consumed_per_sec"))
+    return reports.fleet_summary(m.registry(spark, sf_dir), latest(spark, sf_dir), as_of, rate)
+
+
 @query
 def fleet_summary(spark, sf_dir):
-    rate = metrics.counter_rate(samples(spark, sf_dir), "consumed")
-    rate = rate.select(
-        F.timestamp_micros(F.unix_micros(F.lit(AS_OF)) - 1_000_000).alias("ts"),
-        F.col("rate").alias("consumed_per_sec"),
-    )
-    return reports.fleet_summary(m.registry(spark, sf_dir), latest(spark, sf_dir), AS_OF, rate)
+    return _summary(spark, sf_dir, AS_OF)
+
+
+@query
+def fleet_summary_stale(spark, sf_dir):
+    """The same a quarter of a minute later, when the newest report no longer counts."""
+    return _summary(spark, sf_dir, AS_OF + timedelta(seconds=15))
 
 
 # --- reports on original times -----------------------------------------------------------------
@@ -334,6 +343,18 @@ def retained_readings(spark, sf_dir):
     return kept.groupBy("vehicle_id").agg(F.count(F.lit(1)).alias("readings"))
 
 
+@query
+def dropped_months(spark, sf_dir):
+    """Rows by month left of a stored history after its expired months were deleted."""
+    root = scratch(spark, "expired")
+    rows = history(spark, sf_dir)
+    old = F.timestamp_micros(F.unix_micros("timestamp") - (F.col("seq") % 4) * 31 * 86_400_000_000)
+    tables.write_history(rows.withColumn("timestamp", old), root, "telemetry", 0)
+    tables.drop_expired_months(spark, root, "telemetry", MID_MONTH)
+    stored = tables.read_history(spark, root, "telemetry")
+    return stored.groupBy("month").agg(F.count(F.lit(1)).alias("readings"))
+
+
 # --- registry ----------------------------------------------------------------------------------
 
 
@@ -352,6 +373,16 @@ def registry_page(spark, sf_dir):
     return registry.registry_page(m.registry(spark, sf_dir), 100, 50, "F003")
 
 
+@query
+def registry_third_page(spark, sf_dir):
+    """Pages by key: each starts behind the last key of the one before it."""
+    rows, after = registry.registry_scan(m.registry(spark, sf_dir), "F003"), None
+    for _ in range(2):
+        keys = paging.page_after(rows, ["vehicle_id"], 15, after).select("vehicle_id")
+        after = tuple(keys.agg(F.max("vehicle_id")).first())
+    return paging.page_after(rows, ["vehicle_id"], 15, after)
+
+
 @query
 def registry_total(spark, sf_dir):
     return registry.registry_total(m.registry(spark, sf_dir), "F003")
@@ -793,20 +824,28 @@ def progress_check(spark, sf_dir):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource:
-    """Records as files in arrival order: each micro-batch is a range of offsets.
+def fed(spark: SparkSession, sf_dir: str, batches: int) -> Iterator[FileSource]:
+    """Records as files in arrival order, one more range of offsets before each yield.
 
-    As on a topic, a source partition's records of a batch lie in one file, in offset order.
+    As on a topic, a source partition's records of a range lie in one file, in offset order; each
+    file is written by a task of its own. There are `batches` ranges, or more where one would hold
+    more records than a batch of a stream.
     """
     path = scratch(spark, "records")
-    records = m.records(spark, sf_dir).drop("source_seq").persist()
-    size = records.agg(F.max("offset")).first()[0] // batches + 1
-    for i in range(batches):
+    records = landed(m.records(spark, sf_dir).drop("source_seq").repartitionByRange("offset"), "fed")
+    facts = records.agg(F.count(F.lit(1)).alias("rows"), F.max("offset").alias("last")).first()
+    ranges = max(batches, -(-facts["rows"] // StreamOptions().rows))
+    size = facts["last"] // ranges + 1
+    for i in range(ranges):
         part = records.where(F.col("offset").between(i * size, (i + 1) * size - 1))
-        filed = part.coalesce(1).sortWithinPartitions("partition", "offset")
+        filed = part.repartition("partition").sortWithinPartitions("partition", "offset")
         filed.write.mode("append").partitionBy("partition").parquet(path)
-    records.unpersist()
-    return FileSource(path, m.PARTITIONS)
+        yield FileSource(path, m.PARTITIONS)
+
+
+def record_source(spark: SparkSession, sf_dir: str, batches: int) -> FileSource:
+    """All records as files."""
+    return list(fed(spark, sf_dir, batches))[-1]
 
 
 @contextmanager
@@ -824,21 +863,22 @@ def partitions_for_cores(spark: SparkSession):
         spark.conf.set(name, configured)
 
 
-def _live(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
-    root = scratch(spark, "live")
-    source = record_source(spark, sf_dir, batches)
-    with partitions_for_cores(spark):
-        live.start_live(
-            read_telemetry_stream(spark, source),
-            f"{root}/tables",
-            f"{root}/checkpoint",
-            # State is an hour old at most by this clock, however long the batches take.
-            clock=lambda: MID_MONTH,
-            drain=True,
-        ).awaitTermination()
+def _drained(spark: SparkSession, source: FileSource, root: str) -> str:
+    live.start_live(
+        read_telemetry_stream(spark, source),
+        f"{root}/tables",
+        f"{root}/checkpoint",
+        # State is an hour old at most by this clock, however long the batches take.
+        clock=lambda: MID_MONTH,
+        drain=True,
+    ).awaitTermination()
     return f"{root}/tables"
 
 
+def _live(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
+    return _drained(spark, record_source(spark, sf_dir, batches), scratch(spark, "live"))
+
+
 @query
 def live_history(spark, sf_dir):
     """History of the live job over three micro-batches."""
@@ -863,6 +903,15 @@ def live_state(spark, sf_dir):
     return rows.select("vehicle_id", "event_id", "status", joined(ids).alias("alerts"))
 
 
+@query
+def live_outcomes(spark, sf_dir):
+    """What became of all records of a job that was started anew for each range of records."""
+    root = scratch(spark, "live")
+    for source in fed(spark, sf_dir, 2):
+        root_of_tables = _drained(spark, source, root)
+    return live.live_outcomes(spark, root_of_tables)
+
+
 @query
 def archive_stream(spark, sf_dir):
     root = scratch(spark, "raw")
@@ -880,30 +929,23 @@ def archive_stream(spark, sf_dir):
 
 @query
 def activity_stream(spark, sf_dir):
-    """Rolling activity of a stream of readings, after all of it was read."""
+    """Rolling activity of a stream of readings that come in order of time, after all were read."""
     root = scratch(spark, "activity")
-    rows = observed(spark, sf_dir).drop("observed_at")
-    rows.repartitionByRange(3, "timestamp").write.mode("overwrite").parquet(f"{root}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(
-        f"{root}/in"
-    )
-
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/out/version={batch_id}")
-
+    rows = landed(observed(spark, sf_dir).drop("observed_at"), "observed")
+    at = F.unix_micros("timestamp")
+    facts = rows.agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last")).first()
+    width = (facts["last"] - facts["first"]) // 3 + 1
+    files = max(4, facts["rows"] // (3 * StreamOptions().rows))
+    for i in range(3):
+        start = facts["first"] + i * width
+        part = rows.where(at.between(start, start + width - 1))
+        part.repartition(files).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     with partitions_for_cores(spark):
-        (
-            raw.activity_stream(stream, lateness="40 days")
-            .writeStream.outputMode("complete")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .foreachBatch(replace)
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
-    versions = spark.read.parquet(f"{root}/out")
-    newest = versions.where(F.col("version") == versions.agg(F.max("version")).first()[0])
-    return newest.select(
+        raw.start_activity(
+            stream, f"{root}/tables", f"{root}/checkpoint", lateness="1 hour", drain=True
+        ).awaitTermination()
+    return raw.read_activity(spark, f"{root}/tables").select(
         micros("minute").alias("minute"),
         "event_type",
         "events",
