@@ -32,9 +32,9 @@ FOLDED = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r",
     b"abcdefghijklmnopqrstuvwxyz " + BREAK * 10,
 )
-RELATION = "slice long, lang string, at binary, code binary, left binary, right binary"
+RELATION = "slice long, lang string, at binary, code binary, ids binary, left binary, right binary"
 EXTENDED = pa.schema(
-    [("slice", pa.int64()), ("lang", pa.string()), *((name, pa.binary()) for name in ("at", "code", "left", "right"))]
+    [("slice", pa.int64()), ("lang", pa.string()), *((name, pa.binary()) for name in ("at", "code", "ids", "left", "right"))]
 )
 WORDS = "slice long, lang string, words array<binary>, code binary, n long"
 
@@ -116,7 +116,8 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _group_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            left, right = _array(row["left"], "<i8"), _array(row["right"], "<i8")
+            ids = _array(row["ids"], "<i8")
+            left, right = ids[np.cumsum(_array(row["left"]))], ids[_array(row["right"])]
             counts = np.bincount(_array(row["code"]), minlength=len(left)).astype(np.int64)
             n = len(left)
             yield pa.RecordBatch.from_arrays(
@@ -147,9 +148,10 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
         return EXTENDED.empty_table()
     pair = dense[first].astype(np.int64) * len(codes) + dense[first + 1]
     groups, joined = np.unique(pair, return_inverse=True)
+    # Groups are in order of what they begin with; they name places of `ids`, which is short.
     values = (
-        np.diff(at[first], prepend=0).astype("<i4"), joined.astype("<i4"),
-        ids[groups // len(codes)].astype("<i8"), ids[groups % len(codes)].astype("<i8"),
+        np.diff(at[first], prepend=0).astype("<i4"), joined.astype("<i4"), ids.astype("<i8"),
+        np.diff(groups // len(codes), prepend=0).astype("<i4"), (groups % len(codes)).astype("<i4"),
     )
     return pa.Table.from_arrays(
         [pa.array([row["slice"]], pa.int64()), pa.array([row["lang"]], pa.string()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
