@@ -10,6 +10,7 @@ steps from r = 1: each step is one aggregate, and only the domain totals reach t
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -190,8 +191,8 @@ def fit_rates(members: DataFrame, weights: list[float], ws: Workspace) -> list[l
     return steps
 
 
-def prepared(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
-    """doc_id, text_key, tokens and the posterior of every row, landed.
+def prepared(docs: DataFrame, labels: DataFrame, ws: Workspace) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """doc_id, text_key, tokens and the posterior of every row, landed; and what adds the last two.
 
     Learns from the `LABELLED` labelled documents of the smallest hashed ids.
     """
@@ -205,10 +206,14 @@ def prepared(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
     labelled = ws.land(id_text(docs).join(F.broadcast(known), "doc_id").select("text", "domain"), "labelled")
     lexicon = learn_lexicon(labelled)
     weights = learn_posterior(features(labelled, lexicon))
-    rows = id_text(docs).withColumn("text_key", F.xxhash64("text"))
-    members = ws.land(with_posteriors(features(rows, lexicon).drop("text"), weights), "members")
+
+    def judged(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumn("text_key", F.xxhash64("text"))
+        return with_posteriors(features(keyed, lexicon).drop("text"), weights)
+
+    members = ws.land(judged(id_text(docs)), "members")
     ws.drop("labelled")
-    return members
+    return members, judged
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
@@ -219,7 +224,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFr
     documents the posterior is uniform.
     """
     ws = Workspace(docs.sparkSession, "mixing")
-    members = prepared(docs, labels, ws)
+    members, _ = prepared(docs, labels, ws)
     steps = fit_rates(members, [weights[d] for d in DOMAINS], ws)
     size = range(len(DOMAINS))
     top = F.greatest(*[F.col(f"p_{k}") for k in size])
@@ -238,26 +243,19 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFr
 def draw(docs: DataFrame, labels: DataFrame, weights: dict[str, float]) -> DataFrame:
     """The rows of `docs`, each as often as its rate asks: the whole part of the rate plus a copy
     whose chance is the fraction, by a hash of id and text. All columns stay as they are.
+
+    A rate follows from the row's own posterior, so the second pass judges each text again rather
+    than join the texts with their rates; no text is shuffled.
     """
     ws = Workspace(docs.sparkSession, "mixing")
-    members = prepared(docs, labels, ws)
+    members, judged = prepared(docs, labels, ws)
     steps = fit_rates(members, [weights[d] for d in DOMAINS], ws)
     chance = F.pmod(F.xxhash64("doc_id", "text_key", F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor(after(steps) + chance).cast("int")
-    # Most rows stay once; only the others travel.
-    moved = (
-        members.select(F.struct("doc_id", "text_key", copies.alias("copies")).alias("__mix"))
-        .where("__mix.copies <> 1")
-        .distinct()
-    )
-    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    joined = docs.join(
-        moved,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__mix.doc_id")) & (key == F.col("__mix.text_key")),
-        "left",
-    )
-    times = F.coalesce("__mix.copies", F.lit(1))
-    return (
-        joined.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), times)))
-        .drop("__mix", "__mix_copy")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+    rows = docs.select(
+        whole,
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    return judged(rows).select("row", F.explode(F.array_repeat(F.lit(1), copies))).select("row.*")
