@@ -44,7 +44,7 @@ def idling_assumptions(settings: DetectorSettings) -> dict:
         "idle_fuel_lph": settings.fuel_lph,
         "fuel_price_per_litre": settings.fuel_price,
         "currency": "INR",
-        "scope": "20 longest-idling vehicles; continuous sampled intervals; fuel for ICE only",
+        "scope": f"The {TOP_IDLERS} vehicles with most idle time between readings close in time; only those with a fuel level burn any.",
     }
 
 

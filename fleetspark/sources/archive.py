@@ -134,6 +134,16 @@ def check_offset_range(saved: DataFrame) -> DataFrame:
     return saved.select("partition", start.otherwise(lost).alias("start_offset"))
 
 
+def resume_offsets(spark: SparkSession, root: str, retained: DataFrame) -> DataFrame:
+    """Where a reader of (partition, low, high) goes on after the newest commit.
+
+    A partition the archive has not seen starts at its low end. One whose saved offset is no longer
+    retained, or lies above what there is, raises: records would be lost or belong to another topic.
+    """
+    saved = checkpoints(spark, root).select("partition", F.col("next_offset").alias("saved"))
+    return check_offset_range(retained.join(F.broadcast(saved), "partition", "left"))
+
+
 def append_archive(
     records: DataFrame,
     root: str,

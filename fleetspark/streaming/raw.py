@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetspark.schema import ACTIVITY
 from fleetspark.settings import StreamOptions
-from fleetspark.sources.archive import append_archive
+from fleetspark.sources.archive import append_archive, open_archive, resume_offsets
 from fleetspark.streaming.buckets import read_buckets, write_buckets
 from fleetspark.streaming.live import wall_clock
 from fleetspark.streaming.sources import flush_rule
@@ -26,8 +26,16 @@ def start_archive(
     *,
     clock: Callable[[], datetime] = wall_clock,
     drain: bool = False,
+    retained: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Archive every record; the archive's own offsets make a repeated batch harmless (ST5)."""
+    """Archive every record; the archive's own offsets make a repeated batch harmless (ST5).
+
+    With `retained` (partition, low, high) of the source, an archive whose next offset is no longer
+    there stops before it starts, instead of leaving a gap (S2).
+    """
+    if retained is not None:
+        open_archive(records.sparkSession, root, topic, create=True)
+        resume_offsets(records.sparkSession, root, retained).collect()
 
     def commit(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

@@ -65,6 +65,16 @@ def read_telemetry_stream(
     )
 
 
+def retained_offsets(spark: SparkSession, source: FileSource) -> DataFrame:
+    """First offset there is and the one after the last, per partition of a file source."""
+    return (
+        spark.read.schema(RECORD)
+        .parquet(source.path)
+        .groupBy("partition")
+        .agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
+    )
+
+
 def flush_rule(
     writer: DataStreamWriter, options: StreamOptions, *, drain: bool = False
 ) -> DataStreamWriter:

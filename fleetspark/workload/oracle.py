@@ -323,6 +323,11 @@ ORACLE: dict[str, str] = {
     ),
     "fleet_summary": _with(_SUMMARY.format(as_of=_AS_OF), "growth"),
     "fleet_summary_stale": _with(_SUMMARY.format(as_of=_AS_OF + 15_000_000), "growth"),
+    "bucketed_idling": _with(
+        f"""SELECT vehicle_id, count(*) AS readings, round(sum(idling_seconds), 6) AS idling_seconds
+            FROM ({_LATE_AND_ON_TIME}) GROUP BY vehicle_id""",
+        "flags",
+    ),
     "dropped_months": _with(
         """SELECT CAST(202401 AS INTEGER) AS month, count(*) AS readings FROM readings WHERE seq % 4 = 0
            UNION ALL SELECT 202312, count(*) FROM readings WHERE seq % 4 = 1""",
@@ -521,6 +526,12 @@ ORACLE: dict[str, str] = {
             GROUP BY vehicle_id""",
         "readings",
     ),
+    "sample_view": _with(
+        """SELECT fleet_id, count(*) AS readings, round(max(speed_kmh), 6) AS top_speed_kmh
+           FROM (SELECT * FROM readings WHERE vehicle_id BETWEEN 'V000001' AND 'V000100'
+                 ORDER BY us DESC, event_id LIMIT 20000) GROUP BY fleet_id""",
+        "readings",
+    ),
     "reconciled_sample": _with(
         """SELECT (SELECT count(*) FROM sample) AS in_both, CAST(0 AS BIGINT) AS only_left,
            (SELECT count(*) FROM readings) - (SELECT count(*) FROM sample) AS only_right,
@@ -563,6 +574,10 @@ ORACLE: dict[str, str] = {
         "SELECT count(*)::BIGINT AS records, true AS within_limit, true AS many FROM records",
         "records",
     ),
+    "archive_resume": _with(
+        f'SELECT part AS "partition", max(pos) + 1 AS start_offset FROM ({_OFFSET_HALF}) WHERE early GROUP BY part',
+        "records",
+    ),
     "archive_lookup": _with(
         """SELECT event_id, part AS source_partition, pos AS source_offset, speed_kmh FROM records
            WHERE fault IS NULL AND vehicle_id = 'V000005'

@@ -343,6 +343,16 @@ def retained_readings(spark, sf_dir):
     return kept.groupBy("vehicle_id").agg(F.count(F.lit(1)).alias("readings"))
 
 
+@query
+def bucketed_idling(spark, sf_dir):
+    """Idling and readings by vehicle from a history in buckets, which needs no exchange."""
+    name = f"history_{uuid.uuid4().hex}"
+    stored = tables.write_bucketed(history(spark, sf_dir), f"{scratch(spark, 'bucketed')}/telemetry", name, buckets=16)
+    return stored.groupBy("vehicle_id").agg(
+        F.count(F.lit(1)).alias("readings"), six(F.sum("idling_seconds")).alias("idling_seconds")
+    )
+
+
 @query
 def dropped_months(spark, sf_dir):
     """Rows by month left of a stored history after its expired months were deleted."""
@@ -628,6 +638,18 @@ def recent_sample(spark, sf_dir):
     )
 
 
+@query
+def sample_view(spark, sf_dir):
+    """The published sample as a view, asked in SQL."""
+    path = scratch(spark, "sample")
+    snapshot.refresh_snapshot(m.readings(spark, sf_dir), path, AS_OF, SCOPE)
+    snapshot.snapshot_view(spark, path, "recent_telemetry")
+    return spark.sql(
+        "SELECT fleet_id, count(*) AS readings, round(max(speed_kmh), 6) AS top_speed_kmh "
+        "FROM recent_telemetry WHERE event_id <> '' GROUP BY fleet_id"
+    )
+
+
 @query
 def reconciled_sample(spark, sf_dir):
     rows = observed(spark, sf_dir)
@@ -743,6 +765,19 @@ def archive_lookup(spark, sf_dir):
     return rows.select("event_id", "source_partition", "source_offset", "speed_kmh")
 
 
+@query
+def archive_resume(spark, sf_dir):
+    """Where an archive of the first half of each partition goes on, and a source that has all."""
+    root = scratch(spark, "resume")
+    records = landed(m.records(spark, sf_dir).drop("source_seq"), "records")
+    retained = landed(
+        records.groupBy("partition").agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high")), "retained"
+    )
+    first = records.join(F.broadcast(retained), "partition").where("2 * offset < high").select(*records.columns)
+    archive.append_archive(first, root, m.TOPIC, AS_OF)
+    return archive.resume_offsets(spark, root, retained)
+
+
 @query
 def unreplayed_records(spark, sf_dir):
     """Records past the checkpoint when half of each partition was archived."""

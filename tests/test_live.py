@@ -17,7 +17,8 @@ from fleetspark.operators.tables import read_history
 from fleetspark.operators.validate import parse_telemetry, valid_readings
 from fleetspark.schema import ACTIVITY
 from fleetspark.streaming.raw import read_activity, start_activity, start_archive, upsert_activity
-from fleetspark.streaming.sources import FileSource, read_telemetry_stream
+from fleetspark.settings import StreamOptions
+from fleetspark.streaming.sources import FileSource, read_telemetry_stream, retained_offsets
 from fleetspark.sources.archive import read_archive
 from tests.build import START, TOPIC, at, base, by_event, frame, payload, records
 from tests.test_detect import random_readings
@@ -256,3 +257,32 @@ def test_changed_minutes_replace_their_own(spark, tmp_path):
     found = {(r["minute"].day, r["event_type"]): r["events"] for r in read_activity(spark, root).collect()}
     assert found == {(1, "A"): 7, (1, "B"): 1, (2, "A"): 1}
     assert len(live_paths.child_names(spark, f"{root}/activity/version=1")) == 1
+
+
+def test_archive_out_of_retention_does_not_start(spark, tmp_path):
+    source = feed(spark, tmp_path / "in", [[payload(base())] * 5])
+    target, checkpoint = f"{tmp_path}/archive", f"{tmp_path}/checkpoint"
+
+    def start(path, checkpoint):
+        held = retained_offsets(spark, FileSource(str(path)))
+        stream = read_telemetry_stream(spark, FileSource(str(path)))
+        start_archive(stream, target, TOPIC, checkpoint, drain=True, retained=held).awaitTermination()
+
+    start(source.path, checkpoint)
+    late = records(spark, [payload(base())] * 3, start=9).coalesce(1)
+    late.write.parquet(str(tmp_path / "late"))
+    with pytest.raises(Exception, match="retained range"):
+        start(tmp_path / "late", f"{checkpoint}-late")
+    assert read_archive(spark, target).count() == 5
+    records(spark, [payload(base())] * 4, start=3).coalesce(1).write.parquet(str(tmp_path / "next"))
+    start(tmp_path / "next", f"{checkpoint}-next")
+    assert read_archive(spark, target).count() == 7
+
+
+def test_files_honour_the_rows_of_a_batch(spark, tmp_path):
+    source = feed(spark, tmp_path / "in", [[payload(base())] * 2] * 6)
+    by_rows = FileSource(source.path, file_rows=2)
+    stream = read_telemetry_stream(spark, by_rows, StreamOptions(rows=5))
+    query = start_archive(stream, f"{tmp_path}/archive", TOPIC, f"{tmp_path}/checkpoint", drain=True)
+    query.awaitTermination()
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [4, 4, 4]

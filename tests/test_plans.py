@@ -8,6 +8,7 @@ import pytest
 
 import fleetspark.plans.ordered as ordered
 from fleetspark.operators import detect as d
+from fleetspark.operators import tables
 from fleetspark.operators.dedup import dedup_first
 from fleetspark.operators.state import latest_state
 from fleetspark.plans import reports
@@ -94,3 +95,21 @@ def test_top_k_and_pushdown(spark):
     assert "TakeOrderedAndProject" in text
     assert "EqualTo(props,V000007)" in text
     assert "user_id" not in text.split("ReadSchema")[1]
+
+
+def test_bucketed_history_needs_no_exchange_by_vehicle(spark, tmp_path):
+    """Reports, the replacing read and joins by vehicle read buckets as they lie."""
+    rows, path, name = d.enrich(d.detect(m.readings(spark, SF))), str(tmp_path / "t"), "bucketed_for_plans"
+    stored = tables.write_bucketed(rows, path, name, buckets=4)
+    try:
+        report = reports.idling_report(stored, AS_OF)
+        assert "Exchange hashpartitioning" not in plan(report)
+        assert sorted(map(tuple, report.collect())) == sorted(map(tuple, reports.idling_report(rows, AS_OF).collect()))
+        final = tables.read_final(stored, tables.TELEMETRY_KEYS, "month")
+        assert "Exchange hashpartitioning" not in plan(final) and final.count() == rows.count()
+        spark.sql(f"DROP TABLE {name}")
+        again = tables.read_bucketed(spark, path, name, buckets=4)
+        assert "Exchange hashpartitioning" not in plan(again.groupBy("vehicle_id").count())
+        assert again.count() == rows.count()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
