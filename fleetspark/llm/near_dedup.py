@@ -42,6 +42,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, (1 << 16) - 1
 MARGIN = 0.2
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21  # classes and shingles of a chunk
 FILTER_BITS = 1 << 23
+# Rows that go are told by a broadcast up to this many, by a join of whole rows beyond.
+MOST_BROADCAST = 1_000_000
 
 _ODD = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
 _HASHES = WordHashes()
@@ -481,30 +483,32 @@ def drop_near_duplicates(docs: DataFrame, num: int = 80, den: int = 100) -> Data
     words link with nothing and all stay.
     """
     order = ("no_id", "doc_id", "text_key")
+    ws = Workspace(docs.sparkSession, "near-dedup")
     rows = _grouped(docs, num, den).where("root IS NOT NULL").withColumn("no_id", F.isnull("doc_id"))
-    chosen = (
-        rows.groupBy("root", *order).count()
-        .groupBy("root").agg(F.min(F.struct(*order, "count")).alias("row"))
-        .select(F.struct("row.doc_id", "row.text_key", "row.count").alias("__chosen"))
+    keys = ws.land(rows.groupBy("root", *order).agg(F.count("*").alias("count")), "keys")
+    chosen = keys.groupBy("root").agg(F.min(F.struct(*order)).alias("chosen"))
+    stays = F.struct(*order) == F.col("chosen")
+    # Keys that go, and those that stay but stand on several rows; all others need no mark.
+    marks = ws.land(
+        keys.join(chosen, "root")
+        .withColumn("stays", stays)
+        .where("NOT stays OR count > 1")
+        .select(F.struct("doc_id", "text_key", "stays").alias("mark")),
+        "marks",
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    worded = F.rlike(text, F.lit(r"[^\x20\x09-\x0D]"))
-    doc_id, text_key = F.col("doc_id").cast("long"), F.xxhash64(text)
-    left = docs.where(worded).join(
-        chosen,
-        doc_id.eqNullSafe(F.col("__chosen.doc_id")) & (text_key == F.col("__chosen.text_key")),
+    if marks.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        marks = F.broadcast(marks)
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    doc_id = F.col("row.doc_id").cast("long")
+    text_key = F.xxhash64(F.coalesce(F.col("row.text").cast("string"), F.lit("")))
+    marked = rows.join(
+        marks, doc_id.eqNullSafe(F.col("mark.doc_id")) & (text_key == F.col("mark.text_key")), "left"
     )
     others = [
-        F.col(f"`{field.name}`")
+        F.col(f"row.`{field.name}`")
         for field in docs.schema
         if field.name not in ("doc_id", "text") and "map<" not in field.dataType.simpleString()
     ]
     equal = Window.partitionBy(doc_id, text_key).orderBy(*others, text_key)
-    repeated = (
-        left.where("__chosen.count > 1")
-        .withColumn("__place", F.row_number().over(equal))
-        .where("__place = 1")
-        .drop("__place")
-    )
-    once = left.where("__chosen.count = 1").unionByName(repeated).drop("__chosen")
-    return docs.where(~worded).unionByName(once)
+    repeated = marked.where("mark.stays").withColumn("place", F.row_number().over(equal)).where("place = 1")
+    return marked.where("mark IS NULL").unionByName(repeated.drop("place")).select("row.*")

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from fleetspark.llm import near_dedup
 
 
-def test_one_row_of_each_component_stays(spark):
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_one_row_of_each_component_stays(spark, monkeypatch, most):
+    """By a broadcast of the rows that go, and by a join."""
+    monkeypatch.setattr(near_dedup, "MOST_BROADCAST", most)
+
     def said(name: str) -> str:
         return " ".join(f"{name}{i}" for i in range(40))
 
@@ -21,6 +28,7 @@ def test_one_row_of_each_component_stays(spark):
         (5, "", "x"), (5, None, "x"), (None, " ", "x"), (None, " ", "x"),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept string")
+    docs = docs.withColumns({"row": F.lit(1), "mark": F.lit("m"), "root": F.lit(None).cast("int")})
     found = Counter((r[0], (r[1] or "")[:1].strip(), r[2]) for r in near_dedup.drop_near_duplicates(docs).collect())
     assert found == Counter({
         (1, "a", "x"): 1, (2, "b", "x"): 1, (3, "c", "x"): 1, (3, "d", "x"): 1, (None, "e", "x"): 1,
