@@ -1,15 +1,17 @@
-"""License notices and whole license texts by windowed alignment.
+"""License notices and whole license texts by patience alignment.
 
-A place is a stretch of the text of at most two template lengths whose longest common subsequence
-with the template, in words, covers enough of it. Windows that hold enough of the template's words,
-in any order, are aligned exactly, one bit of an integer for each template word. Words that tell
-licenses apart must stand in the place as whole phrases.
+Windows of the text that hold enough of a template's words, in any order, are aligned with it: words
+that stand once on both sides are anchors, their longest increasing subsequence is kept, and the gaps
+between anchors are aligned in the same way. A gap without anchors, or a window whose anchors were
+misleading, is halved where the halves fit best. The place is what the alignment covers, grown while
+aligned words outweigh the others. Words that tell licenses apart must stand in it as whole phrases.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
@@ -68,34 +70,39 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Template(NamedTuple):
-    length: int
+    words: list[bytes]
     need: int  # words that must be aligned
     counts: dict[bytes, int]
     vocabulary: frozenset[bytes]
-    masks: dict[bytes, int]  # a word's places as bits, and those from the end
-    back: dict[bytes, int]
+    masks: dict[bytes, int]
     required: list[bytes]
     excluded: list[bytes]
 
+    @property
+    def length(self) -> int:
+        return len(self.words)
+
+
+def _masks(template: list[bytes]) -> dict[bytes, int]:
+    """A word's places as bits."""
+    masks: dict[bytes, int] = {}
+    for i, word in enumerate(template):
+        masks[word] = masks.get(word, 0) | 1 << i
+    return masks
+
 
 def prepared(name: str, text: str) -> Template:
     template = words(text.encode())
-    masks: dict[bytes, int] = {}
-    back: dict[bytes, int] = {}
-    for i, w in enumerate(template):
-        masks[w] = masks.get(w, 0) | 1 << i
-        back[w] = back.get(w, 0) | 1 << (len(template) - 1 - i)
     required, excluded = (
         [b" %b " % b" ".join(words(p.encode())) for p in phrases.get(name, ())] for phrases in (REQUIRED, EXCLUDED)
     )
     need = math.ceil(LEAST_COVERAGE * len(template) - 1e-9)
-    return Template(
-        len(template), need, dict(Counter(template)), frozenset(template), masks, back, required, excluded
-    )
+    return Template(template, need, dict(Counter(template)), frozenset(template), _masks(template), required, excluded)
 
 
 def common_lengths(found: list[bytes], masks: dict[bytes, int], length: int) -> Iterator[int]:
-    """Length of the longest common subsequence with the template after each word."""
+    """Length of the longest common subsequence with the template after each word. It bounds what any
+    alignment reaches, one bit of an integer for each template word."""
     full = (1 << length) - 1
     free, aligned = full, 0
     for word in found:
@@ -106,18 +113,100 @@ def common_lengths(found: list[bytes], masks: dict[bytes, int], length: int) ->
         yield aligned
 
 
-def _reaches(found: list[bytes], masks: dict[bytes, int], length: int, need: int) -> int | None:
-    """How many words it takes to align `need` of them."""
-    return next((i for i, n in enumerate(common_lengths(found, masks, length), 1) if n >= need), None)
+def _anchors(a: list[bytes], b: list[bytes]) -> list[tuple[int, int]]:
+    """Places of words that stand once in both, as a longest sequence that ascends in both."""
+    once = {word: j for j, word in enumerate(b)}
+    times_b, times_a = Counter(b), Counter(word for word in a if word in once)
+    pairs = [(i, once[w]) for i, w in enumerate(a) if times_a[w] == 1 and times_b[w] == 1]
+    tops: list[int] = []  # the last template place of each pile
+    piles: list[int] = []  # and its pair
+    before: list[int] = []
+    for n, (_, j) in enumerate(pairs):
+        pile = bisect_left(tops, j)
+        before.append(piles[pile - 1] if pile else -1)
+        tops[pile : pile + 1] = [j]
+        piles[pile : pile + 1] = [n]
+    chain, n = [], piles[-1] if piles else -1
+    while n >= 0:
+        chain.append(pairs[n])
+        n = before[n]
+    return chain[::-1]
 
 
-def _extent(found: list[bytes], masks: dict[bytes, int], length: int, need: int) -> tuple[int, int]:
-    """How many words a place has, and how many of them are aligned: beyond the least number a
-    place grows while each further aligned word is worth two words that are not."""
-    return max(
-        ((i, n) for i, n in enumerate(common_lengths(found, masks, length), 1) if n >= need),
-        key=lambda p: (3 * p[1] - p[0], -p[0]),
-    )
+def _cut(a: list[bytes], b: list[bytes], late: bool) -> int:
+    """Where `a` is cut so that its parts align best with the halves of `b`."""
+    half = len(b) // 2
+    ahead = [0, *common_lengths(a, _masks(b[:half]), half)]
+    behind = [0, *common_lengths(a[::-1], _masks(b[half:][::-1]), len(b) - half)][::-1]
+    both = [x + y for x, y in zip(ahead, behind)]
+    return len(a) - both[::-1].index(max(both)) if late else both.index(max(both))
+
+
+def alignment(a: list[bytes], b: list[bytes], late: bool = False, halvings: int = 0) -> list[tuple[int, int]]:
+    """Places of aligned words, ascending in both, by patience; after so many `halvings` of `b`.
+
+    Ends of a gap that agree are aligned first. A choice between equal words falls on the first
+    ones, or with `late` on the last ones, so that a place keeps to its anchors.
+    """
+    pairs: list[tuple[int, int]] = []
+    gaps = [(0, len(a), 0, len(b), late, halvings, False)]
+    while gaps:
+        a0, a1, b0, b1, late, halvings, inner = gaps.pop()
+        while inner and late and a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            pairs.append((a1, b1))
+        while inner and a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            pairs.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
+        while inner and a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            pairs.append((a1, b1))
+        text, template = a[a0:a1], b[b0:b1]
+        if not text or not template:
+            continue
+        chain = [] if halvings else _anchors(text, template)
+        if chain:
+            edges = [(a0 - 1, b0 - 1), *((a0 + i, b0 + j) for i, j in chain), (a1, b1)]
+            pairs += edges[1:-1]
+            for n, ((i, j), (k, m)) in enumerate(zip(edges, edges[1:])):
+                if i + 1 < k and j + 1 < m:
+                    gaps.append((i + 1, k, j + 1, m, n == 0 and late, 0, True))
+        elif len(template) == 1:
+            if template[0] in text:
+                at = len(text) - 1 - text[::-1].index(template[0]) if late else text.index(template[0])
+                pairs.append((a0 + at, b0))
+        elif not set(text).isdisjoint(template):
+            cut, half, rest = a0 + _cut(text, template, late), b0 + len(template) // 2, max(0, halvings - 1)
+            # Between the halves words keep to the cut, at the outer ends to what follows or precedes.
+            gaps += [(a0, cut, b0, half, late, rest, inner), (cut, a1, half, b1, False, rest, inner)]
+    return sorted(pairs)
+
+
+def _worth(count: int, first: int, last: int) -> int:
+    """Each aligned word is worth two that are not."""
+    return 3 * count - (last - first + 1)
+
+
+def _place(found: list[bytes], low: int, after: int, t: Template) -> tuple[int, int, int]:
+    """start, end and aligned words of the place in the window [low, after), which may grow.
+
+    Halved down to single words, the window has its longest common subsequence, which is enough.
+    """
+    window = found[low:after]
+    tries = (alignment(window, t.words, True, halvings) for halvings in range(t.length.bit_length() + 1))
+    pairs = next(pairs for pairs in tries if len(pairs) >= t.need)
+    # What the window left out on both sides of the alignment.
+    (i, j), (k, m) = pairs[0], pairs[-1]
+    ahead = max(low, low + i - 2 * j)
+    before = alignment(found[ahead : low + i], t.words[:j], True)
+    further = alignment(found[low + k + 1 : low + k + 1 + 2 * (t.length - m)], t.words[m + 1 :])
+    at = [ahead + x for x, _ in before] + [low + x for x, _ in pairs] + [low + k + 1 + x for x, _ in further]
+    own, width = len(before), 2 * t.length
+    ends = [e for e in range(own + t.need - 1, len(at)) if at[e] - at[own] < width]
+    last = max(ends, key=lambda e: (_worth(e - own + 1, at[own], at[e]), -e))
+    starts = [s for s in range(last - t.need + 2) if at[last] - at[s] < width]
+    first = max(starts, key=lambda s: (_worth(last - s + 1, at[s], at[last]), s))
+    return at[first], at[last] + 1, last - first + 1
 
 
 def places(found: list[bytes], t: Template) -> Iterator[tuple[float, int, int]]:
@@ -137,32 +226,30 @@ def places(found: list[bytes], t: Template) -> Iterator[tuple[float, int, int]]:
             left += 1
         right = max(right, left)
 
+    wanted = 0  # hits that must come in before a window can be aligned well enough
     while True:
-        while overlap < t.need and right < len(hits):
+        while (overlap < t.need or wanted > 0) and right < len(hits):
             at = hits[right]
             drop_before(at - width + 1)
             word = found[at]
             inside[word] += 1
             overlap += inside[word] <= t.counts[word]
-            right += 1
-        if overlap < t.need:
+            right, wanted = right + 1, wanted - 1
+        if overlap < t.need or wanted > 0:
             return
         low, after = hits[left], hits[right - 1] + 1
-        first = _reaches(found[low : after + width], t.masks, t.length, t.need)
-        if first is None:  # what is aligned enough ends later, so it starts after this window
-            drop_before(after)
+        *_, bound = common_lengths(found[low:after], t.masks, t.length)
+        if bound < t.need:  # each further hit adds one aligned word at most
+            wanted = t.need - bound
             continue
-        end = low + first
-        start = end - _reaches(found[low:end][::-1], t.back, t.length, t.need)
-        if end - start <= width:
-            end = start + _extent(found[start : start + width], t.masks, t.length, t.need)[0]
-            size, aligned = _extent(found[max(low, end - width) : end][::-1], t.back, t.length, t.need)
-            said = b" %b " % b" ".join(found[end - size : end])
-            if all(p in said for p in t.required) and not any(p in said for p in t.excluded):
-                yield aligned / t.length, end - size, end
-                drop_before(end)
-                continue
-        drop_before(start + 1)
+        start, end, aligned = _place(found, low, after, t)
+        said = b" %b " % b" ".join(found[start:end])
+        sound = all(p in said for p in t.required) and not any(p in said for p in t.excluded)
+        if sound:
+            yield aligned / t.length, start, end
+            drop_before(end)
+        else:
+            drop_before(start + 1)
 
 
 def matches(text: bytes, templates: dict[str, Template]) -> list[tuple]:
