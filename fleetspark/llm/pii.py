@@ -1,14 +1,20 @@
 """Personal data by bootstrapped contextual extraction, on DataFrame functions alone.
 
-Four checked patterns give seed entities. The word before a seed is a lexical pattern; other
-identifier-like tokens after the same words are unseen instances. Patterns and instances form a
-bipartite graph that is scored in rounds: a pattern is as good as the mean of its distinct
-instances, an unseen instance as good as its supported patterns together (noisy or). Unseen
-instances of high-confidence patterns become further spans; the seeds' own spans never change.
+Four checked patterns give seed entities. The one to three words before and after an entity, and the
+two words around it, are its lexical patterns; other identifier-like tokens in the same patterns are
+unseen instances. Patterns and instances form a bipartite graph that is scored in rounds: a pattern is
+as good as the share of seeds and accepted instances among its distinct instances, an unseen instance
+as good as the best supported patterns on its sides together (noisy or). What a round accepts supports
+patterns of the next, so patterns without any seed are induced as well; a pattern's own vote for what
+is not accepted never raises its share. Unseen instances of high-confidence patterns become further
+spans; the seeds' own spans never change.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +37,43 @@ TOKEN = (
 )
 
 CONTEXT_CHARS = 80
-LEAST_SEEDS = 5
+CONTEXT_WORDS = 3
+LEAST_SUPPORT = 5  # distinct seeds and accepted instances of a pattern that may vote
 CONFIDENCE = 0.8
 ROUNDS = 3
+SCAN_BLOCK = 512
+AROUND = "array<struct<side:int,pattern:bigint>>"
+SPANS = f"array<struct<start:int,rank:int,end:int,value:string,around:{AROUND}>>"
+
+
+def _bound(value: Column, body) -> Column:
+    """`body` of a value that is computed once, also where lambda functions use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan_array(values: Column, zero: Column, combine) -> Column:
+    """Running values of an associative function, by blocks: whole arrays are not copied at each step."""
+    none = F.array().cast("array<int>")
+
+    def added(done: Column, value: Column) -> Column:
+        last = F.coalesce(F.get(done, F.size(done) - 1), zero)
+        return F.concat(done, F.array(combine(last, value)))
+
+    def by_blocks(whole: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / SCAN_BLOCK).cast("int"))
+        return F.transform(
+            numbers, lambda n: F.aggregate(F.slice(whole, n * SCAN_BLOCK + 1, SCAN_BLOCK), none, added)
+        )
+
+    def joined(blocks: Column) -> Column:
+        carried = F.aggregate(blocks, F.array(zero), lambda done, block: added(done, F.get(block, F.size(block) - 1)))
+        return F.flatten(
+            F.zip_with(
+                blocks, F.slice(carried, 1, F.size(blocks)), lambda block, c: F.transform(block, lambda v: combine(c, v))
+            )
+        )
+
+    return _bound(values, lambda whole: F.when(F.size(whole) > 0, _bound(by_blocks(whole), joined)).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -66,192 +106,232 @@ def _phone_digits(value: Column) -> Column:
     return F.length(_digits(value)).between(10, 15)
 
 
-def _left_word(gap: Column) -> Column:
-    """The lower-cased last word of the text before a match, '' when there is none."""
-    near = F.right(gap, F.lit(CONTEXT_CHARS))
-    flat = F.rtrim(F.translate(near, "\t\n\x0b\x0c\r", "     "))
-    return F.lower(F.substring_index(flat, " ", -1))
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.translate(text, "\t\n\x0b\x0c\r", "     ")), " "), lambda w: w != "")
+
+
+def _around(before: Column, after: Column) -> Column:
+    """array<struct<side, pattern>>: the hashed patterns of an entity between two stretches of text."""
+
+    def patterns(words: Column) -> Column:
+        left, right = words["left"], words["right"]
+        own = [
+            F.when(F.size(side) >= n, F.struct(F.lit(number), F.xxhash64(F.lit(number), F.slice(side, first, n))))
+            for n in range(1, CONTEXT_WORDS + 1)
+            for number, side, first in ((0, left, -n), (1, right, 1))
+        ]
+        both = F.when(
+            (F.size(left) > 0) & (F.size(right) > 0),
+            F.struct(F.lit(2), F.xxhash64(F.lit(2), F.slice(left, -1, 1), F.slice(right, 1, 1))),
+        )
+        return F.filter(F.array(*own, both), lambda p: p.isNotNull()).cast(AROUND)
 
+    right = _words(F.regexp_replace(after, r"^[.,;:!?)\]]+", ""))
+    return _bound(F.struct(_words(before).alias("left"), right.alias("right")), patterns)
 
-def _matches(text: Column, pattern: str, adjoining: bool = False) -> Column:
-    """array<struct<start, end, value, left>> of the leftmost non-overlapping matches.
 
-    The pieces between matches give the positions, in code points. With `adjoining`, the word left
-    of a match may be the end of the match before it.
+def _matches(text: Column, pattern: str, context: bool = True) -> Column:
+    """array<struct<value, end, around>> of the leftmost non-overlapping matches.
+
+    The pieces between matches give the positions, in code points, and the words around a match; the
+    match before and the one after count as such words. Without `context`, `around` is null.
     """
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(
-        values,
-        F.slice(gaps, 1, F.size(values)),
-        lambda v, g: F.struct(v.alias("value"), F.length(g).alias("gap"), _left_word(g).alias("left")),
+    found = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"), F.split(text, pattern, -1).alias("gaps")
     )
-    none = F.array().cast("array<struct<start:int,end:int,value:string,left:string>>")
-
-    def placed(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
-        end = start + F.length(pair["value"])
-        left = pair["left"]
-        if adjoining:
-            near = (left == "") & (pair["gap"] <= CONTEXT_CHARS)
-            left = F.when(near, _left_word(state["last"])).otherwise(left)
-        span = F.struct(start.alias("start"), end.alias("end"), pair["value"].alias("value"), left.alias("left"))
-        return F.struct(
-            end.alias("at"),
-            F.concat(state["spans"], F.array(span)).alias("spans"),
-            (pair["value"] if adjoining else F.lit("")).alias("last"),
-        )
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"), F.lit("").alias("last"))
-    return F.when(F.size(values) > 0, F.aggregate(pairs, start, placed, lambda s: s["spans"])).otherwise(none)
+    def piece(of: Column, at: Column) -> Column:
+        return F.coalesce(F.get(of, at), F.lit(""))
 
+    def entities(both: Column) -> Column:
+        values, gaps = both["values"], both["gaps"]
+        lengths = F.zip_with(values, F.slice(gaps, 1, F.size(values)), lambda v, g: F.length(g) + F.length(v))
 
-def _of_kind(text: Column, kind: str, pattern: str, sign: Column, check) -> Column:
-    rank = KINDS.index(kind)
-    found = _matches(text, pattern)
-    if check is not None:
-        found = F.filter(found, lambda s: check(s["value"]))
-    spans = F.transform(
+        def around(n: Column) -> Column:
+            before = F.concat(F.right(piece(gaps, n - 1), F.lit(CONTEXT_CHARS)), piece(values, n - 1), piece(gaps, n))
+            after = F.concat(F.left(piece(gaps, n + 1), F.lit(CONTEXT_CHARS)), piece(values, n + 1))
+            return _around(F.right(before, F.lit(CONTEXT_CHARS)), F.left(after, F.lit(CONTEXT_CHARS)))
+
+        patterns = F.transform(values, lambda _, n: around(n) if context else F.lit(None).cast(AROUND))
+        return F.arrays_zip(
+            values.alias("value"), _scan_array(lengths, F.lit(0), lambda x, y: x + y).alias("end"), patterns.alias("around")
+        ).cast(f"array<struct<value:string,end:int,around:{AROUND}>>")
+
+    return _bound(found, entities)
+
+
+def _spans(found: Column, rank: int) -> Column:
+    return F.transform(
         found,
         lambda s: F.struct(
-            s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"),
-            s["value"].alias("value"), s["left"].alias("left"),
+            (s["end"] - F.length(s["value"])).alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"),
+            s["value"].alias("value"), s["around"].alias("around"),
         ),
-    )
-    return F.when(sign, spans).otherwise(F.array().cast(SPANS))
+    ).cast(SPANS)
 
 
-SPANS = "array<struct<start:int,rank:int,end:int,value:string,left:string>>"
+def _of_kind(text: Column, context: bool, kind: str, pattern: str, sign: Column, check) -> Column:
+    found = _matches(text, pattern, context)
+    if check is not None:
+        found = F.filter(found, lambda s: check(s["value"]))
+    return F.when(sign, _spans(found, KINDS.index(kind))).otherwise(F.array().cast(SPANS))
 
 
-def seed_spans(text: Column) -> Column:
+def seed_spans(text: Column, context: bool = True) -> Column:
     """The checked matches of all kinds, by start and then kind."""
     digit = F.rlike(text, F.lit("[0-9]"))
     found = F.concat(
-        _of_kind(text, "email", EMAIL, F.contains(text, F.lit("@")), None),
-        _of_kind(text, "ip", IP, digit, _small_parts),
-        _of_kind(text, "card", CARD, digit, _luhn),
-        _of_kind(text, "phone", PHONE, F.contains(text, F.lit("+")), _phone_digits),
+        _of_kind(text, context, "email", EMAIL, F.contains(text, F.lit("@")), None),
+        _of_kind(text, context, "ip", IP, digit, _small_parts),
+        _of_kind(text, context, "card", CARD, digit, _luhn),
+        _of_kind(text, context, "phone", PHONE, F.contains(text, F.lit("+")), _phone_digits),
     )
     return F.array_sort(found)
 
 
-def _unseen(text: Column, seeds: Column) -> Column:
-    """Identifier-like tokens and runs of digit groups that touch no seed: an '@' or four digits,
-    closing marks cut. A run that meets a seed ends before it."""
-
-    def before_seeds(s: Column) -> Column:
-        met = F.filter(seeds, lambda b: (b["start"] > s["start"]) & (b["start"] < s["end"]))
-        cut = F.array_min(F.transform(met, lambda b: b["start"])) - s["start"]
-        whole = F.contains(s["value"], F.lit(" "))
-        return F.when(whole & cut.isNotNull(), F.substring(s["value"], F.lit(1), cut)).otherwise(s["value"])
+def _with_unseen(rows: DataFrame) -> DataFrame:
+    """Adds `unseen`: identifier-like tokens and runs of digit groups that touch no seed, with an '@' or
+    four digits, closing marks cut. A run that meets a seed ends before it.
 
-    trimmed = F.transform(
-        F.transform(
-            _matches(text, TOKEN, adjoining=True),
-            lambda s: F.struct(
-                s["start"].alias("start"), s["left"].alias("left"),
-                F.regexp_replace(before_seeds(s), r"[.,;:!?)\]\x20(\[]+$", "").alias("value"),
+    Seeds and tokens are merged by position; running ends and starts tell which of them meet.
+    """
+    text, beyond = F.col("text"), F.lit(2**31 - 1)
+    tokens = F.when(F.rlike(text, F.lit("[0-9@]")), _spans(_matches(text, TOKEN), len(KINDS)))
+    every = F.array_sort(F.concat("seeds", F.coalesce(tokens, F.array().cast(SPANS))))
+    known = len(KINDS)
+
+    def free_tokens(spans: Column) -> Column:
+        ends = F.transform(spans, lambda s: F.when(s["rank"] < known, s["end"]).otherwise(0))
+        starts = F.transform(F.reverse(spans), lambda s: F.when(s["rank"] < known, s["start"]).otherwise(beyond))
+        near = F.zip_with(
+            _scan_array(ends, F.lit(0), F.greatest),
+            F.reverse(_scan_array(starts, beyond, F.least)),
+            lambda ended, following: F.struct(ended.alias("ended"), following.alias("following")),
+        )
+        return F.filter(F.zip_with(spans, near, token), lambda s: s.isNotNull()).cast(SPANS)
+
+    def token(span: Column, near: Column) -> Column:
+        following = near["following"]
+        run = F.contains(span["value"], F.lit(" ")) & (following > span["start"]) & (following < span["end"])
+        cut = F.when(run, F.left(span["value"], following - span["start"])).otherwise(span["value"])
+        value = F.regexp_replace(cut, r"[.,;:!?)\]\x20(\[]+$", "")
+        free = (near["ended"] <= span["start"]) & (following >= span["start"] + F.length(value))
+        fit = F.contains(value, F.lit("@")) | (F.length(_digits(value)) >= 4)
+        return F.when(
+            (span["rank"] == known) & free & fit,
+            F.struct(
+                span["start"].alias("start"), span["rank"].alias("rank"),
+                (span["start"] + F.length(value)).alias("end"), value.alias("value"), span["around"].alias("around"),
             ),
-        ),
-        lambda s: F.struct(
-            s["start"].alias("start"), F.lit(len(KINDS)).alias("rank"),
-            (s["start"] + F.length(s["value"])).alias("end"), s["value"].alias("value"), s["left"].alias("left"),
-        ),
-    )
-    fit = F.filter(
-        trimmed,
-        lambda s: (F.contains(s["value"], F.lit("@")) | (F.length(_digits(s["value"])) >= 4))
-        & ~F.exists(seeds, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
-    )
-    sign = F.rlike(text, F.lit("[0-9@]"))
-    return F.when(sign, fit).otherwise(F.array().cast(SPANS))
+        )
+
+    return rows.withColumn("unseen", _bound(every, free_tokens))
 
 
 def _instances(scanned: DataFrame) -> DataFrame:
-    spans = F.explode(F.concat("seeds", "unseen")).alias("s")
-    return scanned.select("doc_id", "text_key", spans).select("doc_id", "text_key", "s.*")
+    """One row for each entity and pattern around it."""
+    spans = scanned.select("doc_id", "text_key", F.explode(F.concat("seeds", "unseen")).alias("s"))
+    return spans.select(
+        "doc_id", "text_key", "s.start", "s.rank", "s.end", "s.value", F.explode("s.around").alias("p")
+    ).select("doc_id", "text_key", "start", "rank", "end", "value", "p.side", "p.pattern")
+
+
+def _fits(mail: Column, kind: int) -> Column:
+    """Only e-mail addresses hold an '@'."""
+    return mail if KINDS[kind] == "email" else ~mail
 
 
 def score_graph(edges: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Patterns (left, seeds_k, score_k) and unseen instances (value, score_k), k over the kinds.
+    """Patterns (pattern, support_k, score_k) and unseen instances (value, score_k), k over the kinds.
 
-    `edges` holds distinct (left, value, rank); rank is a seed's kind or the number of kinds.
+    `edges` holds distinct (side, pattern, value, mail, rank); rank is a seed's kind or the number of
+    kinds.
     """
     ranks = range(len(KINDS))
-    known = edges.where(F.col("rank") < len(KINDS))
-    unseen = edges.where(F.col("rank") == len(KINDS)).select("left", "value")
-    own = [F.when(F.col("rank") == k, 1.0).otherwise(0.0).alias(f"score_{k}") for k in ranks]
+    own = [F.when(F.col("rank") == k, 1.0).otherwise(0.0).alias(f"held_{k}") for k in ranks]
+    seeds = edges.where(F.col("rank") < len(KINDS)).select("pattern", *own)
+    unseen = edges.where(F.col("rank") == len(KINDS)).drop("rank")
     values = None
     for turn in range(ROUNDS):
         if values is None:
-            guesses = unseen.select("left", *[F.lit(0.0).alias(f"score_{k}") for k in ranks])
+            guesses = unseen.select("pattern", *[F.lit(0.0).alias(f"held_{k}") for k in ranks])
         else:
-            guesses = unseen.join(values, "value").select("left", *[f"score_{k}" for k in ranks])
-        rows = known.select("left", *own, F.lit(1).alias("seed")).unionByName(
-            guesses.withColumn("seed", F.lit(0))
-        )
+            accepted = [F.when(F.col(f"score_{k}") >= CONFIDENCE, 1.0).otherwise(0.0).alias(f"held_{k}") for k in ranks]
+            guesses = unseen.join(values, "value").select("pattern", *accepted)
         patterns = ws.land(
-            rows.groupBy("left").agg(
-                *[F.sum(F.col(f"score_{k}") * F.col("seed")).alias(f"seeds_{k}") for k in ranks],
-                *[F.avg(f"score_{k}").alias(f"score_{k}") for k in ranks],
+            seeds.unionByName(guesses).groupBy("pattern").agg(
+                *[F.sum(f"held_{k}").alias(f"support_{k}") for k in ranks],
+                *[F.avg(f"held_{k}").alias(f"score_{k}") for k in ranks],
             ),
             f"patterns-{turn}",
         )
-        # Only supported patterns vote; their scores stay below one so that logarithms exist.
+        # Only supported patterns vote.
         votes = [
-            F.when(F.col(f"seeds_{k}") >= LEAST_SEEDS, F.least(f"score_{k}", F.lit(0.999)))
-            .otherwise(0.0)
-            .alias(f"vote_{k}")
+            F.when(F.col(f"support_{k}") >= LEAST_SUPPORT, F.col(f"score_{k}")).otherwise(0.0).alias(f"vote_{k}")
             for k in ranks
         ]
-        values = ws.land(
-            unseen.join(patterns.select("left", *votes), "left")
-            .groupBy("value")
-            .agg(*[(1 - F.exp(F.sum(F.log(1 - F.col(f"vote_{k}"))))).alias(f"score_{k}") for k in ranks]),
-            f"values-{turn}",
-        )
+        voted = unseen.join(patterns.select("pattern", *votes), "pattern")
+
+        def best(k: int, side: int) -> Column:
+            # Patterns of one side hold each other, so that the best of them speaks for all.
+            there = _fits(F.col("mail"), k) & (F.col("side") == side)
+            return F.max(F.when(there, F.col(f"vote_{k}")).otherwise(0.0))
+
+        scores = [F.greatest(1 - (1 - best(k, 0)) * (1 - best(k, 1)), best(k, 2)).alias(f"score_{k}") for k in ranks]
+        values = ws.land(voted.groupBy("value").agg(*scores), f"values-{turn}")
+        if turn:
+            ws.drop(f"patterns-{turn - 1}", f"values-{turn - 1}")
     return patterns, values
 
 
 def contextual_spans(scanned: DataFrame, ws: Workspace) -> DataFrame:
     """doc_id, text_key, extra: the spans that high-confidence patterns add, once per text."""
-    instances = _instances(scanned).where("left <> ''")
-    edges = ws.land(
-        instances.select("left", F.xxhash64("value").alias("value"), "rank").distinct(), "edges"
+    instances = _instances(scanned)
+    mail = F.contains(F.col("value"), F.lit("@"))
+    every = ws.land(
+        instances.select("side", "pattern", F.xxhash64("value").alias("value"), mail.alias("mail"), "rank").distinct(),
+        "every-edge",
     )
+    # Fewer distinct instances than the least support can never vote.
+    known_often = every.groupBy("pattern").agg(F.count_distinct("value").alias("n")).where(F.col("n") >= LEAST_SUPPORT)
+    edges = ws.land(every.join(known_often, "pattern", "left_semi"), "edges")
     patterns, values = score_graph(edges, ws)
     ranks = range(len(KINDS))
-    sure = patterns.select(
-        "left",
-        F.coalesce(
-            *[
-                F.when(
-                    (F.col(f"seeds_{k}") >= LEAST_SEEDS) & (F.col(f"score_{k}") >= CONFIDENCE), k
-                )
-                for k in ranks
-            ]
-        ).alias("kind"),
-    ).where("kind IS NOT NULL")
-    best = F.element_at(F.array(*[F.col(f"score_{k}") for k in ranks]), F.col("kind") + 1)
-    return (
+    sure = F.greatest(
+        *[
+            F.when(
+                (F.col(f"p.support_{k}") >= LEAST_SUPPORT) & (F.col(f"p.score_{k}") >= CONFIDENCE)
+                & (F.col(f"v.score_{k}") >= CONFIDENCE) & _fits(mail, k),
+                F.struct(F.col(f"p.score_{k}").alias("score"), F.lit(-k).alias("kind")),
+            )
+            for k in ranks
+        ]
+    )
+    confident = reduce(or_, [F.col(f"score_{k}") >= CONFIDENCE for k in ranks])
+    occurrences = (
         instances.where(F.col("rank") == len(KINDS))
-        .join(sure, "left")
+        .join(patterns.where(confident).alias("p"), "pattern")
         .withColumn("value_key", F.xxhash64("value"))
-        .join(values.withColumnRenamed("value", "value_key"), "value_key")
-        .where(best >= CONFIDENCE)
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set(F.struct("start", F.col("kind").alias("rank"), "end", "value", "left")).alias("extra"))
+        .join(values.where(confident).withColumnRenamed("value", "value_key").alias("v"), "value_key")
+        .withColumn("best", sure)
+        .where("best IS NOT NULL")
+        .groupBy("doc_id", "text_key", "start", "end", "value")
+        .agg(F.max("best").alias("best"))
+    )
+    span = F.struct(
+        "start", (-F.col("best.kind")).alias("rank"), "end", "value", F.array().alias("around")
+    )
+    return (
+        occurrences.groupBy("doc_id", "text_key")
+        .agg(F.collect_set(span).alias("extra"))
         .withColumn("extra", F.col("extra").cast(SPANS))
     )
 
 
 def _scan(rows: DataFrame) -> DataFrame:
-    return (
+    return _with_unseen(
         rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text", seed_spans(F.col("text")).alias("seeds"))
-        .withColumn("unseen", _unseen(F.col("text"), F.col("seeds")))
-        .drop("text")
-    )
+    ).drop("text")
 
 
 def _written(spans: Column) -> Column:
@@ -297,27 +377,22 @@ def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; of overlapping spans the
     first stands and covers the others."""
     names = F.array(*[F.lit(f"<{kind.upper()}>") for kind in KINDS])
-    piece = "array<string>"
-
-    def cut(state: Column, span: Column) -> Column:
-        open_text = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        added = F.array(open_text, F.element_at(names, span["rank"] + 1))
-        inside = span["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(inside, state["out"]).otherwise(F.concat(state["out"], added)).alias("out"),
-        )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(piece).alias("out"))
-    joined = F.aggregate(
-        spans,
-        start,
-        cut,
-        lambda s: F.concat(
-            F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))
-        ),
-    )
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+    def piece(span: Column, at: Column) -> Column:
+        kept = F.concat(F.substring(text, at + 1, span["start"] - at), F.element_at(names, span["rank"] + 1))
+        return F.when(span["start"] < at, "").otherwise(kept)
+
+    def joined(found: Column) -> Column:
+        ends = _scan_array(F.transform(found, lambda s: s["end"]), F.lit(0), F.greatest)
+
+        def pieces(reached: Column) -> Column:
+            before = F.slice(F.concat(F.array(F.lit(0)), reached), 1, F.size(found))
+            rest = F.substring(text, F.get(reached, F.size(reached) - 1) + 1, F.length(text))
+            return F.concat(F.array_join(F.zip_with(found, before, piece), ""), rest)
+
+        return _bound(ends, pieces)
+
+    return F.when(F.size(spans) > 0, _bound(spans, joined)).otherwise(text)
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -333,7 +408,7 @@ def redact(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     key = F.xxhash64(F.coalesce(text, F.lit("")))
     spans = F.array_sort(
-        F.concat(seed_spans(F.coalesce(text, F.lit(""))), F.coalesce("__pii_extra.extra", F.array().cast(SPANS)))
+        F.concat(seed_spans(F.coalesce(text, F.lit("")), context=False), F.coalesce("__pii_extra.extra", F.array().cast(SPANS)))
     )
     clean = redacted(text, spans)
     found = docs.join(
