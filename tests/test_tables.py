@@ -290,6 +290,20 @@ def test_mean_duration_and_totals(spark):
     assert totals.first()["total"] == 16.0
 
 
+@pytest.mark.parametrize("block_rows", [None, 1])
+def test_samples_of_one_instant_are_no_restart(spark, block_rows):
+    """One row an instant, whatever order its two reports came in; before, 16 then 14 was a restart."""
+    for tied in ([(16, 5), (14, 4)], [(14, 4), (16, 5)]):
+        points = [(0, 10, 2), *[(5, total, count) for total, count in tied], (9, 20, 7)]
+        rows = samples(spark, [point(at, total) for at, total, _ in points], metric="sum").unionByName(
+            samples(spark, [point(at, count) for at, _, count in points], metric="count")
+        ).coalesce(1)
+        means = metrics.mean_duration(rows, "sum", "count", ["source"], block_rows=block_rows).orderBy("ts")
+        assert [r["mean_duration"] for r in means.collect()] == [2.0, 2.0]
+        rates = metrics.counter_rate(rows, "sum", block_rows=block_rows).orderBy("ts")
+        assert [r["rate"] for r in rates.collect()] == [6 / 5, 1.0]
+
+
 def test_reports(spark):
     rows = enriched(spark, [at(t, speed_kmh=0.0) for t in range(25)])
     (row,) = reports.idling_report(rows, AS_OF).collect()
