@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import fleetspark.plans.ordered as ordered
 from fleetspark.operators import detect as d
@@ -12,6 +13,7 @@ from fleetspark.operators import tables
 from fleetspark.operators.dedup import dedup_first
 from fleetspark.operators.state import latest_state
 from fleetspark.plans import reports
+from fleetspark.plans.even import in_even_tasks
 from fleetspark.plans.paging import page_after
 from fleetspark.workload import mapping as m
 from fleetspark.workload.queries import AS_OF, MONTH_END
@@ -113,3 +115,26 @@ def test_bucketed_history_needs_no_exchange_by_vehicle(spark, tmp_path):
         assert again.count() == rows.count()
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_one_row_group_is_parsed_by_all_cores(spark, tmp_path):
+    """A file of one row group, cut into many splits by its bytes, still gives even tasks."""
+    path = str(tmp_path / "events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(20 * cores).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "id AS user_id", "'view' AS event_type",
+        "1.0D AS value", "'{\"k\": 1}' AS props",
+    ).coalesce(1).write.parquet(path)
+    name, setting = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(name, "100")
+    try:
+        held = m.arrivals(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(name, setting)
+    assert len(held) == cores and max(row["count"] for row in held) <= 25
+
+
+def test_long_tables_get_whole_rounds_of_bounded_tasks(spark):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(21 * cores)
+    assert in_even_tasks(rows, 21 * cores, task_rows=10).rdd.getNumPartitions() == 3 * cores
