@@ -15,8 +15,11 @@ from fleetspark.operators.state import latest_state
 from fleetspark.plans import reports
 from fleetspark.plans.even import in_even_tasks
 from fleetspark.plans.paging import page_after
+from fleetspark.sources import archive
+from fleetspark.streaming import live
 from fleetspark.workload import mapping as m
 from fleetspark.workload.queries import AS_OF, MONTH_END
+from tests.build import START, TOPIC, at, payload, records
 
 SF = "/root/testdata/sf0.001"
 
@@ -138,3 +141,25 @@ def test_long_tables_get_whole_rounds_of_bounded_tasks(spark):
     cores = spark.sparkContext.defaultParallelism
     rows = spark.range(21 * cores)
     assert in_even_tasks(rows, 21 * cores, task_rows=10).rdd.getNumPartitions() == 3 * cores
+
+
+def test_appends_and_live_batches_are_parsed_by_all_cores(spark, tmp_path, monkeypatch):
+    """A batch that came in one task, as of a topic of one partition."""
+    held = []
+
+    def spied(parse):
+        def spy(df, as_of):
+            held.append(df.groupBy(F.spark_partition_id()).count().count())
+            return parse(df, as_of)
+
+        return spy
+
+    monkeypatch.setattr(archive, "to_archive_rows", spied(archive.to_archive_rows))
+    monkeypatch.setattr(live, "parse_telemetry", spied(live.parse_telemetry))
+    cores = spark.sparkContext.defaultParallelism
+    batch = records(spark, [payload(at(i)) for i in range(10 * cores)]).coalesce(1)
+    archive.append_archive(batch, str(tmp_path / "archive"), TOPIC, START)
+    live.commit_batch(batch, 0, str(tmp_path / "live"), as_of=START)
+    assert held == [cores, cores]
+    assert archive.read_archive(spark, str(tmp_path / "archive")).count() == 10 * cores
+    assert live.read_outcomes(spark, str(tmp_path / "live")).first()["consumed"] == 10 * cores
