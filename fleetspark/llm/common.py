@@ -103,6 +103,26 @@ def blobs(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def squeezed(values: np.ndarray, kind: str) -> bytes:
+    """Integers as compressed planes of their bytes: small ones take a byte or two."""
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def restored(value: bytes, kind: str) -> np.ndarray:
+    count, width = int.from_bytes(value[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(value[8:], count * width, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, count).T).view(kind).reshape(-1)
+
+
+def squeezed_steps(ascending: np.ndarray) -> bytes:
+    return squeezed(np.diff(ascending, prepend=0), "<i8")
+
+
+def restored_steps(value: bytes) -> np.ndarray:
+    return np.cumsum(restored(value, "<i8"))
+
+
 def write_once(df: DataFrame, ws: Workspace, *done: str) -> DataFrame:
     """The result as a table, after which the named tables go."""
     result = ws.land(df, "result")

@@ -7,13 +7,16 @@ for the next length. Relations are persisted in slices of some millions of words
 a slice is one row with its sorted positions and codes, so the merge join is a comparison of
 neighbours. A position between two pieces belongs to no word, so nothing joins across pieces.
 
-Counting is one exchange a length. Each slice sends its distinct groups with their counts, a group
-as the two frequent groups it joins, so that equal groups meet by value. Those that are frequent
-in all go back to their slices. A word that stands in a third of all places is one row a slice.
+Counting is one exchange a length. Frequent groups are numbered almost densely, so a longer group is
+one integer of the two it joins. Each slice deals its distinct groups with their counts to buckets of
+a bounded number of groups, as one row of compressed steps a bucket, and equal groups meet there by
+value. Those that are frequent in all go back to their slices in the same form. A word that stands
+in a third of all places is one group a slice, and the groups it begins or ends go to all buckets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,20 +25,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import Workspace, blobs, sliced
+from fleetspark.llm.common import (
+    Workspace, blobs, restored, restored_steps, sliced, squeezed, squeezed_steps,
+)
 
 LONGEST, LEAST, TOP = 5, 100, 2_000
 SLICE_WORDS = 2_000_000
+BUCKET_WORDS, BUCKET_GROUPS = 1 << 16, 1 << 20
 BREAK = b"\xff"
 # Fixed by the contract: letters to lower, characters that end a piece, white space in a piece.
 FOLDED = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r",
     b"abcdefghijklmnopqrstuvwxyz " + BREAK * 10,
 )
-RELATION = "slice long, lang string, at binary, code binary, ids binary, left binary, right binary"
+RELATION = "slice long, lang string, at binary, code binary, keys binary, counts binary, groups long"
 EXTENDED = pa.schema(
-    [("slice", pa.int64()), ("lang", pa.string()), *((name, pa.binary()) for name in ("at", "code", "ids", "left", "right"))]
+    [
+        ("slice", pa.int64()), ("lang", pa.string()), *((name, pa.binary()) for name in ("at", "code", "keys", "counts")),
+        ("groups", pa.int64()),
+    ]
 )
+DEALT = "bucket long, slice long, keys binary, counts binary"
+FREQUENT = "slice long, keys binary, ids binary, key array<long>, id array<long>, a array<long>"
 WORDS = "slice long, lang string, words array<binary>, code binary, n long"
 
 
@@ -60,11 +71,11 @@ class _Slice:
         self.size += len(tokens)
 
     def row(self, number: int, lang: str) -> pa.RecordBatch:
-        code = np.concatenate(self.parts).astype("<i4")
+        code = np.concatenate(self.parts)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()), pa.array([lang]), pa.array([list(self.codes)], pa.list_(pa.binary())),
-                pa.array([code.tobytes()], pa.binary()), pa.array([int((code >= 0).sum())], pa.int64()),
+                pa.array([squeezed(code, "<i4")], pa.binary()), pa.array([int((code >= 0).sum())], pa.int64()),
             ],
             ["slice", "lang", "words", "code", "n"],
         )
@@ -94,14 +105,10 @@ def _occurrences(limit: int):
     return run
 
 
-def _array(value: bytes, kind: str = "<i4") -> np.ndarray:
-    return np.frombuffer(value, kind)
-
-
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            code = _array(row["code"])
+            code = restored(row["code"], "<i4")
             counts = np.bincount(code[code >= 0], minlength=len(row["words"]))
             n = len(counts)
             yield pa.RecordBatch.from_arrays(
@@ -113,50 +120,99 @@ def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _group_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids = _array(row["ids"], "<i8")
-            left, right = ids[np.cumsum(_array(row["left"]))], ids[_array(row["right"])]
-            counts = np.bincount(_array(row["code"]), minlength=len(left)).astype(np.int64)
-            n = len(left)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(n, row["slice"], np.int64)), pa.array(np.arange(n, dtype=np.int64)),
-                    pa.array([row["lang"]] * n, pa.string()), pa.array(left), pa.array(right), pa.array(counts),
-                ],
-                ["slice", "code", "lang", "left", "right", "count"],
-            )
+def _dealt(buckets: int):
+    """Each slice's groups and counts by bucket; a bucket's keys have the same remainder."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                rest, bucket = np.divmod(restored_steps(row["keys"]), buckets)
+                counts = restored(row["counts"], "<i8")
+                order = np.argsort(bucket, kind="stable")
+                filled, first = np.unique(bucket[order], return_index=True)
+                parts = np.split(order, first[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(filled), pa.array(np.full(len(filled), row["slice"], np.int64)),
+                        pa.array([squeezed_steps(rest[part]) for part in parts], pa.binary()),
+                        pa.array([squeezed(counts[part], "<i8") for part in parts], pa.binary()),
+                    ],
+                    ["bucket", "slice", "keys", "counts"],
+                )
+
+    return run
+
+
+def _frequent(buckets: int, least: int):
+    """One bucket: the groups with `least` occurrences in all, a row for each slice that holds any
+    and one without a slice for all of them. An id is a place in the bucket times their number."""
+
+    def run(dealt: pa.Table) -> pa.Table:
+        bucket = dealt["bucket"][0].as_py()
+        keys = [restored_steps(x) for x in dealt["keys"].to_pylist()]
+        counts = np.concatenate([restored(x, "<i8") for x in dealt["counts"].to_pylist()])
+        groups, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.zeros(len(groups), np.int64)
+        np.add.at(total, place, counts)
+        often = total >= least
+        key = groups[often] * buckets + bucket
+        number = (np.cumsum(often) - 1) * buckets + bucket
+        rows = [(None, None, None, key, number[often], total[often])] if len(key) else []
+        ends = np.cumsum([len(x) for x in keys])
+        for slice_, some in zip(dealt["slice"].to_pylist(), np.split(place, ends[:-1])):
+            some = some[often[some]]
+            if len(some):
+                rows.append((slice_, squeezed_steps(groups[some] * buckets + bucket), squeezed_steps(number[some]), None, None, None))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3)
+        names = ("slice", "keys", "ids", "key", "id", "a")
+        return pa.table({n: pa.array([row[i] for row in rows], k) for i, (n, k) in enumerate(zip(names, kinds))})
+
+    return run
 
-def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """One slice: its frequent occurrences joined with those at the next position."""
-    if not relation.num_rows or not frequent.num_rows:
-        return EXTENDED.empty_table()
-    row = relation.to_pylist()[0]
-    codes, ids = frequent["code"].to_numpy(), frequent["id"].to_numpy()
-    code = _array(row["code"])
-    # The last place is that of a break, whose code is -1.
-    place = np.full(int(max(codes.max(), code.max(initial=0))) + 2, -1, np.int32)
-    place[codes] = np.arange(len(codes), dtype=np.int32)
-    dense = place[code]
-    stays = np.flatnonzero(dense >= 0)
-    at = stays if row["at"] is None else np.cumsum(_array(row["at"]), dtype=np.int64)[stays]
-    dense = dense[stays]
-    first = np.flatnonzero(np.diff(at) == 1)
-    if not len(first):
-        return EXTENDED.empty_table()
-    pair = dense[first].astype(np.int64) * len(codes) + dense[first + 1]
-    groups, joined = np.unique(pair, return_inverse=True)
-    # Groups are in order of what they begin with; they name places of `ids`, which is short.
-    values = (
-        np.diff(at[first], prepend=0).astype("<i4"), joined.astype("<i4"), ids.astype("<i8"),
-        np.diff(groups // len(codes), prepend=0).astype("<i4"), (groups % len(codes)).astype("<i4"),
-    )
-    return pa.Table.from_arrays(
-        [pa.array([row["slice"]], pa.int64()), pa.array([row["lang"]], pa.string()), *(pa.array([v.tobytes()], pa.binary()) for v in values)],
-        schema=EXTENDED,
-    )
+
+def _extend(stride: int):
+    """One slice: its frequent occurrences joined with those at the next position. The key of a
+    group is the id of what it begins with times `stride` and the id of what it ends with."""
+
+    def run(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+        if not relation.num_rows or not frequent.num_rows:
+            return EXTENDED.empty_table()
+        row = relation.to_pylist()[0]
+        if row["at"] is None:  # words, named by their codes
+            codes, ids = frequent["code"].to_numpy(), frequent["id"].to_numpy()
+        else:
+            keys, ids = (np.concatenate([restored_steps(x) for x in frequent[name].to_pylist()]) for name in ("keys", "ids"))
+            codes = np.searchsorted(restored_steps(row["keys"]), keys)
+        order = np.argsort(ids)
+        codes, ids = codes[order], ids[order]
+        code = restored(row["code"], "<i4")
+        # The last place is that of a break, whose code is -1.
+        place = np.full(int(max(codes.max(), code.max(initial=0))) + 2, -1, np.int32)
+        place[codes] = np.arange(len(codes), dtype=np.int32)
+        dense = place[code]
+        stays = np.flatnonzero(dense >= 0)
+        at = stays if row["at"] is None else restored_steps(row["at"])[stays]
+        dense = dense[stays]
+        first = np.flatnonzero(np.diff(at) == 1)
+        if not len(first):
+            return EXTENDED.empty_table()
+        pair = dense[first].astype(np.int64) * len(codes) + dense[first + 1]
+        # Places are in order of ids, so groups are in order of keys.
+        groups, joined = np.unique(pair, return_inverse=True)
+        values = (
+            squeezed_steps(at[first]), squeezed(joined, "<i4"),
+            squeezed_steps(ids[groups // len(codes)] * stride + ids[groups % len(codes)]),
+            squeezed(np.bincount(joined), "<i8"),
+        )
+        return pa.Table.from_arrays(
+            [
+                pa.array([row["slice"]], pa.int64()), pa.array([row["lang"]], pa.string()),
+                *(pa.array([v], pa.binary()) for v in values), pa.array([len(groups)], pa.int64()),
+            ],
+            schema=EXTENDED,
+        )
+
+    return run
 
 
 def frequent_phrases(ws: Workspace, docs: DataFrame, longest: int, least: int, slice_words: int) -> tuple[DataFrame, DataFrame]:
@@ -166,47 +222,66 @@ def frequent_phrases(ws: Workspace, docs: DataFrame, longest: int, least: int, s
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     relation = ws.land(texts.mapInArrow(_occurrences(slice_words), WORDS), "r1")
-    counted = relation.mapInArrow(_word_counts, "slice long, code long, lang string, word binary, count long")
+    sums = relation.agg(F.sum(F.size("words"))).first()
     totals = ws.land(relation.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    phrases, group = [], ["lang", "word"]
-    for size in range(1, longest + 1):
-        everywhere = Window.partitionBy(*group)
-        frequent = ws.land(
-            counted.withColumn("a", F.sum("count").over(everywhere))
-            .where(F.col("a") >= least)
-            .withColumn("id", F.xxhash64(F.lit(size), *group)),
-            f"frequent-{size}",
-        )
-        found = frequent.dropDuplicates(group).select(*group, "id", "a")
-        if size == 1:
-            named = found.select("lang", "id", F.array("word").alias("words"), "a")
-        else:
-            left = named.select("lang", F.col("id").alias("left"), F.col("words").alias("start"))
-            last = named.select("lang", F.col("id").alias("right"), F.element_at("words", -1).alias("last"))
-            named = (
-                found.join(left, ["lang", "left"])
-                .join(last, ["lang", "right"])
-                .select("lang", "id", F.concat("start", F.array("last")).alias("words"), "a")
-            )
-        named = ws.land(named, f"phrases-{size}")
-        phrases.append(named.select("lang", "words", "a", F.lit(size).alias("size")))
-        if size == longest:
-            break
-        places = F.col("at") if size > 1 else F.lit(None).cast("binary").alias("at")
+    buckets = -(-(sums[0] or 1) // BUCKET_WORDS)
+    each = Window.partitionBy("bucket", "lang", "word")
+    ranked = Window.partitionBy("bucket").orderBy("lang", "word")
+    frequent = ws.land(
+        relation.select("slice", "lang", "words", "code")
+        .mapInArrow(_word_counts, "slice long, code long, lang string, word binary, count long")
+        .withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets)))
+        .repartition("bucket")
+        .withColumn("a", F.sum("count").over(each))
+        .where(F.col("a") >= least)
+        .withColumn("id", (F.dense_rank().over(ranked) - 1) * F.lit(buckets) + F.col("bucket"))
+        .select("slice", "code", "lang", "word", "a", "id"),
+        "frequent-1",
+    )
+    # Ids are unique over all languages, so a group's key needs none.
+    named = ws.land(
+        frequent.dropDuplicates(["id"]).select("lang", "id", F.array("word").alias("words"), "a"), "phrases-1"
+    )
+    phrases = [named.withColumn("size", F.lit(1))]
+    mine = ["code", "id"]
+    for size in range(2, longest + 1):
+        stride = (named.agg(F.max("id")).first()[0] or 0) + 1
+        places = F.col("at") if size > 2 else F.lit(None).cast("binary").alias("at")
+        keys = F.col("keys") if size > 2 else F.lit(None).cast("binary").alias("keys")
         relation = ws.land(
-            relation.select("slice", "lang", places, "code")
+            relation.select("slice", "lang", places, "code", keys)
             .groupBy("slice")
-            .cogroup(frequent.select("slice", "code", "id").groupBy("slice"))
-            .applyInArrow(_extend, RELATION),
-            f"r{size + 1}",
+            .cogroup(frequent.select("slice", *mine).groupBy("slice"))
+            .applyInArrow(_extend(stride), RELATION),
+            f"r{size}",
+        )
+        ws.drop(f"r{size - 1}", f"frequent-{size - 1}")
+        buckets = -(-(relation.agg(F.sum("groups")).first()[0] or 1) // BUCKET_GROUPS)
+        while math.gcd(buckets, stride) > 1:  # else what a frequent group ends would share a bucket
+            buckets += 1
+        everywhere = ws.land(
+            relation.select("slice", "keys", "counts").mapInArrow(_dealt(buckets), DEALT)
+            .groupBy("bucket")
+            .applyInArrow(_frequent(buckets, least), FREQUENT),
+            f"frequent-{size}",
+        )
+        frequent, mine = everywhere.where("slice IS NOT NULL"), ["keys", "ids"]
+        found = everywhere.where("slice IS NULL").select(F.explode(F.arrays_zip("key", "id", "a")).alias("g")).select(
+            F.expr(f"g.key div {stride}").alias("left"), (F.col("g.key") % F.lit(stride)).alias("right"), "g.id", "g.a"
+        )
+        left = named.select("lang", F.col("id").alias("left"), F.col("words").alias("start"))
+        last = named.select(F.col("id").alias("right"), F.element_at("words", -1).alias("last"))
+        named = ws.land(
+            found.join(left, "left").join(last, "right")
+            .select("lang", "id", F.concat("start", F.array("last")).alias("words"), "a"),
+            f"phrases-{size}",
         )
-        ws.drop(f"r{size}", f"frequent-{size}")
-        counted = relation.mapInArrow(_group_counts, "slice long, code long, lang string, left long, right long, count long")
-        group = ["lang", "left", "right"]
+        phrases.append(named.withColumn("size", F.lit(size)))
+    ws.drop(f"r{longest}", f"frequent-{longest}")
     everything = phrases[0]
     for more in phrases[1:]:
         everything = everything.unionByName(more)
-    return ws.land(everything, "phrases"), totals
+    return ws.land(everything.drop("id"), "phrases"), totals
 
 
 def collocations(

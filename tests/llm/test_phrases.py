@@ -6,9 +6,12 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from fleetspark.llm import phrases
+from fleetspark.llm.common import restored, restored_steps, squeezed, squeezed_steps
 
 
 def brute_force(rows, longest, least, top):
@@ -68,3 +71,30 @@ def test_nothing_frequent(spark):
     assert phrases.collocations(frame).count() == 0
     assert phrases.collocations(frame.limit(0)).count() == 0
     assert phrases.collocations(frame, least=1).select("lang", "phrase").collect() == [("en", "a b c")]
+
+
+def test_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "BUCKET_WORDS", 2)
+    monkeypatch.setattr(phrases, "BUCKET_GROUPS", 5)
+    rows = texts(4)
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    found = phrases.collocations(frame, longest=4, least=4, top=25, slice_words=100)
+    assert sorted(map(tuple, found.collect())) == brute_force(rows, 4, 4, 25)
+
+
+def test_a_slice_sends_few_bytes_a_group_to_even_buckets():
+    """400,000 of the pairs of 100,000 words, a tenth of them with one frequent word in front."""
+    dice = np.random.default_rng(5)
+    left = np.where(np.arange(400_000) < 40_000, 77, dice.integers(100_000, size=400_000))
+    keys = np.unique(left * 100_000 + dice.integers(100_000, size=400_000))
+    counts = dice.geometric(0.6, len(keys))
+    row = {"slice": 3, "keys": squeezed_steps(keys), "counts": squeezed(counts, "<i8")}
+    [sent] = phrases._dealt(49)([pa.RecordBatch.from_pylist([row])])
+    sent = sent.to_pylist()
+    back = np.concatenate([restored_steps(x["keys"]) * 49 + x["bucket"] for x in sent])
+    order = np.argsort(back)
+    assert np.array_equal(back[order], keys)
+    assert np.array_equal(np.concatenate([restored(x["counts"], "<i8") for x in sent])[order], counts)
+    sizes = [len(restored_steps(x["keys"])) for x in sent]
+    assert len(sizes) == 49 and max(sizes) < 1.1 * min(sizes)
+    assert sum(len(x["keys"]) + len(x["counts"]) for x in sent) < 4 * len(keys)
