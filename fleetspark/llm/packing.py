@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ SIZE = 2048
 END = 1
 GROUP_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / SIZE
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, "
@@ -71,6 +72,8 @@ class WordIds(dict):
         super().__init__()
         self.path = path
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
             steps = json.load(file)
@@ -85,26 +88,41 @@ class WordIds(dict):
         )
         self.cut = regex.compile(cuts[0]["pattern"]["Regex"]) if known else None
 
-    def learn(self, split: list[list[bytes]]) -> None:
-        for cache in (self, self.pieces):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
-        tokenizer = _tokenizer(self.path)
-        merged, plain = tokenizer.model.tokenize, PLAIN.fullmatch
-        for word in set().union(*split).difference(self):
-            text = word.decode()
-            if self.cut is None or not plain(text):
-                ids = tokenizer.encode(text, add_special_tokens=False).ids
-                self[word] = array("H", ids).tobytes()
+    def learn(self, words: list[bytes]) -> None:
+        """Every one of the words is known afterwards."""
+        if len(self) > CACHE_WORDS:
+            self.older = dict(self)
+            self.clear()
+        if len(self.pieces) > CACHE_WORDS:
+            self.older_pieces, self.pieces = self.pieces, {}
+        tokenizer, older = _tokenizer(self.path), self.older
+        for word in words:
+            if word in self:
                 continue
-            parts = []
-            for piece in self.cut.findall(text.lower()):
-                ids = self.pieces.get(piece)
-                if ids is None:
-                    shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-                    ids = self.pieces[piece] = array("H", [token.id for token in merged(shown)]).tobytes()
-                parts.append(ids)
-            self[word] = b"".join(parts)
+            ids = older.get(word)
+            if ids is None:
+                text = word.decode()
+                if self.cut is None or not _plain(text):
+                    ids = array("H", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+                else:
+                    text = text.lower()
+                    # The pattern takes a run of letters whole.
+                    ids = self.piece(text) if text.isalpha() else b"".join(map(self.piece, self.cut.findall(text)))
+            self[word] = ids
+
+    def piece(self, text: str) -> bytes:
+        ids = self.pieces.get(text)
+        if ids is None:
+            ids = self.older_pieces.get(text)
+            if ids is None:
+                shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+                ids = array("H", [token.id for token in _tokenizer(self.path).model.tokenize(shown)]).tobytes()
+            self.pieces[text] = ids
+        return ids
+
+
+def _plain(text: str) -> bool:
+    return text.isprintable() and "<|" not in text if text.isascii() else bool(PLAIN.fullmatch(text))
 
 
 _WORDS: dict[str, WordIds] = {}
@@ -112,11 +130,26 @@ _WORDS: dict[str, WordIds] = {}
 
 def token_ids(texts: list[bytes], path: str) -> list[bytes]:
     """Each text's ids and the end id, as little-endian unsigned 16-bit integers."""
+    if not texts:
+        return []
     known = _WORDS.setdefault(path, WordIds(path))
-    split = [text.split() for text in texts]
-    known.learn(split)
+    # Splits at the ASCII white space that bytes.split knows; an empty word has no ids.
+    split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+    coded = split.values.dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    known.learn(words)
+    parts = list(map(known.__getitem__, words))
+    ids = np.frombuffer(b"".join(parts), np.uint16)
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+    starts = np.cumsum(lengths) - lengths
+    code = coded.indices.to_numpy()
+    times = lengths[code]
+    ends = np.concatenate([[0], np.cumsum(times)])
+    # Each id's place among those of distinct words.
+    ids = ids[np.repeat(starts[code] - ends[:-1], times) + np.arange(ends[-1])]
+    cuts = ends[split.offsets.to_numpy()].tolist()
     end = np.array([END], np.uint16).tobytes()
-    return [b"".join(map(known.__getitem__, words)) + end for words in split]
+    return [ids[start:stop].tobytes() + end for start, stop in zip(cuts, cuts[1:])]
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:

@@ -130,6 +130,26 @@ def test_packing_ids_are_the_tokenizers():
         assert np.frombuffer(ids, np.uint16).tolist() == expected
 
 
+def test_packing_words_in_use_outlive_a_full_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 2)
+    path = queries.tokenizer_path()
+    known = packing.WordIds(path)
+    known.learn([b"alpha", b"Alpha", b"beta,", b"it's"])
+    kept = dict(known)
+
+    def unknown(text):
+        raise AssertionError(text)
+
+    monkeypatch.setattr(known, "piece", unknown)
+    known.learn([b"alpha", b"beta,"])
+    assert dict(known) == {word: kept[word] for word in (b"alpha", b"beta,")}
+    texts = ["alpha Alpha beta, it's", " one  two\x0bthree\x0c", "four two, alpha\x1cbeta"]
+    for _ in range(3):
+        for text, ids in zip(texts, packing.token_ids([t.encode() for t in texts], path)):
+            expected = packing._tokenizer(path).encode(text, add_special_tokens=False).ids + [packing.END]
+            assert np.frombuffer(ids, np.uint16).tolist() == expected
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
