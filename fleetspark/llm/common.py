@@ -123,6 +123,13 @@ def restored_steps(value: bytes) -> np.ndarray:
     return np.cumsum(restored(value, "<i8"))
 
 
+def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The buckets that hold anything, and the places of each one's in order."""
+    order = np.argsort(bucket, kind="stable")
+    filled, first = np.unique(bucket[order], return_index=True)
+    return filled, np.split(order, first[1:])
+
+
 def write_once(df: DataFrame, ws: Workspace, *done: str) -> DataFrame:
     """The result as a table, after which the named tables go."""
     result = ws.land(df, "result")

@@ -4,7 +4,8 @@ A text is its lower-cased words, each closed by a space, then one end symbol. Co
 `DEPTH` bytes are kept when they occur often enough and their next-symbol distribution diverges
 from that of their longest kept suffix. Distributions are smoothed towards that suffix's; a symbol
 is predicted from the longest kept suffix before it. The model is a table for each depth and grows
-with the corpus; every distinct gram is scored once by joins with these tables, and texts look
+with the corpus. Counts travel as compressed steps, a row for each bucket of keys, and are summed there
+by key. Every distinct gram is scored once by joins with these tables, and texts look
 their grams up. Only frequent grams and words are broadcast, to save joins.
 """
 
@@ -23,10 +24,15 @@ from fleetspark.llm.common import (
     WordHashes,
     Workspace,
     blobs,
+    by_bucket,
     id_text,
     in_fold,
     mix,
+    restored,
+    restored_steps,
     sliced,
+    squeezed,
+    squeezed_steps,
     words_of,
 )
 
@@ -38,6 +44,10 @@ HOT_SHARE = 1e-5
 HOT_GRAMS = 1 << 21  # broadcast at most; all other grams are joined
 BLOCK = 1 << 17
 HELD_GRAMS = 1 << 20
+BUCKET_BITS = 9  # of words and of grams; a task of the counting holds the distinct keys of one bucket
+WORD, LEARNT, OTHER, ALL = 0, 1, 2, 3
+DEALT = "bucket int, kind int, keys binary, counts binary"
+COUNTS = "kind int, key long, n long"
 SPACE, END = 32, 10
 END_TOKEN = b"\n"  # no word holds white space, so the end token cannot be one
 _HASHES = WordHashes(100_000)
@@ -67,51 +77,85 @@ def _merged(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray
     return key[first], np.add.reduceat(n[order], first)
 
 
-def _counted(learnt: bool):
-    """kind 0: words, kind 1: grams; of texts that are not learnt from only grams, as kind 2."""
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        yield from _counts(batches, learnt)
-
-    return run
+def _dealt(kind: int, keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """A row of compressed steps for each bucket. Grams of one context share a bucket, so that steps
+    are small; they are 256 at most."""
+    mixed = mix((keys if kind == WORD else keys >> 8).view(np.uint64))
+    bucket = (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.uint16) * 2 + (kind != WORD)
+    filled, parts = by_bucket(bucket)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(filled.astype(np.int32)), pa.array(np.full(len(filled), kind, np.int32)),
+            pa.array([squeezed_steps(keys[part]) for part in parts], pa.binary()),
+            pa.array([squeezed(times[part], "<i8") for part in parts], pa.binary()),
+        ],
+        ["bucket", "kind", "keys", "counts"],
+    )
 
 
-def _counts(batches, learnt: bool) -> Iterator[pa.RecordBatch]:
-    """One row for each key of a few slices of texts."""
-    gram = 1 if learnt else 2
+def _counted(batches) -> Iterator[pa.RecordBatch]:
+    """Counts of words and grams of a few slices of texts; of texts not learnt from only grams."""
+    held: dict[int, tuple[list, list]] = {kind: ([], []) for kind in (WORD, LEARNT, OTHER)}
 
-    def rows(kind: int, keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-        kinds = pa.array(np.full(len(keys), kind, np.int32))
-        return pa.RecordBatch.from_arrays([kinds, pa.array(keys), pa.array(times)], ["kind", "key", "n"])
+    def hold(kind: int, keys: np.ndarray, times: np.ndarray) -> None:
+        held[kind][0].append(keys)
+        held[kind][1].append(times)
 
-    keys: list[np.ndarray] = []
-    times: list[np.ndarray] = []
     for batch in sliced(batches, "text"):
-        words = [words_of(text) for text in blobs(batch.column("text"))]
-        if learnt:
-            tally = Counter(w for one in words for w in one)
-            tally[END_TOKEN] = len(words)
-            hashes = _HASHES.of(list(tally)).view(np.int64)
-            yield rows(0, hashes, np.fromiter(tally.values(), np.int64))
-            del tally, hashes
-        streams = [stream(one) for one in words]
-        del words
-        # Filled and sorted in place: one array of the slice's size at a time.
-        grams = np.empty(sum(len(one) - DEPTH for one in streams), np.int64)
-        at = 0
-        for one in streams:
-            grams[at : at + len(one) - DEPTH] = _grams(one)
-            at += len(one) - DEPTH
-        grams.sort()
-        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
-        keys.append(grams[first])
-        times.append(np.diff(first, append=len(grams)))
-        del grams, first
-        if sum(map(len, keys)) > HELD_GRAMS:
-            yield rows(gram, *_merged(keys, times))
-            keys, times = [], []
-    if keys:
-        yield rows(gram, *_merged(keys, times))
+        learnt = np.array(batch.column("learnt").to_pylist())
+        for kind, mask in ((LEARNT, learnt), (OTHER, ~learnt)):
+            texts = blobs(batch.column("text").filter(pa.array(mask)))
+            if not texts:
+                continue
+            words = [words_of(text) for text in texts]
+            del texts
+            if kind == LEARNT:
+                tally = Counter(w for one in words for w in one)
+                tally[END_TOKEN] = len(words)
+                hold(WORD, _HASHES.of(list(tally)).view(np.int64), np.fromiter(tally.values(), np.int64))
+                del tally
+            streams = [stream(one) for one in words]
+            del words
+            # Filled and sorted in place: one array of the slice's size at a time.
+            grams = np.empty(sum(len(one) - DEPTH for one in streams), np.int64)
+            at = 0
+            for one in streams:
+                grams[at : at + len(one) - DEPTH] = _grams(one)
+                at += len(one) - DEPTH
+            grams.sort()
+            first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+            hold(kind, grams[first], np.diff(first, append=len(grams)))
+            del grams, first, streams
+        for kind, (keys, times) in held.items():
+            if sum(map(len, keys)) > HELD_GRAMS:
+                yield _dealt(kind, *_merged(keys, times))
+                held[kind] = ([], [])
+    for kind, (keys, times) in held.items():
+        if keys:
+            yield _dealt(kind, *_merged(keys, times))
+
+
+def _summed(dealt: pa.Table) -> pa.Table:
+    """One bucket: sums by key of words and of grams learnt from, and of grams of all texts."""
+    sums: dict[int, tuple[list, list]] = {}
+    limit = HELD_GRAMS
+    for kind, keys, counts in zip(*(dealt[c].to_pylist() for c in ("kind", "keys", "counts"))):
+        for name in (WORD,) if kind == WORD else (LEARNT, ALL) if kind == LEARNT else (ALL,):
+            some = sums.setdefault(name, ([], []))
+            some[0].append(restored_steps(keys))
+            some[1].append(restored(counts, "<i8"))
+            if sum(map(len, some[0])) > limit:
+                key, n = _merged(*some)
+                sums[name] = ([key], [n])
+                limit = max(limit, 2 * len(key))
+    found = [(name, *_merged(*some)) for name, some in sums.items()]
+    return pa.table(
+        {
+            "kind": np.concatenate([np.full(len(key), name, np.int32) for name, key, _ in found]),
+            "key": np.concatenate([key for _, key, _ in found]),
+            "n": np.concatenate([n for _, _, n in found]),
+        }
+    )
 
 
 class SuffixTree:
@@ -293,18 +337,43 @@ class HotGrams:
         return scores, rest
 
 
+def _blocks(streams: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Grams of all texts and the place of each one's text, some `BLOCK` symbols at a time."""
+    some, owners, size = [], [], 0
+    for i, symbols in enumerate(streams):
+        for start in range(0, len(symbols) - DEPTH, BLOCK):
+            part = symbols[start : start + BLOCK + DEPTH]
+            some.append(part)
+            owners.append(i)
+            size += len(part)
+            if size >= BLOCK:
+                yield _joined(some, owners)
+                some, owners, size = [], [], 0
+    if some:
+        yield _joined(some, owners)
+
+
+def _joined(parts: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    owner = np.repeat(owners, [len(part) for part in parts])
+    # A gram belongs to the part of its symbol, and starts there too.
+    inside = owner[DEPTH:] == owner[:-DEPTH]
+    return _grams(np.concatenate(parts))[inside], owner[DEPTH:][inside]
+
+
 def text_scores(texts: list[list[bytes]], hot: HotGrams) -> list[tuple[float, np.ndarray, np.ndarray]]:
     """For each text, given as words: the sum over hot grams, and the other grams with their counts."""
-    out = []
-    for words in texts:
-        symbols, total, others = stream(words), 0.0, []
-        for start in range(0, len(symbols) - DEPTH, BLOCK):
-            grams = _grams(symbols[start : start + BLOCK + DEPTH])
-            scores, rest = hot.look_up(grams)
-            total += float(scores.sum())
-            others.append(grams[rest])
-        out.append((total, *np.unique(np.concatenate(others), return_counts=True)))
-    return out
+    totals = np.zeros(len(texts))
+    others: list[list[np.ndarray]] = [[] for _ in texts]
+    for grams, owner in _blocks([stream(words) for words in texts]):
+        scores, rest = hot.look_up(grams)
+        first = int(owner[0])
+        sums = np.bincount(owner - first, weights=scores)
+        totals[first : first + len(sums)] += sums
+        places, starts = np.unique(owner[rest], return_index=True)
+        for i, part in zip(places.tolist(), np.split(grams[rest], starts[1:])):
+            others[i].append(part)
+    none = [np.zeros(0, np.int64)]
+    return [(float(total), *np.unique(np.concatenate(some or none), return_counts=True)) for total, some in zip(totals, others)]
 
 
 def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFrame:
@@ -318,23 +387,22 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
     ws = Workspace(spark, "lm")
     held_out = in_fold("doc_id", modulus, remainder)
     texts = id_text(docs)
-    kinds = "kind int, key long, n long"
     counts = ws.land(
-        texts.where(~held_out).select("text").mapInArrow(_counted(True), kinds)
-        .unionByName(texts.where(held_out).select("text").mapInArrow(_counted(False), kinds))
-        .groupBy("kind", "key")
-        .agg(F.sum("n").alias("n")),
+        texts.select((~held_out).alias("learnt"), "text")
+        .mapInArrow(_counted, DEALT)
+        .groupBy("bucket")
+        .applyInArrow(_summed, COUNTS),
         "counts",
     )
-    words = counts.where("kind = 0").select("key", "n")
+    words = counts.where(F.col("kind") == WORD).select("key", "n")
     size = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     total, distinct = size["n"] or 0, size["v"]
     hot = {  # at most 1 / HOT_SHARE words
         row["key"]: float(np.log10(row["n"] + 1))
         for row in words.where(F.col("n") >= max(1.0, HOT_SHARE * total)).collect()
     }
-    tables = learn(counts.where("kind = 1").select("key", "n"), ws)
-    grams = counts.where("kind > 0").groupBy("key").agg(F.sum("n").alias("n"))
+    tables = learn(counts.where(F.col("kind") == LEARNT).select("key", "n"), ws)
+    grams = counts.where(F.col("kind") == ALL).select("key", "n")
     scores = ws.land(gram_scores(grams, tables, ws), "scores")
     ws.drop(*(f"{name}-{depth}" for depth in range(DEPTH + 1) for name in ("entries", "depth", "looked")))
     magnitude = F.floor(F.log2("n")).cast("int").alias("magnitude")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.llm.common import (
-    Workspace, blobs, restored, restored_steps, sliced, squeezed, squeezed_steps,
+    Workspace, blobs, by_bucket, restored, restored_steps, sliced, squeezed, squeezed_steps,
 )
 
 LONGEST, LEAST, TOP = 5, 100, 2_000
@@ -128,9 +128,7 @@ def _dealt(buckets: int):
             for row in batch.to_pylist():
                 rest, bucket = np.divmod(restored_steps(row["keys"]), buckets)
                 counts = restored(row["counts"], "<i8")
-                order = np.argsort(bucket, kind="stable")
-                filled, first = np.unique(bucket[order], return_index=True)
-                parts = np.split(order, first[1:])
+                filled, parts = by_bucket(bucket)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(filled), pa.array(np.full(len(filled), row["slice"], np.int64)),

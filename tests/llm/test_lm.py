@@ -6,6 +6,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from fleetspark.llm import lm
@@ -61,3 +63,35 @@ def test_a_context_is_tested_against_its_longest_kept_suffix():
     tree.add(b"ab", following)
     assert 10 ** tree.log[tree.state(b"xab")][65] > 0.9
     assert np.array_equal(tree.log[tree.state(b"xb")], tree.log[0])  # only a step on the way
+
+
+@pytest.mark.parametrize("held", [lm.HELD_GRAMS, 3_000])
+def test_counts_by_buckets(spark, monkeypatch, held):
+    monkeypatch.setattr(lm, "HELD_GRAMS", held)
+    texts = [r["text"] or "" for r in table(spark, SF, "documents").orderBy("doc_id").limit(60).collect()]
+    batch = pa.RecordBatch.from_pydict({"learnt": [i % 7 != 2 for i in range(len(texts))], "text": texts})
+    sent = pa.Table.from_batches(lm._counted([batch, batch]))
+    wanted = {kind: Counter() for kind in (lm.WORD, lm.LEARNT, lm.ALL)}
+    for i, text in enumerate(texts):
+        words = words_of(text.encode())
+        grams = lm._grams(lm.stream(words)).tolist()
+        wanted[lm.ALL].update(grams * 2)
+        if i % 7 != 2:
+            wanted[lm.LEARNT].update(grams * 2)
+            wanted[lm.WORD].update([int(lm.WordHashes().of([w]).view(np.int64)[0]) for w in [*words, lm.END_TOKEN]] * 2)
+    found = {kind: Counter() for kind in wanted}
+    for bucket in set(sent["bucket"].to_pylist()):
+        for row in lm._summed(sent.filter(pc.equal(sent["bucket"], bucket))).to_pylist():
+            assert row["key"] not in found[row["kind"]]
+            found[row["kind"]][row["key"]] = row["n"]
+    assert found == wanted
+
+
+def test_a_gram_travels_in_few_bytes():
+    """300,000 grams, five to a context; a row of Spark's for each takes 40 before compression."""
+    dice = np.random.default_rng(3)
+    contexts = np.repeat(dice.choice(1 << 40, 60_000, replace=False), 5) << 8
+    keys = np.unique(contexts | dice.integers(256, size=len(contexts)))
+    sent = lm._dealt(lm.LEARNT, keys, np.ones(len(keys), np.int64)).to_pylist()
+    assert len(sent) == 1 << lm.BUCKET_BITS
+    assert sum(len(row["keys"]) + len(row["counts"]) for row in sent) < 5 * len(keys)
