@@ -62,21 +62,25 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-class WordHashes(dict):
-    """64-bit hashes by word; emptied when it holds `limit` words, so that memory is bounded."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def coded_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The words of `words_of` of all texts as places in a list of distinct ones, and each text's
+    number of words; no word of a text is an object."""
+    lower = pa.array(map(bytes.lower, texts), pa.large_binary()).view(pa.large_string())
+    split = pc.ascii_split_whitespace(lower)
+    coded = split.values.dictionary_encode()
+    distinct = listed(coded.dictionary.view(pa.large_binary()))
+    codes, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+    if b"" in distinct:  # from white space at an end
+        filled = codes != distinct.index(b"")
+        codes, ends = codes[filled], np.concatenate([[0], np.cumsum(filled)])[ends]
+    return codes, np.diff(ends).astype(np.int64), distinct
+
+
+class WordHashes:
+    @staticmethod
+    def of(words: list[bytes]) -> np.ndarray:
+        """64-bit hashes; words are told apart before, so that none is kept."""
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,21 +90,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def sliced(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about `SLICE_BYTES` of the column, one row at least."""
+def sliced(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about `most` bytes of the column, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-        piece = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
+        piece = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64)) // most
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
             yield batch.slice(start, end - start)
+            # Arrow's pool keeps what is freed, and executors pay for the most that any worker held.
+            pa.default_memory_pool().release_unused()
+
+
+def listed(column: pa.Array) -> list:
+    """Texts or bytes as a list, without a scalar of Arrow's for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def blobs(column: pa.Array) -> list[bytes | None]:
     """Texts as UTF-8 bytes, without decoding them."""
-    return column.cast(pa.large_binary()).to_pylist()
+    return listed(column.cast(pa.large_binary()))
 
 
 def squeezed(values: np.ndarray, kind: str) -> bytes:

@@ -28,10 +28,10 @@ from fleetspark.llm.common import (
     WordHashes,
     Workspace,
     blobs,
+    coded_words,
     id_text,
     mix,
     sliced,
-    words_of,
 )
 
 WIDTH = 5
@@ -46,21 +46,21 @@ FILTER_BITS = 1 << 23
 MOST_BROADCAST = 1_000_000
 
 _ODD = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
-_HASHES = WordHashes()
+# Texts sketched at once: a shingle takes some hundred bytes meanwhile.
+SKETCHED_BYTES = 1 << 20
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text; a short text is one shingle."""
-    words = [words_of(text) for text in texts]
-    flat = _HASHES.of([word for one in words for word in one])
+    codes, counts, distinct = coded_words(texts)
+    flat = WordHashes.of(distinct)[codes]
     # A window's hash covers its words in order; windows across two texts are never read.
     windows = np.zeros(max(0, len(flat) - WIDTH + 1), np.uint64)
     for place in range(WIDTH):
         windows += mix(flat[place : place + len(windows)] + _ODD[place]) * _ODD[place]
     windows = mix(windows)
     sets, start = [], 0
-    for one in words:
-        count = len(one)
+    for count in counts.tolist():
         if count >= WIDTH:
             sets.append(np.unique(windows[start : start + count - WIDTH + 1]))
         elif count:
@@ -148,7 +148,7 @@ def _class(shingles: np.ndarray) -> bytes | None:
 
 
 def _sketched(batches) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches, "text"):
+    for batch in sliced(batches, "text", SKETCHED_BYTES):
         sets = shingle_sets(blobs(batch.column("text")))
         filled = [i for i, s in enumerate(sets) if len(s)]
         registers = iter(sketch([sets[i] for i in filled]))
@@ -232,7 +232,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             slots = batch.column("slot").to_numpy()
             there = (bits[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1
-            for part in sliced([batch.filter(pa.array(there.astype(bool)))], "text"):
+            for part in sliced([batch.filter(pa.array(there.astype(bool)))], "text", SKETCHED_BYTES):
                 sets = shingle_sets(blobs(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [
