@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.llm.common import Workspace, blobs, id_text, sliced
+from fleetspark.llm.common import Workspace, blobs, id_text, listed, sliced
 
 SIZE = 2048
 END = 1
@@ -50,7 +50,7 @@ def _tokenizer(path: str):
 
 # Words of printable ASCII and Latin-1 alone: their lower case and normal form are the same
 # everywhere, and none holds a special token's opening.
-PLAIN = regex.compile(r"(?:(?!<\|)[!-~\xa1-\xff])+")
+PLAIN = "^[!-~\u00a1-\u00ff]*$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -60,12 +60,30 @@ def _byte_letters() -> dict[int, str]:
     return {byte: chr(byte) for byte in shown} | {byte: chr(256 + i) for i, byte in enumerate(hidden)}
 
 
+@lru_cache(maxsize=2)
+def _cutter(path: str) -> regex.Pattern | None:
+    """The tokenizer's own pattern, or a line feed; none if its steps are not those known here."""
+    with open(path, encoding="utf-8") as file:
+        steps = json.load(file)
+    # Cutting by hand is right for this chain of steps alone.
+    normal = [step["type"] for step in (steps["normalizer"] or {}).get("normalizers", [])]
+    cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+    known = (
+        normal == ["NFC", "Replace", "Lowercase"]
+        and [step["type"] for step in cuts] == ["Split", "ByteLevel"]
+        and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+        and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+    )
+    return regex.compile(cuts[0]["pattern"]["Regex"] + r"|\n") if known else None
+
+
 class WordIds(dict):
     """Token ids of white-space separated words as bytes of unsigned 16-bit integers.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids
-    in order. A new plain word is cut by the tokenizer's own pattern, and each new piece is given to
-    its merge model once; other words go through the whole tokenizer.
+    in order. New plain words are cut together by the tokenizer's own pattern, and each new piece is
+    given to its merge model once; other words go through the whole tokenizer. A task has its own, so
+    that no worker keeps words when its task is over.
     """
 
     def __init__(self, path: str):
@@ -75,18 +93,21 @@ class WordIds(dict):
         self.older: dict[bytes, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
-        with open(path, encoding="utf-8") as file:
-            steps = json.load(file)
-        # Cutting by hand is right for this chain of steps alone.
-        normal = [step["type"] for step in (steps["normalizer"] or {}).get("normalizers", [])]
-        cuts = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
-        known = (
-            normal == ["NFC", "Replace", "Lowercase"]
-            and [step["type"] for step in cuts] == ["Split", "ByteLevel"]
-            and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
-            and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
-        )
-        self.cut = regex.compile(cuts[0]["pattern"]["Regex"]) if known else None
+        self.tokenize = _tokenizer(path).model.tokenize  # `model` is another object each time
+        self.cut = _cutter(path)
+
+    def of(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Ids of distinct words, and the place of each word's. Letters alone are a piece, which the
+        pattern takes whole, and are kept as such only."""
+        letters = pc.and_(_plain(words), pc.utf8_is_alpha(words)) if self.cut else pc.is_null(words)
+        pieces = listed(pc.utf8_lower(words.filter(letters)))
+        others = listed(words.filter(pc.invert(letters)).cast(pa.large_binary()))
+        self.learn(others)
+        self.know(pieces)
+        ids = [*map(self.pieces.__getitem__, pieces), *map(self.__getitem__, others)]
+        place = np.empty(len(words), np.int64)
+        place[np.argsort(pc.invert(letters).to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(words))
+        return pa.array(ids, pa.large_binary()), place
 
     def learn(self, words: list[bytes]) -> None:
         """Every one of the words is known afterwards."""
@@ -95,69 +116,70 @@ class WordIds(dict):
             self.clear()
         if len(self.pieces) > CACHE_WORDS:
             self.older_pieces, self.pieces = self.pieces, {}
-        tokenizer, older = _tokenizer(self.path), self.older
-        for word in words:
-            if word in self:
-                continue
-            ids = older.get(word)
-            if ids is None:
-                text = word.decode()
-                if self.cut is None or not _plain(text):
-                    ids = array("H", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-                else:
-                    text = text.lower()
-                    # The pattern takes a run of letters whole.
-                    ids = self.piece(text) if text.isalpha() else b"".join(map(self.piece, self.cut.findall(text)))
-            self[word] = ids
-
-    def piece(self, text: str) -> bytes:
-        ids = self.pieces.get(text)
+        new = [word for word in words if word not in self]
+        if self.older:
+            self.update({word: self.older[word] for word in new if word in self.older})
+            new = [word for word in new if word not in self]
+        texts = pa.array(new, pa.large_binary()).cast(pa.large_string())
+        plain = _plain(texts) if self.cut else pa.array(np.zeros(len(new), bool))
+        tokenizer = _tokenizer(self.path)
+        for text in listed(texts.filter(pc.invert(plain))):
+            ids = array("H", tokenizer.encode(text, add_special_tokens=False).ids)
+            self[text.encode()] = ids.tobytes()
+        # Many words are cut at once, each behind a line feed; no piece holds white space.
+        words = listed(texts.filter(plain))
+        cuts = self.cut.findall("\n".join([*words, ""]).lower()) if words else []
+        self.pieces["\n"] = b""
+        self.know(cuts)
+        parts = list(map(self.pieces.__getitem__, cuts))
+        ids, ends = b"".join(parts), np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        ends = ends[[place for place, cut in enumerate(cuts) if cut == "\n"]].tolist()
+        self.update(zip(map(str.encode, words), [ids[start:end] for start, end in zip([0, *ends], ends)]))
+
+    def know(self, texts: list[str]) -> None:
+        for text in set(texts).difference(self.pieces):
+            self.piece(text)
+
+    def piece(self, text: str) -> None:
+        """The piece is known afterwards."""
+        ids = self.older_pieces.get(text)
         if ids is None:
-            ids = self.older_pieces.get(text)
-            if ids is None:
-                shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-                ids = array("H", [token.id for token in _tokenizer(self.path).model.tokenize(shown)]).tobytes()
-            self.pieces[text] = ids
-        return ids
-
-
-def _plain(text: str) -> bool:
-    return text.isprintable() and "<|" not in text if text.isascii() else bool(PLAIN.fullmatch(text))
+            shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+            ids = array("H", [token.id for token in self.tokenize(shown)]).tobytes()
+        self.pieces[text] = ids
 
 
-_WORDS: dict[str, WordIds] = {}
+def _plain(texts: pa.Array) -> pa.Array:
+    return pc.and_not(pc.match_substring_regex(texts, PLAIN), pc.match_substring(texts, "<|"))
 
 
-def token_ids(texts: list[bytes], path: str) -> list[bytes]:
+def token_ids(texts: list[bytes], path: str, known: WordIds | None = None) -> list[bytes]:
     """Each text's ids and the end id, as little-endian unsigned 16-bit integers."""
     if not texts:
         return []
-    known = _WORDS.setdefault(path, WordIds(path))
+    if known is None:
+        known = WordIds(path)
     # Splits at the ASCII white space that bytes.split knows; an empty word has no ids.
     split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
     coded = split.values.dictionary_encode()
-    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
-    known.learn(words)
-    parts = list(map(known.__getitem__, words))
-    ids = np.frombuffer(b"".join(parts), np.uint16)
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
-    starts = np.cumsum(lengths) - lengths
-    code = coded.indices.to_numpy()
-    times = lengths[code]
-    ends = np.concatenate([[0], np.cumsum(times)])
-    # Each id's place among those of distinct words.
-    ids = ids[np.repeat(starts[code] - ends[:-1], times) + np.arange(ends[-1])]
+    ids, place = known.of(coded.dictionary)
+    # Each word's ids in its place: texts' ids lie behind one another.
+    ids = ids.take(pa.array(place[coded.indices.to_numpy()]))
+    _, ends, ids = ids.buffers()
+    ends = np.frombuffer(ends, np.int64) if ends else np.zeros(1, np.int64)
+    ids = ids.to_pybytes() if ids else b""
     cuts = ends[split.offsets.to_numpy()].tolist()
     end = np.array([END], np.uint16).tobytes()
-    return [ids[start:stop].tobytes() + end for start, stop in zip(cuts, cuts[1:])]
+    return [ids[start:stop] + end for start, stop in zip(cuts, cuts[1:])]
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (unsigned 16-bit) and tokens of every row; a null text has the end id alone."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        known = WordIds(path)
         for batch in sliced(batches, "text"):
-            ids = token_ids(blobs(batch.column("text")), path)
+            ids = token_ids(blobs(batch.column("text")), path, known)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

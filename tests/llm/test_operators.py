@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -150,6 +151,27 @@ def test_packing_words_in_use_outlive_a_full_cache(monkeypatch):
             assert np.frombuffer(ids, np.uint16).tolist() == expected
 
 
+def test_packing_cuts_many_words_at_once_and_keeps_none():
+    path = queries.tokenizer_path()
+    known, calls = packing.WordIds(path), []
+
+    class Counting:
+        def findall(self, text, cut=known.cut):
+            calls.append(text)
+            return cut.findall(text)
+
+    known.cut = Counting()
+    known.learn([f"w{i},x".encode() for i in range(1000)])
+    assert len(calls) == 1 and len(known) == 1000
+    texts = [" ".join(f"w{i}q{j}," for j in range(1000)).encode() for i in range(50)]
+    packing.token_ids(texts[:1], path)
+    tracemalloc.start()
+    packing.token_ids(texts, path)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 1 << 20
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
