@@ -11,7 +11,6 @@ their grams up. Only frequent grams and words are broadcast, to save joins.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +24,7 @@ from fleetspark.llm.common import (
     Workspace,
     blobs,
     by_bucket,
+    coded_words,
     id_text,
     in_fold,
     mix,
@@ -33,7 +33,6 @@ from fleetspark.llm.common import (
     sliced,
     squeezed,
     squeezed_steps,
-    words_of,
 )
 
 DEPTH = 6
@@ -50,7 +49,6 @@ DEALT = "bucket int, kind int, keys binary, counts binary"
 COUNTS = "kind int, key long, n long"
 SPACE, END = 32, 10
 END_TOKEN = b"\n"  # no word holds white space, so the end token cannot be one
-_HASHES = WordHashes()
 
 
 def stream(words: list[bytes]) -> np.ndarray:
@@ -59,6 +57,26 @@ def stream(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"\n" * DEPTH + body, np.uint8)
 
 
+_FOLDED = np.arange(256, dtype=np.uint8)
+_FOLDED[65:91] += 32
+_FOLDED[9:14] = SPACE
+
+
+def streams_of(texts: list[bytes]) -> list[np.ndarray]:
+    """The `stream` of each text, as parts of one array."""
+    if not texts:
+        return []
+    start = b"\n" * DEPTH
+    symbols = _FOLDED[np.frombuffer(b"".join(part for text in texts for part in (start, text, b" \n")), np.uint8)]
+    stops = np.cumsum([DEPTH + len(text) + 2 for text in texts])
+    ends = np.concatenate([[0], stops[:-1]])[:, None] + np.arange(DEPTH)
+    symbols[ends] = symbols[stops - 1] = END
+    # White space stays behind a word only, once; no other symbol is an end.
+    kept = symbols != SPACE
+    kept[1:] |= (symbols[:-1] != SPACE) & (symbols[:-1] != END)
+    return np.split(symbols[kept], np.cumsum(kept)[stops[:-1] - 1])
+
+
 def _grams(symbols: np.ndarray) -> np.ndarray:
     """DEPTH context bytes and the symbol that follows, as one integer for each symbol."""
     count = len(symbols) - DEPTH
@@ -107,15 +125,15 @@ def _counted(batches) -> Iterator[pa.RecordBatch]:
             texts = blobs(batch.column("text").filter(pa.array(mask)))
             if not texts:
                 continue
-            words = [words_of(text) for text in texts]
-            del texts
             if kind == LEARNT:
-                tally = Counter(w for one in words for w in one)
-                tally[END_TOKEN] = len(words)
-                hold(WORD, _HASHES.of(list(tally)).view(np.int64), np.fromiter(tally.values(), np.int64))
-                del tally
-            streams = [stream(one) for one in words]
-            del words
+                codes, _, distinct = coded_words(texts)
+                times = np.append(np.bincount(codes, minlength=len(distinct)), len(texts))
+                keys = WordHashes.of([*distinct, END_TOKEN]).view(np.int64)
+                # The empty word is none, if it is there.
+                hold(WORD, *_merged([keys[times > 0]], [times[times > 0]]))
+                del codes, distinct, times, keys
+            streams = streams_of(texts)
+            del texts
             # Filled and sorted in place: one array of the slice's size at a time.
             grams = np.empty(sum(len(one) - DEPTH for one in streams), np.int64)
             at = 0
@@ -325,16 +343,18 @@ class HotGrams:
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores, 0 where a gram is not hot, and the places of those."""
         scores = np.zeros(len(keys))
-        rest = np.arange(len(keys))
+        rest, missing = np.arange(len(keys)), []
         for probe in range(self.PROBES):
             wanted = keys[rest]
             slot = self.slots(wanted, probe)
-            hit = self.keys.take(slot) == wanted
+            there = self.keys.take(slot)
+            hit, free = there == wanted, there == -1  # a slot left free: no later try found one
             scores[rest[hit]] = self.scores.take(slot[hit])
-            rest = rest[~hit]
+            missing.append(rest[free])
+            rest = rest[~(hit | free)]
             if not len(rest):
                 break
-        return scores, rest
+        return scores, np.sort(np.concatenate([*missing, rest]))
 
 
 def _blocks(streams: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -360,11 +380,15 @@ def _joined(parts: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, np.
     return _grams(np.concatenate(parts))[inside], owner[DEPTH:][inside]
 
 
-def text_scores(texts: list[list[bytes]], hot: HotGrams) -> list[tuple[float, np.ndarray, np.ndarray]]:
-    """For each text, given as words: the sum over hot grams, and the other grams with their counts."""
+def _lists(lengths: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32), values)
+
+
+def text_scores(texts: list[bytes], hot: HotGrams) -> tuple[np.ndarray, pa.ListArray, pa.ListArray]:
+    """Of each text the sum over hot grams, the other grams, and their counts."""
     totals = np.zeros(len(texts))
     others: list[list[np.ndarray]] = [[] for _ in texts]
-    for grams, owner in _blocks([stream(words) for words in texts]):
+    for grams, owner in _blocks(streams_of(texts)):
         scores, rest = hot.look_up(grams)
         first = int(owner[0])
         sums = np.bincount(owner - first, weights=scores)
@@ -373,7 +397,27 @@ def text_scores(texts: list[list[bytes]], hot: HotGrams) -> list[tuple[float, np
         for i, part in zip(places.tolist(), np.split(grams[rest], starts[1:])):
             others[i].append(part)
     none = [np.zeros(0, np.int64)]
-    return [(float(total), *np.unique(np.concatenate(some or none), return_counts=True)) for total, some in zip(totals, others)]
+    counted = [np.unique(np.concatenate(some or none), return_counts=True) for some in others]
+    lengths = [len(grams) for grams, _ in counted]
+    grams, times = (np.concatenate(some or none) for some in ([c[0] for c in counted], [c[1] for c in counted]))
+    return totals, _lists(lengths, grams), _lists(lengths, times.astype(np.int32))
+
+
+def text_words(texts: list[bytes], frequent: dict[int, float]) -> tuple[np.ndarray, ...]:
+    """Of each text the number of tokens, of those that are frequent words and the sum of their parts,
+    the other words, and their counts."""
+    count = len(texts)
+    codes, words, distinct = coded_words(texts)
+    keys = WordHashes.of([*distinct, END_TOKEN]).view(np.int64)
+    codes = np.concatenate([codes, np.full(count, len(distinct))])
+    owner = np.concatenate([np.repeat(np.arange(count), words), np.arange(count)])
+    part = np.array([frequent.get(key, np.nan) for key in keys.tolist()])[codes]
+    rare = np.isnan(part)
+    known = np.bincount(owner[~rare], minlength=count)
+    base = np.bincount(owner[~rare], weights=part[~rare], minlength=count)
+    pairs, times = np.unique(owner[rare] * len(keys) + codes[rare], return_counts=True)
+    lengths = np.bincount(pairs // len(keys), minlength=count)
+    return words + 1, known, base, _lists(lengths, keys[pairs % len(keys)]), _lists(lengths, times.astype(np.int32))
 
 
 def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFrame:
@@ -420,26 +464,11 @@ def score_texts(docs: DataFrame, modulus: int = 7, remainder: int = 2) -> DataFr
         """A row for each text with its rarer words, which are looked up by joining."""
         frequent, hot_grams = model.value
         for batch in sliced(batches, "text"):
-            rows = []
-            texts = [words_of(text) for text in blobs(batch.column("text"))]
-            for found, (score, others, counts) in zip(texts, text_scores(texts, hot_grams)):
-                tally = Counter(found)
-                tally[END_TOKEN] = 1
-                keys = _HASHES.of(list(tally)).view(np.int64).tolist()
-                base, known, rare, times = 0.0, 0, [], []
-                for key, n in zip(keys, tally.values()):
-                    part = frequent.get(key)
-                    if part is None:
-                        rare.append(key)
-                        times.append(n)
-                    else:
-                        base += n * part
-                        known += n
-                rows.append((len(found) + 1, known, base, score, rare, times, others, counts))
-            lists = (pa.list_(pa.int64()), pa.list_(pa.int32()))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), *lists, *lists)
+            texts = blobs(batch.column("text"))
+            tokens, known, base, *rare = text_words(texts, frequent)
+            score, *others = text_scores(texts, hot_grams)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(zip(*rows), kinds)]],
+                [batch.column("doc_id"), *map(pa.array, (tokens, known, base, score)), *rare, *others],
                 ["doc_id", "n_tokens", "known", "base", "score", "rare", "times", "grams", "gram_times"],
             )
 

@@ -95,3 +95,28 @@ def test_a_gram_travels_in_few_bytes():
     sent = lm._dealt(lm.LEARNT, keys, np.ones(len(keys), np.int64)).to_pylist()
     assert len(sent) == 1 << lm.BUCKET_BITS
     assert sum(len(row["keys"]) + len(row["counts"]) for row in sent) < 5 * len(keys)
+
+
+def test_texts_of_a_slice_together():
+    texts = [b"", b" \n", b" A b", b"a b  a\n", b"\x0bz\x0cZ\r\nc ", "\u00c9 \u00e9 a".encode(), b"\xff a", b"a" * 300_000]
+    for text, symbols in zip(texts, lm.streams_of(texts), strict=True):
+        assert np.array_equal(symbols, lm.stream(words_of(text)))
+    keys = {word: int(lm.WordHashes().of([word]).view(np.int64)[0]) for word in (b"a", b"z", lm.END_TOKEN)}
+    for frequent in ({keys[b"a"]: 2.0, keys[b"z"]: 3.0}, {keys[lm.END_TOKEN]: 1.0}, {}):
+        found = [column.tolist() for column in lm.text_words(texts, frequent)[:3]]
+        rare, times = (column.to_pylist() for column in lm.text_words(texts, frequent)[3:])
+        for i, text in enumerate(texts):
+            tally = Counter(int(lm.WordHashes().of([w]).view(np.int64)[0]) for w in [*words_of(text), lm.END_TOKEN])
+            assert found[0][i] == tally.total()
+            assert found[1][i] == sum(n for key, n in tally.items() if key in frequent)
+            assert found[2][i] == sum(n * frequent.get(key, 0.0) for key, n in tally.items())
+            assert dict(zip(rare[i], times[i])) == {key: n for key, n in tally.items() if key not in frequent}
+
+
+def test_a_hot_gram_is_found_at_any_try():
+    keys = np.unique(np.random.default_rng(5).integers(1 << 56, size=20_000))
+    hot = lm.HotGrams(keys[::2], np.arange(len(keys[::2])) - 1e6)
+    scores, rest = hot.look_up(keys)
+    assert set(rest[rest % 2 == 0].tolist()) == set(np.flatnonzero(scores == 0).tolist()) - set(range(1, len(keys), 2))
+    assert np.array_equal(rest, np.flatnonzero(scores == 0)) and np.isin(np.arange(1, len(keys), 2), rest).all()
+    assert all(scores[i] == i // 2 - 1e6 for i in range(0, len(keys), 2) if scores[i])
