@@ -7,6 +7,9 @@ from datetime import timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from fleetspark.operators import validate
 from fleetspark.operators.outcomes import batch_outcomes, event_latency, partition_lag
 from fleetspark.operators.validate import dead_letters, parse_telemetry, to_archive_rows
 from fleetspark.sources import jsonl
@@ -152,3 +155,73 @@ def test_json_lines_keep_their_order(spark, tmp_path):
 @pytest.mark.parametrize("seq", [0, 2**63 - 1])
 def test_seq_limits(spark, seq):
     assert parse_telemetry(records(spark, [broken(seq=seq)])).first()["seq"] == seq
+
+
+ODD_VALUES = (
+    "null true false 0 -0 00 01 -1 1 2 1.0 1. .5 -.5 +1 1e2 1E+2 1e-5 1e400 1e99 -40.0 90.0 90.5 220.0 220.01 360.0 1.5e1 0x1 NaN "
+    "Infinity 100 100.1 160 123456789012345 1234567890123456789 9223372036854775807 9223372036854775808 -9223372036854775809 "
+    '1.12345678901234567 1.123456789012345678 "" "1" "a b" "é€😀" "a\\u0041" "a\\"b" "a\\/b" "tab\t" [] {} [1] [null] ["P0301"] '
+    '["P0301","U12EF"] ["P0301", "P0302"] ["P0301" ,"P0302"] ["p0301"] ["P0301|P0302"] ["P030"] "P0301" ["P0301",] '
+    '"2026-09-27T00:00:00Z" "2026-09-27 00:00:00z" "2026-09-27T00:00Z" "2026-09-27T00:00:00.123456789Z" "2026-09-27T00:00:00.1234567890Z" '
+    '"2026-02-30T00:00:00Z" "2026-09-27T24:00:00Z" "2026-09-27T23:59:60Z" "2026-13-01T00:00:00Z" "0000-01-01T00:00:00Z" '
+    '"9999-12-31T23:59:59.999999Z" "2026-09-27T00:00:00+05:30" "2026-09-27T00:00:00+0530" "2026-09-27T00:00:00" "2026-9-27T00:00:00Z" '
+    '"V000001" "V1234567" "V00001" "v000001" "X1" "SYN00000000000001" "SYN0000000000001" "F001" "F01" "F0001" "NORMAL" "normal" '
+    '"123e4567-e89b-12d3-a456-426614174000" "123E4567-E89B-12D3-A456-426614174000" "123e4567e89b12d3a456426614174000" "123e4567-e89b"'
+)
+
+
+def odd_values() -> list[str]:
+    found, decoder = [], json.JSONDecoder(strict=False)
+    rest = ODD_VALUES
+    while rest := rest.lstrip(" "):
+        end = rest.find(" ")
+        if rest[0] in '"[{':
+            try:
+                end = decoder.raw_decode(rest)[1]
+            except ValueError:
+                pass
+        end = len(rest) if end < 0 else end
+        found.append(rest[:end])
+        rest = rest[end:]
+    many = [f'["{chr(34) + chr(44) + chr(34):s}"]'.replace('","', '","'.join(["P0301"] * n)) for n in (16, 17)]
+    return [*found, *many, '"' + "x" * 50 + '"', '"' + "x" * 51 + '"', '"' + "x" * 201 + '"', '"\x01"']
+
+
+def spellings() -> list[bytes | None]:
+    """A sound text in many spellings, sound and broken."""
+    plain = json.loads(payload(base(event_id="123e4567-e89b-12d3-a456-426614174000", source_oem="Tata")))
+    tokens = {name: json.dumps(value) for name, value in plain.items()}
+
+    def text(tokens, between=",", after=":") -> str:
+        return "{" + between.join(f'"{name}"{after}{value}' for name, value in tokens.items()) + "}"
+
+    found = [text({**tokens, name: value}) for name in tokens for value in odd_values()]
+    usual = text(tokens)
+    found += [text(tokens, b, a) for b in (",", ", ", " ,", ",  ", ",\n", ",,", "") for a in (":", ": ", " :", ":\t", "")]
+    found += [f" {usual}", f"{usual} ", f"{usual}\n", f"{usual}x", f"{usual}{usual}", f"{usual},1", f"[{usual}]", usual[:-1], usual[1:]]
+    found += [text({name: tokens[name] for name in tokens if name != left}) for left in tokens]
+    found += [text({**tokens, "extra": "1"}), text(dict(reversed(tokens.items()))), usual[:-1] + ',"seq":2}', "", "null", "{}", "1"]
+    found += [usual.replace('"vin"', '"VIN"'), usual.replace('"vin"', '"v\\u0069n"'), usual.replace('"vin"', "vin"), usual.replace('"', "'")]
+    swapped = {**tokens, "fuel_pct": "null", "soc_pct": "55.5"}
+    found += [text(swapped), text({**tokens, "soc_pct": "55.5"}), text({**tokens, "fuel_pct": "null"})]
+    whole = [t.encode() for t in found]
+    return [*whole, whole[0][:-5] + b"\xff" + whole[0][-5:], usual.encode().replace(b"Tata", b"T\xc3\x28a"), b"\xef\xbb\xbf" + usual.encode(), None]
+
+
+def test_plain_texts_say_what_all_parsers_say(spark, monkeypatch):
+    """A text in the usual spelling skips parsers and rules, and nothing else about it changes."""
+    bodies = spellings()
+
+    def parsed():
+        rows = parse_telemetry(records(spark, bodies), START + timedelta(days=400)).orderBy("offset")
+        rows = rows.withColumn("timestamp", F.unix_micros("timestamp"))  # Python knows no year 0
+        return [tuple(r) for r in rows.drop("topic", "partition", "timestamp_ms").collect()]
+
+    plain = records(spark, bodies).where(F.col("value").cast("string").rlike(validate.PLAIN)).count()
+    by_spelling = parsed()
+    monkeypatch.setattr(validate, "PLAIN", "(?!)")
+    in_full = parsed()
+    assert 200 < plain < len(bodies) - 300
+    for body, one, other in zip(bodies, by_spelling, in_full, strict=True):
+        assert repr(one) == repr(other), body
+    assert 100 < sum(row[-2] for row in in_full) < len(bodies)
