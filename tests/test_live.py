@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -286,3 +287,40 @@ def test_files_honour_the_rows_of_a_batch(spark, tmp_path):
     query = start_archive(stream, f"{tmp_path}/archive", TOPIC, f"{tmp_path}/checkpoint", drain=True)
     query.awaitTermination()
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [4, 4, 4]
+
+
+def test_a_small_batch_leaves_few_files(spark, tmp_path):
+    """However many shuffle partitions the session has, a batch uses what its rows fill."""
+    name, configured = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set(name, str(8 * cores))
+    try:
+        fleet = [at(0, vehicle_id=f"V{v:06d}", speed_kmh=130.0) for v in range(300)]
+        live.commit_batch(records(spark, [payload(r) for r in fleet]), 0, str(tmp_path), as_of=START)
+        assert spark.conf.get(name) == str(8 * cores)
+    finally:
+        spark.conf.set(name, configured)
+    for table in ("telemetry", "alerts"):
+        assert read_history(spark, str(tmp_path), table).count() == 300
+        assert 1 <= len(list(tmp_path.glob(f"{table}/batch_id=0/month=*/*.parquet"))) <= cores
+
+
+def test_steps_run_side_by_side_and_end_before_an_error(spark):
+    met, ended = threading.Barrier(2), []
+
+    def first():
+        met.wait(timeout=60)
+        return spark.range(7).count()
+
+    def second():
+        met.wait(timeout=60)
+        return spark.range(5).count()
+
+    assert live.side_by_side(spark, first, second) == [7, 5]
+
+    def fails():
+        raise RuntimeError("injected")
+
+    with pytest.raises(RuntimeError, match="injected"):
+        live.side_by_side(spark, fails, lambda: ended.append(spark.range(3).count()))
+    assert ended == [3]
