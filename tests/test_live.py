@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -21,6 +22,7 @@ from fleetspark.streaming.raw import read_activity, start_activity, start_archiv
 from fleetspark.settings import StreamOptions
 from fleetspark.streaming.sources import FileSource, read_telemetry_stream, retained_offsets
 from fleetspark.sources.archive import read_archive
+from fleetspark.workload import queries
 from tests.build import START, TOPIC, at, base, by_event, frame, payload, records
 from tests.test_detect import random_readings
 
@@ -324,3 +326,32 @@ def test_steps_run_side_by_side_and_end_before_an_error(spark):
     with pytest.raises(RuntimeError, match="injected"):
         live.side_by_side(spark, fails, lambda: ended.append(spark.range(3).count()))
     assert ended == [3]
+
+
+def test_the_feed_is_written_once_and_delivered_by_ranges(spark, tmp_path, monkeypatch):
+    """A range's files come later than those before, one a source partition, by rising offset."""
+    written, taken = [], queries.m.records_in_ranges
+
+    def spied(*args):
+        written.append(args[2:])
+        return taken(*args)
+
+    monkeypatch.setattr(queries.m, "records_in_ranges", spied)
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=i), i % 29, "click", 50.0, '{"k": 5}') for i in range(600)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    before, times, offsets = set(), [], []
+    for source in queries.fed(spark, str(tmp_path), 3):
+        files = set(Path(source.path).glob("partition=*/*.parquet")) - before
+        before |= files
+        times.append({f.stat().st_mtime_ns for f in files})
+        assert len(files) == len({f.parent for f in files}) == 6
+        held = [spark.read.parquet(str(f)).select("offset").collect() for f in sorted(files)]
+        held = [[r["offset"] for r in one] for one in held]
+        assert all(one == sorted(one) for one in held)
+        offsets.append(sorted(sum(held, [])))
+    assert len(written) == 1 and times[0] != times[1] and max(times[0]) < min(times[1]) <= max(times[1]) < min(times[2])
+    assert offsets[0][-1] < offsets[1][0] and offsets[1][-1] < offsets[2][0]
+    stored = spark.read.parquet(source.path).select("topic", "partition", "offset", "value", "timestamp_ms")
+    whole = queries.m.records(spark, str(tmp_path)).select(stored.columns)
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, whole.collect()))
